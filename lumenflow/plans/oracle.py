@@ -132,8 +132,45 @@ GROUP BY ALL
 """
 
 
+ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+LATEST_PER_CUSTOMER = f"""
+SELECT {ORDERS_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders
+) t WHERE rn = 1
+"""
+
+VERSIONED_ORDERS = f"""
+SELECT {ORDERS_COLS},
+       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS version
+FROM orders
+"""
+
+HISTORY = {
+    "scd1_initial": f"SELECT {ORDERS_COLS} FROM orders",
+    "scd1_increment": LATEST_PER_CUSTOMER,
+    "scd2_initial": VERSIONED_ORDERS,
+    "scd2_increment": VERSIONED_ORDERS,
+    "scd2_increment_skew_safe": VERSIONED_ORDERS,
+    "scd_noop": LATEST_PER_CUSTOMER,
+    "incremental_extract": f"""
+SELECT {ORDERS_COLS} FROM orders
+WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')
+""",
+    "hwm_empty_default": """
+SELECT 'empty' AS source, coalesce(CAST(max(o_orderdate) AS VARCHAR), '0001-01-01 00:00:00') AS hwm
+FROM orders WHERE false
+UNION ALL
+SELECT 'history' AS source, coalesce(CAST(max(o_orderdate) AS VARCHAR), '0001-01-01 00:00:00') AS hwm
+FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'
+""",
+}
+
+
 def statements() -> dict[str, str]:
     return {
         "enrich_customers": ENRICH_CUSTOMERS,
         "enrich_counts": ENRICH_COUNTS,
+        **HISTORY,
     }

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenflow.plans import enrichment
+from lumenflow.plans import enrichment, history_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,4 +18,5 @@ def registry() -> dict[str, Query]:
     return {
         "enrich_customers": enrichment.enrich_customers,
         "enrich_counts": enrichment.enrich_counts,
+        **history_queries.QUERIES,
     }
