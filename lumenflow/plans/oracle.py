@@ -41,7 +41,7 @@ CP = """cp AS (
 )"""
 
 # all 1998 log lines (before quarantine), as 17 fields
-_LOG_ALL = """log_all AS (
+_LOG_ALL = """log_fields AS (
   SELECT
     lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS username,
     '10.0.' || CAST(o_custkey % 256 AS VARCHAR) || '.' || CAST(o_orderkey % 256 AS VARCHAR) AS ip,
@@ -63,13 +63,16 @@ _LOG_ALL = """log_all AS (
     o_orderstatus
   FROM orders
   WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'
+),
+log_all AS (
+  SELECT *, day || '/' || month || '/' || yr || ':' || hr || ':' || mt || ':' || sec || ' -0500' AS dt
+  FROM log_fields
 )"""
 
 WL = _LOG_ALL + """,
 wl AS (
-  SELECT username, ip, day || '/' || month || '/' || yr || ':' || hr || ':' || mt || ':' || sec || ' -0500' AS dt,
-         day, month, time1, yr, hr, mt, sec, tz, verb, page, "index", fullpage, referrer,
-         referrer AS referrer2, statuscd
+  SELECT username, ip, dt, day, month, time1, yr, hr, mt, sec, tz, verb, page, "index", fullpage,
+         referrer, referrer AS referrer2, statuscd
   FROM log_all WHERE o_orderstatus <> 'P'
 )"""
 
@@ -168,9 +171,169 @@ FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'
 }
 
 
+USERS_FLAT = f"""
+WITH {USD}
+SELECT page, cell, first, age, email, uscity, latitude, longitude, country, state,
+       '-05:00' AS tz_offset, 'Eastern' AS tz_description, username
+FROM usd
+"""
+
+WEBLOG_COLS = ('username, ip, dt, day, month, time1, yr, hr, mt, sec, tz, verb, page, "index", '
+               'fullpage, referrer, referrer2, statuscd')
+
+IO = {
+    "xml_rows": """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer
+""",
+    "weblog_text": f"WITH {WL} SELECT {WEBLOG_COLS} FROM wl",
+    "weblog_quarantine": f"""
+WITH {_LOG_ALL}
+SELECT concat_ws(',', username, ip, dt, day, month, time1, yr, hr, mt, sec, tz, verb, page, "index",
+                 fullpage, referrer) AS _line,
+       'expected 17 fields, found 16' AS _error
+FROM log_all WHERE o_orderstatus = 'P'
+""",
+    "csv_to_table": """
+SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1, CAST(c_nationkey AS VARCHAR) AS _c2,
+       CAST(c_acctbal AS VARCHAR) AS _c3, c_mktsegment AS _c4
+FROM customer
+""",
+    "json_infer": USERS_FLAT,
+    "json_corrupt": """
+SELECT substr('{"info":{"page":"error"}', 1, 20) AS _corrupt_record FROM events WHERE event_type = 'error'
+""",
+    "json_sample_schema": USERS_FLAT,
+    "sql_text_job": VERSIONED_ORDERS,
+    "text_sink_roundtrip": """
+SELECT concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus,
+                 CAST(o_orderdate AS VARCHAR), o_orderpriority) AS line
+FROM orders
+""",
+    "checkpoint_overwrite": """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, lower(c_mktsegment) AS c_mktsegment FROM customer
+""",
+    "jdbc_table": "SELECT * FROM customer",
+    "jdbc_query": """
+SELECT c_nationkey, CAST(count(*) AS BIGINT) AS n_customers, round(sum(c_acctbal), 2) AS sum_acctbal
+FROM customer GROUP BY c_nationkey
+""",
+    "jdbc_partitioned": "SELECT * FROM customer",
+    "jdbc_incremental": HISTORY["incremental_extract"],
+}
+
+_CELL_KEY = "substr(replace(replace(replace(cell, '(', ''), ')', ''), '-', ''), 1, 5)"
+
+OPERATORS = {
+    "project_users": f"""
+WITH {USD} SELECT username || '2024-01-01 00:00:00' AS custid, uscity, country, state, username FROM usd
+""",
+    "explode_filter": USERS_FLAT,
+    "left_join_computed_key": f"""
+WITH {USD}, {CP}
+SELECT usd.username, usd.cell, {_CELL_KEY} AS cell_key, cp.age AS profile_age, cp.profession
+FROM usd LEFT JOIN cp ON {_CELL_KEY} = cp.id
+""",
+    "left_join_fanout": f"""
+WITH {USD}, {WL}
+SELECT usd.username, usd.page, wl.ip, wl.dt, wl.statuscd
+FROM usd LEFT JOIN wl ON wl.username = {_CELL_KEY}
+""",
+    "left_join_status": f"""
+WITH {WL}, {WS}
+SELECT wl.username, wl.dt, wl.statuscd, ws.category, ws."desc"
+FROM wl LEFT JOIN ws ON TRY_CAST(wl.statuscd AS BIGINT) = ws.cd
+""",
+    "row_number_version": f"""
+WITH {WL}
+SELECT username, dt, yr, month, day, hr, mt, sec,
+       CAST(row_number() OVER (PARTITION BY username ORDER BY yr NULLS FIRST, month NULLS FIRST,
+            day NULLS FIRST, hr NULLS FIRST, mt NULLS FIRST, sec NULLS FIRST, ip NULLS FIRST,
+            dt NULLS FIRST, verb NULLS FIRST, page NULLS FIRST, statuscd NULLS FIRST) AS INTEGER) AS version
+FROM wl
+""",
+    "nested_collection": """
+SELECT conv_id, turn,
+       CAST(turn AS INTEGER) AS col0, CAST(length(text) AS INTEGER) AS col1,
+       CAST(len(string_split(text, ' ')) AS INTEGER) AS col2,
+       CASE WHEN role = 'user' THEN substr(text, 1, 12) END AS user_text,
+       CAST(turn AS INTEGER) AS x,
+       role AS foo,
+       CAST(len(string_split(text, ' ')) AS DOUBLE) AS val1
+FROM conversations
+""",
+    "array_helpers": """
+WITH n AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderstatus = 'P' THEN NULL
+              ELSE [CAST(o_custkey % 5 AS INTEGER), CAST(o_orderkey % 3 AS INTEGER), CAST(o_custkey % 5 AS INTEGER)]
+         END AS nums
+  FROM orders
+), d AS (
+  SELECT o_orderkey, nums,
+         list_filter(nums, lambda x, i: NOT list_contains(nums[1:i - 1], x)) AS arr_dist
+  FROM n
+)
+SELECT o_orderkey,
+       array_to_string(arr_dist, '@') AS joined,
+       array_to_string(arr_dist, ',') AS union_text,
+       nums[1] AS col0, nums[2] AS col1, nums[3] AS col2
+FROM d
+""",
+    "mask_columns": f"""
+WITH {USD}
+SELECT username,
+       repeat('*', least(length(cell), 4)) || substr(cell, 5) AS cell_masked,
+       repeat('*', least(length(email), 5)) || substr(email, 6) AS email_masked
+FROM usd
+""",
+    "clean_columns": f"""
+WITH {USD}
+SELECT username,
+       regexp_replace(first || username, '[0-9]', '', 'g') AS name_letters,
+       regexp_replace(cell, '[(),-]', '', 'g') AS cell_digits,
+       TIMESTAMP '2024-01-01 00:00:00' AS time_stamp,
+       concat_ws(',', first, email, uscity, state, country) AS line
+FROM usd
+""",
+}
+
+STREAMING = {
+    "stream_enrich_counts": ENRICH_COUNTS,
+    "stream_foreach_batch_enrich": f"""
+WITH {ENRICH_CTES},
+shaped AS (
+  SELECT username || day || month || yr || hr || mt || sec AS custid,
+         page, cell, first, age, email, latitude || longitude AS coordinates, uscity, country,
+         state, username, profile_age, profession, ip, dt, yr || '-' || time1 || '-' || day AS fulldt,
+         verb, log_page, statuscd, category, "desc",
+         CASE WHEN dt IS NULL THEN 'new customer' ELSE 'existing customer' END AS custtype,
+         yr, month, day, hr, mt, sec
+  FROM joined
+),
+versioned AS (
+  SELECT *,
+         CAST(row_number() OVER (PARTITION BY page, username ORDER BY yr NULLS FIRST, month NULLS FIRST,
+              day NULLS FIRST, hr NULLS FIRST, mt NULLS FIRST, sec NULLS FIRST, {_TIE}) AS INTEGER) AS version,
+         CASE page WHEN 'click' THEN 4 WHEN 'purchase' THEN 5 END AS batch
+  FROM shaped
+),
+latest AS (
+  SELECT *, row_number() OVER (PARTITION BY custid ORDER BY batch DESC, version DESC) AS pick
+  FROM versioned WHERE custid IS NOT NULL
+)
+SELECT custid, version, page, cell, first, age, email, coordinates, uscity, country, state, username,
+       profile_age, profession, ip, dt, fulldt, verb, log_page, statuscd, category, "desc", custtype
+FROM latest WHERE pick = 1
+""",
+}
+
+
 def statements() -> dict[str, str]:
     return {
         "enrich_customers": ENRICH_CUSTOMERS,
         "enrich_counts": ENRICH_COUNTS,
         **HISTORY,
+        **IO,
+        **OPERATORS,
+        **STREAMING,
     }

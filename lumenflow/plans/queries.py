@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenflow.plans import enrichment, history_queries
+from lumenflow.plans import enrichment, history_queries, io_queries, operator_queries, stream_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,4 +19,7 @@ def registry() -> dict[str, Query]:
         "enrich_customers": enrichment.enrich_customers,
         "enrich_counts": enrichment.enrich_counts,
         **history_queries.QUERIES,
+        **io_queries.QUERIES,
+        **operator_queries.QUERIES,
+        **stream_queries.QUERIES,
     }
