@@ -6,7 +6,7 @@ stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
@@ -27,6 +27,7 @@ __all__ = [
     "delimited",
     "timestamped_id",
     "high_water_default",
+    "evaluate_once",
     "NEW_CUSTOMER",
     "EXISTING_CUSTOMER",
     "EMPTY_MARK",
@@ -126,3 +127,19 @@ def timestamped_id(username: str | Column, ts: Column | None = None) -> Column:
 
 def high_water_default(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(EMPTY_MARK))
+
+
+def evaluate_once(df: DataFrame, keep: list[str], **named: Column) -> DataFrame:
+    """``df.select(*keep, *named)`` where each named expression is computed
+    exactly once per row.
+
+    A plain projection may be inlined by the optimizer into every filter
+    pushed below it and every later expression that references it, which
+    re-runs expensive work (JSON parsing, text rendering, splitting) several
+    times per row. Wrapping the values in ``explode(array(struct(...)))``
+    emits the same single row, but Catalyst cannot move predicates or
+    expressions through the generator.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in named.items()])
+    carry = [F.col(c) for c in keep]
+    return df.select(*carry, F.explode(F.array(packed)).alias("__once")).select(*carry, "__once.*")

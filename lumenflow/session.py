@@ -27,6 +27,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -90,3 +91,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared stage root."""
     root = shared_root(spark)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over at least ``min_partitions`` (default: the
+    cluster's default parallelism) when its source yields fewer splits.
+
+    Only small inputs are ever redistributed: an input with fewer splits
+    than cores is at most a few hundred MB, so the shuffle is cheap, and
+    CPU-heavy row work (JSON rendering/parsing, regex) then uses every core.
+    Large inputs already have enough splits and pass through untouched.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

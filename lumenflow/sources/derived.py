@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow import schemas
+from lumenflow.functions import columns as C
 
 # Fixed values of the derivation (the SQL oracle repeats them).
 LOG_YEAR = 1998
@@ -126,12 +127,14 @@ def weblog_fields(orders: DataFrame) -> list[Column]:
 
 def weblog_lines(orders: DataFrame, year: int = LOG_YEAR) -> DataFrame:
     """Text lines (column ``value``) of the log for one year of orders."""
-    fields = weblog_fields(orders)
-    full = F.concat_ws(",", *fields)
-    short = F.concat_ws(",", *fields[:-1])
-    line = F.when(F.col("o_orderstatus") == "P", short).otherwise(full)
-    # A range on the raw column (not year(...)) so the filter reaches the
-    # parquet scan as PushedFilters.
+    # A range on the raw column (not year(...)), applied before anything
+    # else, so it reaches the parquet scan as PushedFilters.
     d = F.col("o_orderdate")
-    in_year = (d >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) & (d < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz"))
-    return orders.where(in_year).select(line.alias("value"))
+    lo, hi = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+    in_year = orders.where((d >= lo) & (d < hi))
+    names = [f"f{i}" for i in range(17)]
+    staged = C.evaluate_once(in_year, ["o_orderstatus"], **dict(zip(names, weblog_fields(in_year))))
+    full = F.concat_ws(",", *[F.col(n) for n in names])
+    short = F.concat_ws(",", *[F.col(n) for n in names[:-1]])
+    line = F.when(F.col("o_orderstatus") == "P", short).otherwise(full)
+    return staged.select(line.alias("value"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenflow import schemas
+from lumenflow.functions import columns as C
 
 ERROR_COLUMN = "_error"
 
@@ -46,25 +47,23 @@ def parse_weblog(lines: DataFrame, value_col: str = "value") -> DataFrame:
     ignored). Short or empty lines are *kept* with a reason in ``_error`` so
     callers can route them to quarantine instead of failing the batch.
     """
-    value = F.col(value_col)
-    trimmed = F.regexp_replace(value, ",+$", "")
-    parts = F.split(trimmed, ",", -1)
-    n_fields = F.when(trimmed == "", F.lit(0)).otherwise(F.size(parts))
-    error = (
-        F.when(value.isNull() | (F.trim(value) == ""), F.lit("empty line"))
-        .when(
-            n_fields < schemas.WEBLOG_INPUT_FIELDS,
-            F.concat(F.lit("expected 17 fields, found "), n_fields.cast("string")),
-        )
+    # Each stage is evaluated once per row (see ``evaluate_once``): the
+    # line may be an expensive expression, and the field array is used 18x.
+    step = C.evaluate_once(lines, [], _line=F.col(value_col))
+    trimmed = F.regexp_replace(F.col("_line"), ",+$", "")
+    step = C.evaluate_once(step, ["_line"], __parts=F.split(trimmed, ",", -1))
+    parts = F.col("__parts")
+    blank = F.col("_line").isNull() | (F.trim(F.col("_line")) == "")
+    only_empty = (F.size(parts) == 1) & (F.get(parts, 0) == "")
+    n_fields = F.when(only_empty, F.lit(0)).otherwise(F.size(parts))
+    error = F.when(blank, F.lit("empty line")).when(
+        n_fields < schemas.WEBLOG_INPUT_FIELDS,
+        F.concat(F.lit("expected 17 fields, found "), n_fields.cast("string")),
     )
     cols: list[Column] = [
-        F.get(F.col("__parts"), i).alias(name)
-        for name, i in zip(schemas.WEBLOG_COLUMNS, schemas.WEBLOG_FIELD_SOURCE)
+        F.get(parts, i).alias(name) for name, i in zip(schemas.WEBLOG_COLUMNS, schemas.WEBLOG_FIELD_SOURCE)
     ]
-    return (
-        lines.select(value.alias("__line"), parts.alias("__parts"), error.alias(ERROR_COLUMN))
-        .select(*cols, F.col(ERROR_COLUMN), F.col("__line").alias("_line"))
-    )
+    return step.select(*cols, error.alias(ERROR_COLUMN), F.col("_line"))
 
 
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -108,8 +107,10 @@ def parse_json_column(
         full,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT_COLUMN},
     )
-    carry = [F.col(c) for c in (keep or [])]
-    return df.select(*carry, parsed.alias("__doc")).select(*carry, "__doc.*")
+    # Parsed exactly once per row: a plain select let Catalyst re-run
+    # from_json inside every predicate pushed below it.
+    keep = keep or []
+    return C.evaluate_once(df, keep, __doc=parsed).select(*keep, "__doc.*")
 
 
 def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
