@@ -48,43 +48,43 @@ def id5(c: Column) -> Column:
     return F.lpad(c.cast("string"), 5, "0")
 
 
-def user_result(u: Column) -> Column:
-    """A ``results[]`` element for user number ``u`` (bigint)."""
-    k = id5(u)
-    s = lambda c: c.cast("string")
-    return F.struct(
-        F.concat(F.lit("("), F.substring(k, 1, 3), F.lit(")-"), F.substring(k, 4, 2), F.lit("-0000")).alias("cell"),
-        F.concat(F.lit("user"), s(u), F.lit("@example.com")).alias("email"),
-        F.struct(F.concat(F.lit("First"), s(u)).alias("first")).alias("name"),
-        F.struct((F.lit(18) + u % 60).cast("bigint").alias("age")).alias("dob"),
-        F.struct(k.alias("username")).alias("login"),
-        F.struct(
-            F.concat(F.lit("City"), s(u % 40)).alias("city"),
-            F.concat(F.lit("State"), s(u % 10)).alias("state"),
-            F.lit("US").alias("country"),
-            F.struct(F.lit("-05:00").alias("offset"), F.lit("Eastern").alias("description")).alias("timezone"),
-            F.struct(
-                F.concat(s(F.lit(30) + u % 17), F.lit(".5")).alias("latitude"),
-                F.concat(F.lit("-"), s(F.lit(70) + u % 23), F.lit(".25")).alias("longitude"),
-            ).alias("coordinates"),
-        ).alias("location"),
-    )
+def _user_sql(u: str) -> str:
+    """SQL text of a ``results[]`` element for user number expression ``u``
+    (one expression string: a single round trip to build, however wide)."""
+    u = f"({u})"
+    k = f"lpad(CAST({u} AS STRING), 5, '0')"
+    return f"""named_struct(
+      'cell', concat('(', substring({k}, 1, 3), ')-', substring({k}, 4, 2), '-0000'),
+      'email', concat('user', CAST({u} AS STRING), '@example.com'),
+      'name', named_struct('first', concat('First', CAST({u} AS STRING))),
+      'dob', named_struct('age', CAST(18 + {u} % 60 AS BIGINT)),
+      'login', named_struct('username', {k}),
+      'location', named_struct(
+        'city', concat('City', CAST({u} % 40 AS STRING)),
+        'state', concat('State', CAST({u} % 10 AS STRING)),
+        'country', 'US',
+        'timezone', named_struct('offset', '-05:00', 'description', 'Eastern'),
+        'coordinates', named_struct(
+          'latitude', concat(CAST(30 + {u} % 17 AS STRING), '.5'),
+          'longitude', concat('-', CAST(70 + {u} % 23 AS STRING), '.25'))))"""
+
+
+def user_result(u: Column | str) -> Column:
+    """A ``results[]`` element for user number ``u`` (column name or SQL)."""
+    return F.expr(_user_sql(u if isinstance(u, str) else "user_id"))
 
 
 def documents_from_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``events`` -> one JSON text per event in column ``value``."""
-    et = F.col("event_type")
-    u = F.col("user_id")
-    info = F.when(et == "signup", F.struct(F.lit(None).cast("string").alias("page"))).otherwise(
-        F.struct(et.alias("page"))
-    )
-    results = (
-        F.when(et == "view", F.array().cast(schemas.USER_DOC["results"].dataType))
-        .when(et == "purchase", F.array(user_result(u), user_result(u + 1)))
-        .otherwise(F.array(user_result(u)))
-    )
-    text = F.to_json(F.struct(info.alias("info"), results.alias("results")))
-    value = F.when(et == "error", F.substring(text, 1, 20)).otherwise(text)
+    results_type = schemas.USER_DOC["results"].dataType.simpleString()
+    doc = f"""to_json(named_struct(
+      'info', CASE WHEN event_type = 'signup' THEN named_struct('page', CAST(NULL AS STRING))
+                   ELSE named_struct('page', event_type) END,
+      'results', CASE WHEN event_type = 'view' THEN CAST(array() AS {results_type})
+                      WHEN event_type = 'purchase' THEN array({_user_sql('user_id')}, {_user_sql('user_id + 1')})
+                      ELSE array({_user_sql('user_id')}) END))"""
+    text = F.expr(doc)
+    value = F.when(F.col("event_type") == "error", F.substring(text, 1, 20)).otherwise(text)
     carry = [F.col(c) for c in (keep or [])]
     return events.select(*carry, value.alias("value"))
 
@@ -101,27 +101,28 @@ def status_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(STATUS_ROWS, schemas.HTTP_STATUS)
 
 
-def _two(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 2, "0")
+def _priority_case() -> str:
+    whens = " ".join(f"WHEN '{p}' THEN '{v}'" for p, v in PRIORITY_STATUS.items())
+    return f"CASE substring(o_orderpriority, 1, 1) {whens} ELSE 'n/a' END"
 
 
-def weblog_fields(orders: DataFrame) -> list[Column]:
-    """The 17 input fields of a log line for one order."""
-    k = F.col("o_orderkey")
-    d = F.col("o_orderdate")
-    day, mon, num, yr = (F.date_format(d, p) for p in ("dd", "MMM", "MM", "yyyy"))
-    hr, mt, sec = _two(k % 24), _two((k * 7) % 60), _two((k * 13) % 60)
-    page = F.concat(F.lit("/p/"), F.substring("o_orderpriority", 1, 1))
-    verb = F.coalesce(
-        *[F.when(F.col("o_orderstatus") == s, F.lit(v)) for s, v in ORDER_STATUS_VERB.items()], F.lit("PUT")
-    )
-    prio = F.substring("o_orderpriority", 1, 1)
-    status = F.coalesce(*[F.when(prio == p, F.lit(v)) for p, v in PRIORITY_STATUS.items()], F.lit("n/a"))
-    ip = F.concat_ws(".", F.lit("10"), F.lit("0"), (F.col("o_custkey") % 256).cast("string"), (k % 256).cast("string"))
-    dt = F.concat(day, F.lit("/"), mon, F.lit("/"), yr, F.lit(":"), hr, F.lit(":"), mt, F.lit(":"), sec, F.lit(" " + LOG_TZ))
+def _verb_case() -> str:
+    whens = " ".join(f"WHEN '{s}' THEN '{v}'" for s, v in ORDER_STATUS_VERB.items())
+    return f"CASE o_orderstatus {whens} ELSE 'PUT' END"
+
+
+def weblog_field_sql() -> list[str]:
+    """SQL text of the 17 input fields of a log line for one order."""
+    day, mon, num, yr = (f"date_format(o_orderdate, '{p}')" for p in ("dd", "MMM", "MM", "yyyy"))
+    hr = "lpad(CAST(o_orderkey % 24 AS STRING), 2, '0')"
+    mt = "lpad(CAST((o_orderkey * 7) % 60 AS STRING), 2, '0')"
+    sec = "lpad(CAST((o_orderkey * 13) % 60 AS STRING), 2, '0')"
+    page = "concat('/p/', substring(o_orderpriority, 1, 1))"
+    ip = "concat_ws('.', '10', '0', CAST(o_custkey % 256 AS STRING), CAST(o_orderkey % 256 AS STRING))"
+    dt = f"concat({day}, '/', {mon}, '/', {yr}, ':', {hr}, ':', {mt}, ':', {sec}, ' {LOG_TZ}')"
     return [
-        id5(F.col("o_custkey")), ip, dt, day, mon, num, yr, hr, mt, sec, F.lit(LOG_TZ), verb, page,
-        F.lit("0"), page, F.concat(F.lit("agent-"), F.col("o_orderstatus")), status,
+        "lpad(CAST(o_custkey AS STRING), 5, '0')", ip, dt, day, mon, num, yr, hr, mt, sec,
+        f"'{LOG_TZ}'", _verb_case(), page, "'0'", page, "concat('agent-', o_orderstatus)", _priority_case(),
     ]
 
 
@@ -133,8 +134,8 @@ def weblog_lines(orders: DataFrame, year: int = LOG_YEAR) -> DataFrame:
     lo, hi = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
     in_year = orders.where((d >= lo) & (d < hi))
     names = [f"f{i}" for i in range(17)]
-    staged = C.evaluate_once(in_year, ["o_orderstatus"], **dict(zip(names, weblog_fields(in_year))))
-    full = F.concat_ws(",", *[F.col(n) for n in names])
-    short = F.concat_ws(",", *[F.col(n) for n in names[:-1]])
-    line = F.when(F.col("o_orderstatus") == "P", short).otherwise(full)
-    return staged.select(line.alias("value"))
+    staged = C.evaluate_once(in_year, ["o_orderstatus"], **{n: F.expr(e) for n, e in zip(names, weblog_field_sql())})
+    full, short = ", ".join(names), ", ".join(names[:-1])
+    return staged.selectExpr(
+        f"CASE WHEN o_orderstatus = 'P' THEN concat_ws(',', {short}) ELSE concat_ws(',', {full}) END AS value"
+    )

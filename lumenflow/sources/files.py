@@ -60,10 +60,8 @@ def parse_weblog(lines: DataFrame, value_col: str = "value") -> DataFrame:
         n_fields < schemas.WEBLOG_INPUT_FIELDS,
         F.concat(F.lit("expected 17 fields, found "), n_fields.cast("string")),
     )
-    cols: list[Column] = [
-        F.get(parts, i).alias(name) for name, i in zip(schemas.WEBLOG_COLUMNS, schemas.WEBLOG_FIELD_SOURCE)
-    ]
-    return step.select(*cols, error.alias(ERROR_COLUMN), F.col("_line"))
+    cols = [f"get(__parts, {i}) AS `{name}`" for name, i in zip(schemas.WEBLOG_COLUMNS, schemas.WEBLOG_FIELD_SOURCE)]
+    return step.withColumn(ERROR_COLUMN, error).selectExpr(*cols, ERROR_COLUMN, "_line")
 
 
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
