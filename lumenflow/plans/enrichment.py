@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lumenflow import schemas
 from lumenflow.operators import enrich as E
-from lumenflow.session import spread
 from lumenflow.sources import derived as D
 from lumenflow.sources import files
 
@@ -31,7 +30,7 @@ def users_from_json(values: DataFrame, schema=schemas.USER_DOC, value_col: str =
 
 def derived_inputs(spark: SparkSession, sf_dir: str) -> EnrichmentInputs:
     """All enrichment inputs derived from the warehouse tables."""
-    docs = D.documents_from_events(spread(D.table(spark, sf_dir, "events")))
+    docs = D.documents(spark, sf_dir)
     users, doc_bad = users_from_json(docs)
     weblog, log_bad = files.split_quarantine(files.parse_weblog(D.weblog_lines(D.table(spark, sf_dir, "orders"))))
     return EnrichmentInputs(

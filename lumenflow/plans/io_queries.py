@@ -71,7 +71,7 @@ def csv_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema inferred from the JSON text itself, then parsed."""
-    docs = D.documents_from_events(D.table(spark, sf_dir, "events"))
+    docs = D.documents(spark, sf_dir)
     found = files.infer_json_schema(docs)
     good, _ = files.split_corrupt(files.parse_json_column(docs, found))
     return _flat_users(E.flatten_users(good))
@@ -79,7 +79,7 @@ def json_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed documents isolated with their text."""
-    docs = D.documents_from_events(D.table(spark, sf_dir, "events"))
+    docs = D.documents(spark, sf_dir)
     _, bad = files.split_corrupt(files.parse_json_column(docs, schemas.USER_DOC))
     return bad
 
@@ -87,7 +87,7 @@ def json_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_sample_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled documents -> text files -> inferred schema, merged
     with the expected one -> used to parse every document."""
-    docs = D.documents_from_events(D.table(spark, sf_dir, "events"))
+    docs = D.documents(spark, sf_dir)
     schema, _unknown = sample_schema(docs.sample(fraction=0.05, seed=7), scratch_path(spark, "sample"),
                                      expected=schemas.USER_DOC)
     good, _ = files.split_corrupt(files.parse_json_column(docs, schema))

@@ -89,6 +89,14 @@ def documents_from_events(events: DataFrame, keep: list[str] | None = None) -> D
     return events.select(*carry, value.alias("value"))
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table as JSON documents, spread over all cores when
+    the table arrives in fewer splits (JSON work is CPU heavy)."""
+    from lumenflow.session import spread
+
+    return documents_from_events(spread(table(spark, sf_dir, "events")))
+
+
 def custprof_from_customer(customer: DataFrame) -> DataFrame:
     return customer.select(
         id5(F.col("c_custkey")).alias("id"),
