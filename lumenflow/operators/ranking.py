@@ -12,6 +12,10 @@ Two strategies with identical results:
   the key distribution. Costs one extra shuffle of the data plus a
   shuffle of the (much smaller) count table.
 
+* ``auto`` - counts rows per key first (a partial aggregate that reads
+  only the key columns) and takes ``range`` when the largest key holds more
+  than ``hot_key_rows`` rows, ``window`` otherwise.
+
 The ordering must be total (add a unique tie-break column) for either
 strategy to be deterministic.
 """
@@ -28,6 +32,16 @@ def _order_cols(order: list[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
+# Rows one task can sort and number comfortably (a few hundred MB).
+DEFAULT_HOT_KEY_ROWS = 5_000_000
+
+
+def hottest_key_rows(df: DataFrame, keys: list[str]) -> int:
+    """Row count of the largest key group (0 for an empty frame)."""
+    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return int(top or 0)
+
+
 def sequence_within_key(
     df: DataFrame,
     keys: list[str],
@@ -36,7 +50,10 @@ def sequence_within_key(
     strategy: str = "window",
     num_partitions: int | None = None,
     count_table_broadcast_rows: int = 2_000_000,
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
+    if strategy == "auto":
+        strategy = "range" if hottest_key_rows(df, keys) > hot_key_rows else "window"
     if strategy == "window":
         w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
         return df.withColumn(out_col, F.row_number().over(w))
@@ -62,6 +79,5 @@ def sequence_within_key(
     joined = numbered.join(offsets, cond, "inner").drop(offsets["__pid"])
     for k in keys:
         joined = joined.drop(offsets[k])
-    return joined.withColumn(out_col, (F.col("__local") + F.col("__offset")).cast("int")).drop(
-        "__pid", "__local", "__offset"
-    )
+    version = (F.col("__local") + F.col("__offset")).cast("int").alias(out_col)
+    return joined.select(*[F.col(c) for c in df.columns if c != out_col], version)

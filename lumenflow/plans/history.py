@@ -9,11 +9,17 @@ adds the I/O around it:
 * the current table is checkpointed (reliable checkpoint in the shared
   ``spark.checkpoint.dir``) before the result overwrites the table it was
   read from;
-* an empty increment leaves the table untouched.
+* an empty increment leaves the table untouched;
+* with ``location_root`` the new table is written to a fresh version folder
+  and the table is then pointed at it (``ALTER TABLE ... SET LOCATION``):
+  readers see the old or the new version, never a half-written one, and a
+  job that dies mid-write leaves the table as it was. Without it the table
+  is overwritten in place after a lineage cut.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -39,6 +45,18 @@ def _write_table(df: DataFrame, table: str, path: str | None, bucket_by: tuple[i
     w.saveAsTable(table)
 
 
+def replace_table(spark: SparkSession, table: str, df: DataFrame, location_root: str) -> str:
+    """Write ``df`` to a new version folder and swap ``table`` onto it."""
+    path = f"{location_root.rstrip('/')}/{table.replace('.', '_')}/v={uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(path)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.sql(f"REFRESH TABLE {table}")
+    else:
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    return path
+
+
 def overwrite_from_self(spark: SparkSession, table: str, transform, path: str | None = None) -> DataFrame:
     """Replace ``table`` with ``transform(table)`` (V3).
 
@@ -62,17 +80,25 @@ def run_scd(
     tiebreak: list[str] | None = None,
     path: str | None = None,
     bucket_by: tuple[int, list[str]] | None = None,
-    strategy: str = "window",
+    strategy: str = "auto",
+    location_root: str | None = None,
 ) -> HistoryResult:
     """C4: create or advance an SCD table of ``kind`` 1 or 2 from ``source``."""
     if kind not in (1, 2):
         raise ValueError("SCD kind must be 1 or 2")
+    def write(df: DataFrame) -> None:
+        if location_root:
+            replace_table(spark, table, df, location_root)
+        else:
+            _write_table(df, table, path, bucket_by)
+
     if not spark.catalog.tableExists(table):
-        first = scd.apply_scd(kind, None, source, keys, change_key, tiebreak, strategy)
-        _write_table(first, table, path, bucket_by)
+        write(scd.apply_scd(kind, None, source, keys, change_key, tiebreak, strategy))
         return HistoryResult(table, True, -1)
 
-    current = spark.table(table).checkpoint(eager=True)
+    # The staged swap reads the old folder while writing a new one; only an
+    # in-place overwrite needs the lineage cut.
+    current = spark.table(table) if location_root else spark.table(table).checkpoint(eager=True)
     incoming = scd.incremental_after(source, current, change_key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = incoming.count()
@@ -84,7 +110,7 @@ def run_scd(
             # Tables written here are already duplicate-free.
             merged = scd.scd2_merge(current, incoming, keys, change_key, tiebreak,
                                     history_is_distinct=True, strategy=strategy)
-        _write_table(merged, table, path, bucket_by)
+        write(merged)
         return HistoryResult(table, True, n)
     finally:
         incoming.unpersist()

@@ -331,6 +331,7 @@ FROM latest WHERE pick = 1
 def statements() -> dict[str, str]:
     return {
         "enrich_customers": ENRICH_CUSTOMERS,
+        "enrich_customers_skew_safe": ENRICH_CUSTOMERS,
         "enrich_counts": ENRICH_COUNTS,
         **HISTORY,
         **IO,

@@ -17,6 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def registry() -> dict[str, Query]:
     return {
         "enrich_customers": enrichment.enrich_customers,
+        "enrich_customers_skew_safe": enrichment.enrich_customers_skew_safe,
         "enrich_counts": enrichment.enrich_counts,
         **history_queries.QUERIES,
         **io_queries.QUERIES,

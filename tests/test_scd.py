@@ -121,3 +121,30 @@ def test_run_scd1_job_shell(spark, tmp_dir):
     more = src.unionByName(spark.createDataFrame([(t(5), 1, "paid")], SCHEMA))
     history.run_scd(spark, 1, table, more, ["orderNumber"], "order_ts", path=f"{tmp_dir}/t1")
     assert {r.orderNumber: r.status for r in spark.table(table).collect()} == {1: "paid", 2: "new"}
+
+
+def test_run_scd_staged_swap(spark, tmp_dir):
+    src = spark.createDataFrame([(t(1), 1, "new"), (t(1), 2, "new")], SCHEMA)
+    table = "scd2_staged_test"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    root = f"{tmp_dir}/versions"
+    history.run_scd(spark, 2, table, src, ["orderNumber"], "order_ts", location_root=root)
+    first_location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
+    more = src.unionByName(spark.createDataFrame([(t(5), 1, "paid")], SCHEMA))
+    history.run_scd(spark, 2, table, more, ["orderNumber"], "order_ts", location_root=root)
+    second_location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
+    assert first_location != second_location
+    assert spark.table(table).count() == 3
+    # the previous version is still intact for readers that started before the swap
+    assert spark.read.parquet(first_location).count() == 2
+
+
+def test_auto_strategy_picks_range_for_hot_key(spark):
+    from lumenflow.operators import ranking
+
+    df = spark.createDataFrame([(1 if i < 30 else i, i) for i in range(40)], "k int, o int")
+    assert ranking.hottest_key_rows(df, ["k"]) == 30
+    a = ranking.sequence_within_key(df, ["k"], ["o"], strategy="auto", hot_key_rows=10)
+    b = ranking.sequence_within_key(df, ["k"], ["o"], strategy="window")
+    assert rows(a) == rows(b)
+    assert sorted(r.version for r in a.where("k = 1").collect()) == list(range(1, 31))
