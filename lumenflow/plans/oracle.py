@@ -23,13 +23,13 @@ _USER_FIELDS = """
     'State' || CAST(u % 10 AS VARCHAR) AS state,
     lpad(CAST(u AS VARCHAR), 5, '0') AS username"""
 
-# flattened users: click -> user, purchase -> user and user + 1
+# flattened users: click -> user, purchase -> user and referred user 99999 - user
 USD = f"""usd AS (
   SELECT page, {_USER_FIELDS}
   FROM (
     SELECT event_type AS page, user_id AS u FROM events WHERE event_type IN ('click', 'purchase')
     UNION ALL
-    SELECT event_type AS page, user_id + 1 AS u FROM events WHERE event_type = 'purchase'
+    SELECT event_type AS page, 99999 - user_id AS u FROM events WHERE event_type = 'purchase'
   ) r
 )"""
 
@@ -40,7 +40,7 @@ CP = """cp AS (
   FROM customer
 )"""
 
-# all 1998 log lines (before quarantine), as 17 fields
+# one log line per order (before quarantine), as 17 fields
 _LOG_ALL = """log_fields AS (
   SELECT
     lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS username,
@@ -62,7 +62,6 @@ _LOG_ALL = """log_fields AS (
          WHEN '4' THEN '404' ELSE 'n/a' END AS statuscd,
     o_orderstatus
   FROM orders
-  WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'
 ),
 log_all AS (
   SELECT *, day || '/' || month || '/' || yr || ':' || hr || ':' || mt || ':' || sec || ' -0500' AS dt

@@ -13,10 +13,13 @@ Event type -> document shape (one JSON document per event):
 * ``signup``   - ``info`` without ``page`` (dropped by the page filter)
 * ``view``     - ``results`` is an empty array (explode yields nothing)
 * ``click``    - one result, the event's user
-* ``purchase`` - two results: the user and user ``user_id + 1``
+* ``purchase`` - two results: the user and a referred user numbered
+  ``99999 - user_id`` (outside the customer key space at these scales, so
+  it has neither a profile nor log lines: a *new customer*)
 
-The web log covers the orders of one year (1998); orders with status
-``P`` are written without their status field, i.e. 16 fields (quarantine).
+The web log has one line per order of the whole ``orders`` table; orders
+with status ``P`` are written without their status field, i.e. 16 fields
+(quarantine).
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from lumenflow import schemas
 from lumenflow.functions import columns as C
 
 # Fixed values of the derivation (the SQL oracle repeats them).
-LOG_YEAR = 1998
+REFERRAL_BASE = 99999  # referred user number = REFERRAL_BASE - user_id
 LOG_TZ = "-0500"
 HISTORY_CUTOFF = "2000-01-01"
 STATUS_ROWS = [
@@ -81,7 +84,7 @@ def documents_from_events(events: DataFrame, keep: list[str] | None = None) -> D
       'info', CASE WHEN event_type = 'signup' THEN named_struct('page', CAST(NULL AS STRING))
                    ELSE named_struct('page', event_type) END,
       'results', CASE WHEN event_type = 'view' THEN CAST(array() AS {results_type})
-                      WHEN event_type = 'purchase' THEN array({_user_sql('user_id')}, {_user_sql('user_id + 1')})
+                      WHEN event_type = 'purchase' THEN array({_user_sql('user_id')}, {_user_sql(f'{REFERRAL_BASE} - user_id')})
                       ELSE array({_user_sql('user_id')}) END))"""
     text = F.expr(doc)
     value = F.when(F.col("event_type") == "error", F.substring(text, 1, 20)).otherwise(text)
@@ -134,15 +137,10 @@ def weblog_field_sql() -> list[str]:
     ]
 
 
-def weblog_lines(orders: DataFrame, year: int = LOG_YEAR) -> DataFrame:
-    """Text lines (column ``value``) of the log for one year of orders."""
-    # A range on the raw column (not year(...)), applied before anything
-    # else, so it reaches the parquet scan as PushedFilters.
-    d = F.col("o_orderdate")
-    lo, hi = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-    in_year = orders.where((d >= lo) & (d < hi))
+def weblog_lines(orders: DataFrame) -> DataFrame:
+    """Text lines (column ``value``) of the log: one per order."""
     names = [f"f{i}" for i in range(17)]
-    staged = C.evaluate_once(in_year, ["o_orderstatus"], **{n: F.expr(e) for n, e in zip(names, weblog_field_sql())})
+    staged = C.evaluate_once(orders, ["o_orderstatus"], **{n: F.expr(e) for n, e in zip(names, weblog_field_sql())})
     full, short = ", ".join(names), ", ".join(names[:-1])
     return staged.selectExpr(
         f"CASE WHEN o_orderstatus = 'P' THEN concat_ws(',', {short}) ELSE concat_ws(',', {full}) END AS value"
