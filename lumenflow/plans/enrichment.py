@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lumenflow import schemas
 from lumenflow.operators import enrich as E
+from lumenflow.session import spread
 from lumenflow.sources import derived as D
 from lumenflow.sources import files
 
@@ -32,7 +33,8 @@ def derived_inputs(spark: SparkSession, sf_dir: str) -> EnrichmentInputs:
     """All enrichment inputs derived from the warehouse tables."""
     docs = D.documents(spark, sf_dir)
     users, doc_bad = users_from_json(docs)
-    weblog, log_bad = files.split_quarantine(files.parse_weblog(D.weblog_lines(D.table(spark, sf_dir, "orders"))))
+    orders = spread(D.table(spark, sf_dir, "orders"))
+    weblog, log_bad = files.split_quarantine(files.parse_weblog(D.weblog_lines(orders)))
     return EnrichmentInputs(
         users=users,
         custprof=D.custprof_from_customer(D.table(spark, sf_dir, "customer")),

@@ -16,7 +16,7 @@ from lumenflow.plans.history import overwrite_from_self
 from lumenflow.sinks import tables
 from lumenflow.sources import derived as D
 from lumenflow.sources import files, jdbc
-from lumenflow.session import scratch_path
+from lumenflow.session import scratch_path, spread
 from lumenflow.streaming.schema_sampling import sample_schema
 
 USER_OUT = [
@@ -44,7 +44,7 @@ def xml_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weblog_file(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "weblog")
-    files.write_text(D.weblog_lines(D.table(spark, sf_dir, "orders")), path)
+    files.write_text(D.weblog_lines(spread(D.table(spark, sf_dir, "orders"))), path)
     return path
 
 
