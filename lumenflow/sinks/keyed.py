@@ -21,6 +21,7 @@ or a real index connector through ``format(...)`` instead.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,20 +53,27 @@ class KeyedUpsertSink:
         last = self.latest_version(spark)
         if last is not None and batch_id <= last:
             return False
-        key = F.col(self.key)
-        batch.where(key.isNull()).write.mode("overwrite").parquet(f"{self.root}/_null_keys/batch={batch_id}")
-        cols = batch.columns
-        rank = F.struct(F.lit(batch_id).cast("long").alias("__b"), *[F.col(c) for c in self.order])
-        incoming = batch.where(key.isNotNull()).withColumn("__rank", rank)
-        if last is not None:
-            current = spark.read.parquet(f"{self.root}/v={last}").select(*cols)
-            current = current.withColumn(
-                "__rank", F.struct(F.lit(-1).cast("long").alias("__b"), *[F.col(c) for c in self.order])
+        # The batch feeds two writes (null keys, snapshot): compute it once.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            key = F.col(self.key)
+            batch.where(key.isNull()).write.mode("overwrite").parquet(f"{self.root}/_null_keys/batch={batch_id}")
+            cols = batch.columns
+            rank = F.struct(F.lit(batch_id).cast("long").alias("__b"), *[F.col(c) for c in self.order])
+            incoming = batch.where(key.isNotNull()).withColumn("__rank", rank)
+            if last is not None:
+                current = spark.read.parquet(f"{self.root}/v={last}").select(*cols)
+                current = current.withColumn(
+                    "__rank", F.struct(F.lit(-1).cast("long").alias("__b"), *[F.col(c) for c in self.order])
+                )
+                incoming = current.unionByName(incoming)
+            row = F.struct(*[F.col(c) for c in cols if c != self.key])
+            merged = incoming.groupBy(self.key).agg(F.max_by(row, F.col("__rank")).alias("__row"))
+            merged.select(self.key, "__row.*").select(*cols).write.mode("overwrite").parquet(
+                f"{self.root}/v={batch_id}"
             )
-            incoming = current.unionByName(incoming)
-        row = F.struct(*[F.col(c) for c in cols if c != self.key])
-        merged = incoming.groupBy(self.key).agg(F.max_by(row, F.col("__rank")).alias("__row"))
-        merged.select(self.key, "__row.*").select(*cols).write.mode("overwrite").parquet(f"{self.root}/v={batch_id}")
+        finally:
+            batch.unpersist()
         spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")).write.mode("append").json(
             f"{self.root}/_commits"
         )
