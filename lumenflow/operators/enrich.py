@@ -123,7 +123,7 @@ def enrich(
     status: DataFrame,
     legacy_order: bool = True,
     with_version: bool = True,
-    version_strategy: str = "window",
+    version_strategy: str = "auto",
     profile_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     log_broadcast_rows: int = 0,
     status_broadcast_rows: int = 10_000,
@@ -137,8 +137,10 @@ def enrich(
       ``try_cast``)
     * ``version``: ``row_number`` per ``username`` ordered by the log time
       (``legacy_order``: the text parts yr, month, day, hr, mt, sec).
-      ``version_strategy='range'`` numbers hot users without a single task
-      holding all their rows.
+      ``version_strategy='auto'`` (default) first counts rows per user (a
+      partial aggregate over the pruned plan) and switches to the skew-safe
+      ``range`` numbering when one user is too big for one task;
+      ``'window'`` skips the check, ``'range'`` always splits.
     """
     u, cp, cp_type, wl, ws, ws_type = _dims(
         users, custprof, weblog, status, profile_broadcast_rows, log_broadcast_rows, status_broadcast_rows
