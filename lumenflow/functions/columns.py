@@ -16,7 +16,6 @@ __all__ = [
     "customer_id",
     "customer_type",
     "coordinates",
-    "safe_long",
     "mask_prefix",
     "strip_digits",
     "strip_phone_punctuation",
@@ -26,7 +25,6 @@ __all__ = [
     "element_columns",
     "delimited",
     "timestamped_id",
-    "high_water_default",
     "evaluate_once",
     "NEW_CUSTOMER",
     "EXISTING_CUSTOMER",
@@ -72,11 +70,6 @@ def coordinates(latitude: str | Column, longitude: str | Column) -> Column:
     return F.concat(as_col(latitude), as_col(longitude))
 
 
-def safe_long(c: str | Column) -> Column:
-    """String -> bigint that yields null instead of failing under ANSI."""
-    return as_col(c).try_cast("bigint")
-
-
 def mask_prefix(c: str | Column, start: int, length: int, mask_char: str = "*") -> Column:
     """Replace ``length`` characters from 0-based ``start`` by ``mask_char``.
 
@@ -125,8 +118,6 @@ def timestamped_id(username: str | Column, ts: Column | None = None) -> Column:
     return F.concat(as_col(username), stamp.cast("string"))
 
 
-def high_water_default(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(EMPTY_MARK))
 
 
 def evaluate_once(df: DataFrame, keep: list[str], **named: Column) -> DataFrame:

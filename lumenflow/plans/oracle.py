@@ -10,7 +10,7 @@ Dialect notes: ``||`` (null if any side is null, like Spark's ``concat``),
 
 from __future__ import annotations
 
-# user number -> document fields (mirror of derived.user_result)
+# user number -> document fields (mirror of derived._user_sql)
 _USER_FIELDS = """
     '(' || substr(lpad(CAST(u AS VARCHAR), 5, '0'), 1, 3) || ')-' || substr(lpad(CAST(u AS VARCHAR), 5, '0'), 4, 2) || '-0000' AS cell,
     'First' || CAST(u AS VARCHAR) AS first,

@@ -25,10 +25,8 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def show(df: DataFrame, n: int = 20, truncate: bool = False) -> None:
-    """K5: print rows (only ``n`` reach the driver)."""
+def show(df: DataFrame, n: int = 20, truncate: bool = False, schema: bool = False) -> None:
+    """K5: print the schema and/or ``n`` rows (only ``n`` reach the driver)."""
+    if schema:
+        df.printSchema()
     df.show(n, truncate)
-
-
-def describe_schema(df: DataFrame) -> str:
-    return df.schema.treeString() if hasattr(df.schema, "treeString") else df.schema.simpleString()

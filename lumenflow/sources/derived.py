@@ -72,11 +72,6 @@ def _user_sql(u: str) -> str:
           'longitude', concat('-', CAST(70 + {u} % 23 AS STRING), '.25'))))"""
 
 
-def user_result(u: Column | str) -> Column:
-    """A ``results[]`` element for user number ``u`` (column name or SQL)."""
-    return F.expr(_user_sql(u if isinstance(u, str) else "user_id"))
-
-
 def documents_from_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``events`` -> one JSON text per event in column ``value``."""
     results_type = schemas.USER_DOC["results"].dataType.simpleString()

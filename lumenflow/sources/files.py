@@ -76,11 +76,6 @@ def read_weblog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return split_quarantine(parse_weblog(spark.read.text(path)))
 
 
-def render_weblog_line(cols: list[Column]) -> Column:
-    """Inverse of the parser for 17 input fields (used by writers/tests)."""
-    return F.concat_ws(",", *cols)
-
-
 # --------------------------------------------------------------------- CSV
 def read_csv_strings(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
     """S3: headerless CSV, every column a string named ``_c0, _c1, ...``."""
