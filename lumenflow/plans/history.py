@@ -99,7 +99,11 @@ def run_scd(
     # The staged swap reads the old folder while writing a new one; only an
     # in-place overwrite needs the lineage cut.
     current = spark.table(table) if location_root else spark.table(table).checkpoint(eager=True)
-    incoming = scd.incremental_after(source, current, change_key).persist(StorageLevel.MEMORY_AND_DISK)
+    # The mark is fetched as one scalar and applied as a literal, so the
+    # filter is pushed into the source: JDBC query text or parquet row-group
+    # statistics (a scalar-subquery filter would be applied after a full read).
+    mark = scd.high_water_mark(current, change_key)
+    incoming = scd.incremental_rows(source, change_key, mark).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = incoming.count()
         if n == 0:
