@@ -159,6 +159,20 @@ HISTORY = {
     "incremental_extract": f"""
 SELECT {ORDERS_COLS} FROM orders
 WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')
+""",
+    "scd2_job": VERSIONED_ORDERS,
+    "scd1_job": f"""
+WITH hist AS (SELECT {ORDERS_COLS} FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+inc AS (SELECT {ORDERS_COLS} FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM hist)),
+newest AS (
+  SELECT {ORDERS_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM inc
+  ) t WHERE rn = 1
+)
+SELECT * FROM hist WHERE o_custkey NOT IN (SELECT o_custkey FROM inc)
+UNION ALL
+SELECT * FROM newest
 """,
     "hwm_empty_default": """
 SELECT 'empty' AS source, coalesce(CAST(max(o_orderdate) AS VARCHAR), '0001-01-01 00:00:00') AS hwm
