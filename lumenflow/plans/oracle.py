@@ -310,7 +310,15 @@ FROM usd
 """,
 }
 
+_REFRESHED = ENRICH_CTES.replace(
+    "cp.age AS profile_age, cp.profession,",
+    "cp.age AS profile_age, CASE WHEN usd.page = 'purchase' THEN lower(cp.profession) "
+    "ELSE cp.profession END AS profession,",
+)
+assert _REFRESHED != ENRICH_CTES
+
 STREAMING = {
+    "dimension_refresh": ENRICH_COUNTS.replace(ENRICH_CTES, _REFRESHED),
     "stream_enrich_counts": ENRICH_COUNTS,
     "stream_foreach_batch_enrich": f"""
 WITH {ENRICH_CTES},
