@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from lumenflow import schemas
 from lumenflow.operators import enrich as E
-from lumenflow.plans import enrichment
 from lumenflow.plans.history import overwrite_from_self
 from lumenflow.sinks import tables
 from lumenflow.sources import derived as D
