@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from lumenflow.functions import columns as C
 from lumenflow.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, key_equals
-from lumenflow.operators.ranking import sequence_within_key
+from lumenflow.operators.ranking import DEFAULT_HOT_KEY_ROWS, sequence_within_key
 
 USER_COLUMNS = [
     "page", "cell", "first", "age", "email", "uscity", "latitude", "longitude",
@@ -124,6 +124,7 @@ def enrich(
     legacy_order: bool = True,
     with_version: bool = True,
     version_strategy: str = "auto",
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     profile_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     log_broadcast_rows: int = 0,
     status_broadcast_rows: int = 10_000,
@@ -158,7 +159,8 @@ def enrich(
     )
     if with_version:
         out = sequence_within_key(
-            out, ["username"], _version_order(legacy_order), "version", strategy=version_strategy
+            out, ["username"], _version_order(legacy_order), "version", strategy=version_strategy,
+            hot_key_rows=hot_key_rows,
         )
     else:
         out = out.withColumn("version", F.lit(None).cast("int"))

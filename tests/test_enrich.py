@@ -90,3 +90,10 @@ def test_project_users_same_id_within_query(inputs):
     users = inputs[0]
     out = E.project_users(users).where("username = '01784'").select("custid").distinct()
     assert out.count() == 1  # current_timestamp is constant per query (trap 16)
+
+
+def test_auto_strategy_with_hot_user_matches_window(inputs):
+    # 01784 has 4 output rows: with a threshold of 2 it counts as hot -> range path
+    a = E.enrich(*inputs, version_strategy="auto", hot_key_rows=2)
+    b = E.enrich(*inputs, version_strategy="window")
+    assert rows(a) == rows(b)
