@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from lumenflow import schemas
 from lumenflow.operators import enrich as E
+from lumenflow.operators import scd
 from lumenflow.plans.history import overwrite_from_self
+from lumenflow.plans.history_queries import CHANGE_KEY, KEYS, TIEBREAK, before_cutoff
 from lumenflow.sinks import tables
 from lumenflow.sources import derived as D
 from lumenflow.sources import files, jdbc
@@ -120,13 +122,10 @@ def run_sql_file(spark: SparkSession, path: str, views: dict[str, DataFrame], ar
 
 
 def sql_text_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lumenflow.operators import scd
-    from lumenflow.plans.history_queries import CHANGE_KEY, KEYS, TIEBREAK, _before_cutoff
-
     path = scratch_path(spark, "sql")
     spark.createDataFrame([(SCD2_SQL,)], "value string").write.mode("overwrite").text(path)
     orders = D.table(spark, sf_dir, "orders")
-    old = scd.scd2_initial(_before_cutoff(orders), KEYS, CHANGE_KEY, TIEBREAK)
+    old = scd.scd2_initial(before_cutoff(orders), KEYS, CHANGE_KEY, TIEBREAK)
     new = scd.incremental_after(orders, old, CHANGE_KEY)
     return run_sql_file(spark, path, {"tv_orders_old": old, "tv_orders_new": new})
 
@@ -185,12 +184,9 @@ def jdbc_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def jdbc_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows after the high-water mark, filter pushed into the database."""
-    from lumenflow.operators import scd
-    from lumenflow.plans.history_queries import CHANGE_KEY, _before_cutoff
-
     orders = D.table(spark, sf_dir, "orders")
     src = _derby_with(spark, sf_dir, "orders")
-    mark = scd.high_water_mark(_before_cutoff(orders), CHANGE_KEY)
+    mark = scd.high_water_mark(before_cutoff(orders), CHANGE_KEY)
     lo, hi = jdbc.key_bounds(orders, "o_orderkey")
     return jdbc.read_incremental(spark, src, "ORDERS", CHANGE_KEY, mark,
                                  jdbc.Partitioning("o_orderkey", lo, hi + 1, 4))
