@@ -43,8 +43,8 @@ from pyspark.sql.types import BinaryType
 
 from lumenflow.llm.textops import add_columns
 
-MEMO_PIECES = 300_000
-MEMO_PAIRS = 500_000
+MEMO_PIECES = 150_000
+MEMO_PAIRS = 250_000
 #: Longer pieces are encoded without the memo.
 MEMO_BYTES = 64
 
@@ -119,7 +119,6 @@ class Encoder:
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
             raise ValueError(f"{len(missing)} single bytes aren't in the vocabulary")
         self.ranks, self.splits = ranks, splits
-        self.token = {r: t for t, r in ranks.items()}
         self.length = {r: len(t) for t, r in ranks.items()}
         self.joined = {pair: r for r, pair in splits.items() if pair[0] != r}
         self.find = regex.compile(pattern).findall
@@ -227,8 +226,10 @@ class Encoder:
             self.pieces[piece] = ids
         return ids
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+def decode_ids(token: dict[int, bytes], ids: bytes) -> bytes:
+    """The bytes of packed ``ids``, by the table of each id's bytes."""
+    return b"".join(map(token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 class Vocabulary:
@@ -238,19 +239,25 @@ class Vocabulary:
     bounds and the data don't.
     """
 
-    _built: dict[int, Encoder] = {}
+    _built: dict[tuple[int, str], Encoder | dict[int, bytes]] = {}
 
     def __init__(self, spark: SparkSession, ranks_path: str, pattern: str):
         ranks = read_ranks(ranks_path)
         self.sent = spark.sparkContext.broadcast((ranks, derive_splits(ranks), pattern, later_letters()))
 
-    def encoder(self) -> Encoder:
-        key = id(self.sent.value)
+    def _once(self, what: str, build):
+        key = (id(self.sent.value), what)
         if key not in self._built:
             self._built.clear()
-            self._built[key] = Encoder(*self.sent.value)
+            self._built[key] = build(*self.sent.value)
         return self._built[key]
 
+    def encoder(self) -> Encoder:
+        return self._once("encoder", Encoder)
+
+    def tokens(self) -> dict[int, bytes]:
+        return self._once("tokens", lambda ranks, *_: {r: t for t, r in ranks.items()})
+
 
 def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with ``ids``: binary, the token ids as little-endian uint32."""
@@ -266,7 +273,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str
     """``df`` with ``decoded``: the bytes of the tokens in ``ids`` (null: none)."""
 
     def compute(column: pa.Array) -> list[pa.Array]:
-        encoder = vocabulary.encoder()
-        return [pa.array([encoder.decode(i) if i else b"" for i in column.to_pylist()], pa.binary())]
+        token = vocabulary.tokens()
+        return [pa.array([decode_ids(token, i) if i else b"" for i in column.to_pylist()], pa.binary())]
 
     return add_columns(df, [ids], [(decoded, BinaryType())], compute)
