@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import bpe, htmltext, minmax, secretscan, warc, weaksupervision
+from lumenflow.llm import bpe, fmindex, htmltext, minmax, secretscan, warc, weaksupervision
 from lumenflow.session import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -60,6 +60,12 @@ def op3_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every text when windows of 13 words stay in their first document only."""
+    left = fmindex.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every text; the document that gives a component its id is kept."""
     found = minmax.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=minmax.PERCENT)
@@ -88,7 +94,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_warc_revisits, op2_secret_scan, op3_weak_supervision, op6_minmax_near_dedup, op9_html_main_text, op10_byte_bpe)
+        for f in (op1_warc_revisits, op2_secret_scan, op3_weak_supervision, op4_fm_index_dedup, op6_minmax_near_dedup, op9_html_main_text, op10_byte_bpe)
     }
 
 
