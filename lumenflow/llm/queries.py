@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import bpe, fmindex, htmltext, minmax, secretscan, warc, weaksupervision
+from lumenflow.llm import bpe, decontaminate, fmindex, htmltext, minmax, secretscan, surrogates, warc, weaksupervision
 from lumenflow.session import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
+#: The secret of the surrogates; a deployment gives its own.
+SURROGATE_KEY = b"a key for tests and checks only"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,12 +68,33 @@ def op4_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that each text holds, whole or a segment, within the edit budget."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.matches(docs, _table(spark, sf_dir, "benchmark")).drop("text")
+    return found.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.size("leaks").cast("long").alias("n_items"),
+        F.array_join(F.transform("leaks", lambda m: m["item_id"].cast("string")), ",").alias("item_ids"),
+        F.array_min(F.transform("leaks", lambda m: m["edits"])).alias("least_edits"),
+    )
+
+
 def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every text; the document that gives a component its id is kept."""
     found = minmax.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=minmax.PERCENT)
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal data replaced, and the kinds and places of the replacements."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = surrogates.replace(docs, SURROGATE_KEY)
+    spans = F.transform("entities", lambda e: F.concat_ws(":", e["kind"], e["start"], e["end"]))
+    return done.select("doc_id", "text", F.size("entities").cast("long").alias("n_replaced"), F.array_join(spans, ",").alias("replaced"))
+
+
 def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -92,10 +115,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op1_warc_revisits, op2_secret_scan, op3_weak_supervision, op4_fm_index_dedup, op6_minmax_near_dedup, op9_html_main_text, op10_byte_bpe)
-    }
+    numbered = (
+        op1_warc_revisits,
+        op2_secret_scan,
+        op3_weak_supervision,
+        op4_fm_index_dedup,
+        op5_benchmark_decontamination,
+        op6_minmax_near_dedup,
+        op7_pii_surrogates,
+        op9_html_main_text,
+        op10_byte_bpe,
+    )
+    return {f.__name__: f for f in numbered}
 
 
 def statements() -> dict[str, str]:
