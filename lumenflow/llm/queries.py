@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import bpe, decontaminate, fmindex, htmltext, minmax, secretscan, surrogates, warc, weaksupervision
+from lumenflow.llm import bpe, ctxmix, decontaminate, fmindex, htmltext, minmax, secretscan, surrogates, warc, weaksupervision
 from lumenflow.session import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -95,6 +95,12 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("entities").cast("long").alias("n_replaced"), F.array_join(spans, ",").alias("replaced"))
 
 
+def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text under unigrams and under context mixing."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ctxmix.score(docs, "crc32(cast(doc_id AS string)) % 7 != 2")
+
+
 def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -123,6 +129,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_benchmark_decontamination,
         op6_minmax_near_dedup,
         op7_pii_surrogates,
+        op8_context_mixing,
         op9_html_main_text,
         op10_byte_bpe,
     )
