@@ -43,7 +43,7 @@ from lumenflow.llm.minmax import staged
 WINDOW = 13
 GRAM = 4
 DEPTH = 16
-SHARD_PASSAGES = 50_000
+SHARD_PASSAGES = 30_000
 HOT = 5_000
 #: Longer passages are searched in parts that overlap by a window less a word.
 QUERY_WORDS = 64
