@@ -150,8 +150,8 @@ RULES = ("fragment", "symbols", "letters", "shouting", "capitals", "repeats", "l
 VOUCHING = frozenset({"sentences"})
 
 
-def with_votes(df: DataFrame, text: str = "text", votes: str = "votes") -> DataFrame:
-    """``df`` with the counts of the whole text and ``votes``, a letter per rule (g, b or -)."""
+def with_votes(df: DataFrame, text: str = "text", votes: str = "votes", prefix: str = "") -> DataFrame:
+    """``df`` with the counts of the whole text (names after ``prefix``) and ``votes``, a letter per rule (g, b or -)."""
 
     def compute(column: pa.Array) -> list[pa.Array]:
         c = counts(column)
@@ -161,7 +161,7 @@ def with_votes(df: DataFrame, text: str = "text", votes: str = "votes") -> DataF
         patterns = [row.tobytes().decode() for row in table]
         return [*[pa.array(c[n].astype(np.int64)) for n in COUNTS], pa.array(patterns, pa.string())]
 
-    return t.add_columns(df, [text], [*[(n, LongType()) for n in COUNTS], (votes, StringType())], compute)
+    return t.add_columns(df, [text], [*[(prefix + n, LongType()) for n in COUNTS], (votes, StringType())], compute)
 
 
 class Model:
