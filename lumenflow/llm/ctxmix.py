@@ -45,6 +45,8 @@ from lumenflow.llm.minmax import staged
 
 ORDERS = 6
 TABLE_BITS = 20
+#: Bytes of texts that are taken apart at once.
+SLICE, SCORE_SLICE = 4 << 20, 2 << 20
 #: Different windows that the weights are learnt from, at most, the same number of each hash range.
 LEARN_WINDOWS = 300_000
 #: Windows in a batch of training, rounds over a task's windows, and the learning rate.
@@ -60,26 +62,39 @@ def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """(six bytes up to each byte of each text and its end as one number, bounds of the texts)."""
     n = len(offsets) - 1
     bounds = offsets + np.arange(n + 1)
-    stream = np.zeros(bounds[-1], np.uint64)
-    row = np.repeat(np.arange(n), np.diff(offsets))
-    stream[np.arange(len(data)) + row] = np.maximum(data, 1)
-    out = stream.copy()
-    place = np.arange(len(stream)) - np.repeat(bounds[:-1], np.diff(bounds))
+    stream = np.insert(np.maximum(data, 1), offsets[1:], 0).astype(np.uint64)
+    out, shifted = stream.copy(), np.empty_like(stream)
     for k in range(1, ORDERS):
-        out[k:] |= np.where(place[k:] >= k, stream[:-k], 0).astype(np.uint64) << np.uint64(8 * k)
+        np.left_shift(stream[:-k], np.uint64(8 * k), out=shifted[k:])
+        out[k:] |= shifted[k:]
+    for k in range(ORDERS - 1):  # what comes before a text isn't its context
+        at = bounds[:-1][np.diff(bounds) > k] + k
+        out[at] &= np.uint64((1 << 8 * (k + 1)) - 1)
     return out, bounds
 
 
-def _slots(window: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(slots by order, node of the byte's tree, whether the bit is set)."""
+def _distinct(found: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different values and the sums of their counts."""
+    codes, kinds = pd.factorize(np.concatenate(found))
+    return kinds, np.bincount(codes, np.concatenate(counts), len(kinds)).astype(np.int64)
+
+
+def _contexts(window: np.ndarray) -> list[np.ndarray]:
+    """A hash of the last bytes before the window's byte, for each order."""
+    before = window >> np.uint64(8)
+    return [t.mix((before & np.uint64((1 << 8 * order) - 1)) + np.uint64((order + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) for order in range(ORDERS)]
+
+
+def _node(window: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(node of the byte's tree before the bit, whether the bit is set)."""
     byte = window & np.uint64(255)
     node = np.uint64(1 << bit) | (byte >> np.uint64(8 - bit))
-    slots = np.empty((ORDERS, len(window)), np.int64)
-    for order in range(ORDERS):
-        context = (window >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
-        h = t.mix((context << np.uint64(8) | node) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(order))
-        slots[order] = (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64) + (order << TABLE_BITS)
-    return slots, node.astype(np.int64), ((byte >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
+    return node, ((byte >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
+
+
+def _slot(context: np.ndarray, node: np.ndarray, order: int) -> np.ndarray:
+    h = (context + node * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64) + (order << TABLE_BITS)
 
 
 @dataclass
@@ -106,17 +121,31 @@ def new_mixer() -> Mixer:
     return Mixer(np.full((GATES, ORDERS), 1.5 / ORDERS), np.zeros(GATES))
 
 
-def _inputs(tables: Tables, window: np.ndarray, bit: int, leave_out: bool):
-    """(stretched predictions, gate, node, bit) of a bit of each window."""
-    slots, node, value = _slots(window, bit)
-    zeros, ones = tables.zeros[slots], tables.ones[slots]
-    if leave_out:  # a prediction made before the window was seen
-        zeros = np.maximum(zeros - (1 - value), 0)
-        ones = np.maximum(ones - value, 0)
-    seen = zeros + ones
-    stretched = np.log((ones + 0.05) / (zeros + 0.05))
-    level = np.minimum(np.log2(seen[-2:] + 1).astype(np.int64), LEVELS - 1)
-    return stretched, (bit * LEVELS + level[1]) * LEVELS + level[0], node, value
+def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.log((ones + np.float32(0.05)) / (zeros + np.float32(0.05)))
+
+
+def _level(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(zeros + ones + 1), LEVELS - 1).astype(np.uint8)
+
+
+def _gate(bit: int, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Weight set: the bit's place and how much the two highest orders have seen."""
+    return (bit * LEVELS + high.astype(np.int64)) * LEVELS + low
+
+
+def _inputs(tables: Tables, contexts: list[np.ndarray], window: np.ndarray, bit: int):
+    """(stretched predictions, gate, node, bit) as they were before each window was seen once more."""
+    node, value = _node(window, bit)
+    stretched, levels = [], []
+    for order in range(ORDERS):
+        slot = _slot(contexts[order], node, order)
+        zeros = np.maximum(tables.zeros[slot] - (1 - value), 0)
+        ones = np.maximum(tables.ones[slot] - value, 0)
+        stretched.append(_stretch(zeros, ones))
+        if order >= ORDERS - 2:
+            levels.append(_level(zeros, ones))
+    return np.stack(stretched), _gate(bit, levels[1], levels[0]), node.astype(np.int64), value
 
 
 def _squash(x: np.ndarray) -> np.ndarray:
@@ -133,8 +162,9 @@ def learn(mixer: Mixer, tables: Tables, window: np.ndarray, count: np.ndarray) -
     for _ in range(ROUNDS):
         for begin in range(0, len(window), BATCH):
             w, c = window[begin : begin + BATCH], count[begin : begin + BATCH].astype(float)
+            contexts = _contexts(w)
             for bit in range(8):
-                x, gate, _, value = _inputs(tables, w, bit, True)
+                x, gate, _, value = _inputs(tables, contexts, w, bit)
                 error = value - _squash((mixer.weights[gate].T * x).sum(axis=0))
                 step = np.zeros_like(mixer.weights)
                 for order in range(ORDERS):
@@ -150,27 +180,50 @@ def learn(mixer: Mixer, tables: Tables, window: np.ndarray, count: np.ndarray) -
 def refine_counts(mixer: Mixer, tables: Tables, window: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Counts of zeros and ones by node and bucket of the mix."""
     out = np.zeros((2, 256 * REFINE_BUCKETS))
-    for bit in range(8):
-        x, gate, node, value = _inputs(tables, window, bit, True)
-        at = node * REFINE_BUCKETS + _bucket((mixer.weights[gate].T * x).sum(axis=0))
-        for v in (0, 1):
-            out[v] += np.bincount(at[value == v], count[value == v], out.shape[1])
+    for begin in range(0, len(window), 64 * BATCH):
+        w, n = window[begin : begin + 64 * BATCH], count[begin : begin + 64 * BATCH]
+        contexts = _contexts(w)
+        for bit in range(8):
+            x, gate, node, value = _inputs(tables, contexts, w, bit)
+            at = node * REFINE_BUCKETS + _bucket((mixer.weights[gate].T * x).sum(axis=0))
+            for v in (0, 1):
+                out[v] += np.bincount(at[value == v], n[value == v], out.shape[1])
     return out
 
 
-def bits_of(mixer: Mixer, tables: Tables, window: np.ndarray) -> np.ndarray:
+@dataclass
+class Predictors:
+    """The tables as scoring reads them: the stretched prediction and the level of each slot."""
+
+    stretched: np.ndarray
+    level: np.ndarray
+
+
+def predictors(tables: Tables) -> Predictors:
+    return Predictors(_stretch(tables.zeros, tables.ones).astype(np.float32), _level(tables.zeros, tables.ones))
+
+
+def bits_of(mixer: Mixer, tables: Predictors, window: np.ndarray) -> np.ndarray:
     """Bits that the model needs for the last byte of each window."""
     total = np.zeros(len(window))
-    for bit in range(8):
-        x, gate, node, value = _inputs(tables, window, bit, False)
-        mixed = (mixer.weights[gate].T * x).sum(axis=0)
-        p = _squash(mixed)
-        if mixer.refine is not None:
-            at = node * REFINE_BUCKETS + _bucket(mixed)
-            zeros, ones = mixer.refine[0][at], mixer.refine[1][at]
-            p = (p + (ones + 20 * p) / (zeros + ones + 20)) / 2
-        p = np.clip(p, 1e-6, 1 - 1e-6)
-        total -= np.log2(np.where(value == 1, p, 1 - p))
+    weights = np.ascontiguousarray(mixer.weights.T.astype(np.float32))
+    for begin in range(0, len(window), 64 * BATCH):  # in parts that stay in the cache
+        part = window[begin : begin + 64 * BATCH]
+        contexts = _contexts(part)
+        for bit in range(8):
+            node, value = _node(part, bit)
+            slots = [_slot(contexts[order], node, order) for order in range(ORDERS)]
+            gate = _gate(bit, tables.level[slots[-1]], tables.level[slots[-2]])
+            mixed = np.zeros(len(part), np.float32)
+            for order in range(ORDERS):
+                mixed += weights[order][gate] * tables.stretched[slots[order]]
+            p = _squash(mixed)
+            if mixer.refine is not None:
+                at = node.astype(np.int64) * REFINE_BUCKETS + _bucket(mixed)
+                zeros, ones = mixer.refine[0][at], mixer.refine[1][at]
+                p = (p + (ones + 20 * p) / (zeros + ones + 20)) / 2
+            p = np.clip(p, 1e-6, 1 - 1e-6)
+            total[begin : begin + 64 * BATCH] -= np.log2(np.where(value == 1, p, 1 - p))
     return total
 
 
@@ -179,10 +232,14 @@ def window_counts(training: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for a, b in t.slices(batch.column(0), 16 << 20):
-                found, _ = windows(*t.buffer(batch.column(0).slice(a, b - a), lower=True))
-                codes, kinds = pd.factorize(found)
-                yield pa.RecordBatch.from_arrays([pa.array(t.signed(kinds)), pa.array(np.bincount(codes, minlength=len(kinds)))], names=["window", "n"])
+            found, counts = [], []
+            for a, b in t.slices(batch.column(0), SLICE):
+                codes, kinds = pd.factorize(windows(*t.buffer(batch.column(0).slice(a, b - a), lower=True))[0])
+                found.append(kinds)
+                counts.append(np.bincount(codes, minlength=len(kinds)))
+            if found:
+                kinds, n = _distinct(found, counts)
+                yield pa.RecordBatch.from_arrays([pa.array(t.signed(kinds)), pa.array(n)], names=["window", "n"])
 
     return training.select("text").mapInArrow(run, "window long, n long").groupBy("window").agg(F.sum("n").alias("n"))
 
@@ -191,17 +248,20 @@ def fill_tables(counted: DataFrame) -> Tables:
     """The predictors' tables; at most ORDERS * 2 ** TABLE_BITS slots reach the driver."""
 
     def run(batches):
+        sums = np.zeros((2, ORDERS << TABLE_BITS), np.float32)  # of fixed size in each task
         for batch in batches:
             window, n = (batch.column(i).to_numpy() for i in range(2))
-            slots, zeros, ones = [], [], []
+            contexts = _contexts(window.view(np.uint64))
             for bit in range(8):
-                at, _, value = _slots(window.view(np.uint64), bit)
-                slots.append(at.ravel())
-                zeros.append(np.tile(n * (1 - value), ORDERS))
-                ones.append(np.tile(n * value, ORDERS))
-            slot, code = np.unique(np.concatenate(slots), return_inverse=True)
-            sums = [pa.array(np.bincount(code, np.concatenate(x), len(slot)).astype(np.int64)) for x in (zeros, ones)]
-            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), *sums], names=["slot", "zeros", "ones"])
+                node, value = _node(window.view(np.uint64), bit)
+                for order in range(ORDERS):
+                    at = _slot(contexts[order], node, order)
+                    for v in (0, 1):
+                        np.add.at(sums[v], at[value == v], n[value == v].astype(np.float32))
+        slot = np.flatnonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(slot.astype(np.int32)), *(pa.array(s[slot].astype(np.int64)) for s in sums)], names=["slot", "zeros", "ones"]
+        )
 
     summed = counted.mapInArrow(run, "slot int, zeros long, ones long").groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     rows = summed.select("slot", F.col("zeros").cast("float"), F.col("ones").cast("float")).toArrow()
@@ -299,7 +359,7 @@ def score(docs: DataFrame, training: str, id_col: str = "doc_id", text_col: str
     totals = staged(_token_rows(rows).groupBy("word").agg(F.sum("n").alias("total")), "token-totals")
     all_tokens, distinct = totals.where("total > 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.lit(1))).first()
     known = _token_rows(rows).select("block", "word").join(totals.hint("merge"), "word")
-    sent = docs.sparkSession.sparkContext.broadcast((tables.zeros, tables.ones, mixer))  # of fixed size
+    sent = docs.sparkSession.sparkContext.broadcast((predictors(tables), mixer))  # of fixed size
     log_all = float(np.log10(all_tokens + distinct + 1))
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
@@ -307,14 +367,16 @@ def score(docs: DataFrame, training: str, id_col: str = "doc_id", text_col: str
         order = np.argsort(words.column("word").to_numpy())
         word = words.column("word").to_numpy()[order]
         total = words.column("total").to_numpy()[order]
-        zeros, ones, mix = sent.value
+        slots, mixer = sent.value
         column = texts.column("text").chunk(0) if texts.num_rows else pa.array([], pa.string())
         out: dict[str, list[np.ndarray]] = {c: [] for c in ("n_tokens", "n_known", "base_score", "score", "bytes")}
-        for a, b in t.slices(column, 8 << 20):
+        for a, b in t.slices(column, SCORE_SLICE):
             data, offsets = t.buffer(column.slice(a, b - a), lower=True)
             found, bounds = windows(data, offsets)
             codes, kinds = pd.factorize(found)
-            bits = np.concatenate([[0.0], np.cumsum(bits_of(mix, Tables(zeros, ones), kinds)[codes])])
+            del found
+            bits = np.concatenate([[0.0], np.cumsum(bits_of(mixer, slots, kinds)[codes])])
+            del codes
             out["score"].append(-(bits[bounds[1:]] - bits[bounds[:-1]]) * np.log10(2))
             out["bytes"].append(np.diff(bounds))
         for a, b in t.slices(column):
