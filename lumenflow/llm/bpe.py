@@ -43,8 +43,8 @@ from pyspark.sql.types import BinaryType
 
 from lumenflow.llm.textops import add_columns
 
-MEMO_PIECES = 150_000
-MEMO_PAIRS = 250_000
+MEMO_PIECES = 60_000
+MEMO_PAIRS = 100_000
 #: Longer pieces are encoded without the memo.
 MEMO_BYTES = 64
 
@@ -119,6 +119,7 @@ class Encoder:
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
             raise ValueError(f"{len(missing)} single bytes aren't in the vocabulary")
         self.ranks, self.splits = ranks, splits
+        self.token = {r: t for t, r in ranks.items()}
         self.length = {r: len(t) for t, r in ranks.items()}
         self.joined = {pair: r for r, pair in splits.items() if pair[0] != r}
         self.find = regex.compile(pattern).findall
@@ -259,14 +260,22 @@ class Vocabulary:
         return self._once("tokens", lambda ranks, *_: {r: t for t, r in ranks.items()})
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with ``ids``: binary, the token ids as little-endian uint32."""
+def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with ``ids``: binary, the token ids as little-endian uint32.
+
+    ``decoded`` names a column for the bytes that these ids decode to, made in the same task.
+    """
 
     def compute(column: pa.Array) -> list[pa.Array]:
         encoder = vocabulary.encoder()
-        return [pa.array([encoder.encode(t) if t else b"" for t in column.to_pylist()], pa.binary())]
+        made = [encoder.encode(t) if t else b"" for t in column.to_pylist()]
+        out = [pa.array(made, pa.binary())]
+        if decoded:
+            token = encoder.token
+            out.append(pa.array([decode_ids(token, i) for i in made], pa.binary()))
+        return out
 
-    return add_columns(df, [text], [(ids, BinaryType())], compute)
+    return add_columns(df, [text], [(name, BinaryType()) for name in (ids, decoded) if name], compute)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

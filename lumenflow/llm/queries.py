@@ -111,8 +111,8 @@ def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the bytes that they decode to, as digests."""
     vocabulary = bpe.Vocabulary(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
-    return bpe.decode(ids, vocabulary).select(
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, vocabulary, decoded="decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
