@@ -32,7 +32,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import DoubleType, LongType, StringType
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from lumenflow.llm import textops as t
 
@@ -237,11 +238,6 @@ def fit(voted: DataFrame, votes: str = "votes") -> tuple[Model, dict[str, float]
 def with_posterior(voted: DataFrame, votes: str = "votes", posterior: str = "posterior") -> DataFrame:
     """``voted`` with the fitted probability that the text is good."""
     _, by_pattern = fit(voted, votes)
-    spark = voted.sparkSession
-    sent = spark.sparkContext.broadcast(by_pattern)  # as many rows as patterns
-
-    def compute(column: pa.Array) -> list[pa.Array]:
-        return [pa.array([sent.value[p] for p in column.to_pylist()], pa.float64())]
-
-    return t.add_columns(voted, [votes], [(posterior, DoubleType())], compute)
-
+    rows = [(p, good) for p, good in by_pattern.items()]
+    verdicts = voted.sparkSession.createDataFrame(rows, f"`{votes}` string, `{posterior}` double")
+    return voted.drop(posterior).join(F.broadcast(verdicts), votes, "left")  # as many rows as patterns, a bound known beforehand
