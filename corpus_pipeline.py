@@ -56,9 +56,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with n_tokens and ids (little-endian uint32), text being what the ids decode to."""
     vocabulary = bpe.Vocabulary(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    ids = bpe.encode(docs, vocabulary, ids="ids").withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
-    decoded = bpe.decode(ids, vocabulary, ids="ids", decoded="__decoded")
-    return decoded.withColumn("text", F.col("__decoded").cast("string")).drop("__decoded")
+    done = bpe.encode(docs, vocabulary, ids="ids", decoded="__decoded").withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+    return done.withColumn("text", F.col("__decoded").cast("string")).drop("__decoded")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
