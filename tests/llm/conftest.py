@@ -1,0 +1,6 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def sf_dir() -> str:
+    return "/root/testdata/sf0.001"
