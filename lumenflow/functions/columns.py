@@ -43,13 +43,13 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cell_key(cell: str | Column) -> Column:
+def cell_key(cell: str | Column, length: int = KEY_LENGTH) -> Column:
     """First five digits of a phone number with ``( ) -`` removed.
 
     The reference wrote ``substr(x, 0, 5)``; Spark treats a 0 start as 1,
     so the explicit form is ``substring(x, 1, 5)``.
     """
-    return F.substring(F.regexp_replace(as_col(cell), PHONE_PUNCTUATION, ""), 1, KEY_LENGTH)
+    return F.substring(F.regexp_replace(as_col(cell), PHONE_PUNCTUATION, ""), 1, length)
 
 
 def full_date(yr: str | Column, month_number: str | Column, day: str | Column) -> Column:

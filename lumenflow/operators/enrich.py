@@ -75,8 +75,8 @@ def flatten_users(docs: DataFrame) -> DataFrame:
 
 def _dims(users: DataFrame, custprof: DataFrame, weblog: DataFrame, status: DataFrame,
           profile_broadcast_rows: int, log_broadcast_rows: int, status_broadcast_rows: int,
-          log_extra: tuple[str, ...] = ()):
-    u = users.withColumn("_key", C.cell_key("cell"))
+          log_extra: tuple[str, ...] = (), key_length: int = C.KEY_LENGTH):
+    u = users.withColumn("_key", C.cell_key("cell", key_length))
     cp = custprof.select(
         F.col("id").alias("_cp_id"), F.col("age").alias("profile_age"), F.col("profession")
     )
@@ -128,6 +128,7 @@ def enrich(
     profile_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     log_broadcast_rows: int = 0,
     status_broadcast_rows: int = 10_000,
+    key_length: int = C.KEY_LENGTH,
 ) -> DataFrame:
     """Flattened users -> enriched rows (``ENRICH_COLUMNS``).
 
@@ -144,7 +145,8 @@ def enrich(
       ``'window'`` skips the check, ``'range'`` always splits.
     """
     u, cp, cp_type, wl, ws, ws_type = _dims(
-        users, custprof, weblog, status, profile_broadcast_rows, log_broadcast_rows, status_broadcast_rows
+        users, custprof, weblog, status, profile_broadcast_rows, log_broadcast_rows, status_broadcast_rows,
+        key_length=key_length,
     )
     j = _join_dims(u, cp, cp_type, wl, ws, ws_type)
     out = j.select(
@@ -194,6 +196,7 @@ def enrich_counts(
     profile_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     log_broadcast_rows: int = 0,
     status_broadcast_rows: int = 10_000,
+    key_length: int = C.KEY_LENGTH,
 ) -> DataFrame:
     """Enrichment grouped on its 22 output expressions with ``cnt``.
 
@@ -215,7 +218,7 @@ def enrich_counts(
         weblog = weblog.withColumn("_n_log", F.lit(1).cast("long"))
     u, cp, cp_type, wl, ws, ws_type = _dims(
         users, custprof, weblog, status,
-        profile_broadcast_rows, log_broadcast_rows, status_broadcast_rows, log_extra=("_n_log",),
+        profile_broadcast_rows, log_broadcast_rows, status_broadcast_rows, log_extra=("_n_log",), key_length=key_length,
     )
     j = _join_dims(u, cp, cp_type, wl, ws, ws_type).withColumnRenamed("username", "wbuser")
     # A user without log lines still counts its own rows once.

@@ -47,12 +47,12 @@ def derived_inputs(spark: SparkSession, sf_dir: str) -> EnrichmentInputs:
 
 def enrich_customers(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     i = derived_inputs(spark, sf_dir)
-    return E.enrich(i.users, i.custprof, i.weblog, i.status, **kw)
+    return E.enrich(i.users, i.custprof, i.weblog, i.status, key_length=D.KEY_WIDTH, **kw)
 
 
 def enrich_counts(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     i = derived_inputs(spark, sf_dir)
-    return E.enrich_counts(i.users, i.custprof, i.weblog, i.status, **kw)
+    return E.enrich_counts(i.users, i.custprof, i.weblog, i.status, key_length=D.KEY_WIDTH, **kw)
 
 
 def enrich_customers_skew_safe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ def explode_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def left_join_computed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users left-joined with the profile on the cell key."""
     i = derived_inputs(spark, sf_dir)
-    u = i.users.select("username", "cell", C.cell_key("cell").alias("cell_key"))
+    u = i.users.select("username", "cell", C.cell_key("cell", D.KEY_WIDTH).alias("cell_key"))
     cp = broadcast_if_small(i.custprof)
     j = u.join(cp, key_equals(F.col("cell_key"), u.schema["cell_key"].dataType, F.col("id"), cp.schema["id"].dataType), "left")
     return j.select("username", "cell", "cell_key", F.col("age").alias("profile_age"), "profession")
@@ -41,7 +41,7 @@ def left_join_computed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def left_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One output row per (user row, log line of that user)."""
     i = derived_inputs(spark, sf_dir)
-    u = i.users.select("username", "page", C.cell_key("cell").alias("cell_key"))
+    u = i.users.select("username", "page", C.cell_key("cell", D.KEY_WIDTH).alias("cell_key"))
     wl = i.weblog.select(F.col("username").alias("log_user"), "ip", "dt", "statuscd")
     j = u.join(wl, F.col("log_user") == F.col("cell_key"), "left")
     return j.select("username", "page", "ip", "dt", "statuscd")
@@ -72,7 +72,7 @@ def nested_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = conv.select(
         "conv_id", "turn",
         F.array(F.col("turn").cast("int"), F.length("text"), words).alias("an_array"),
-        F.create_map(F.col("role"), F.substring("text", 1, 12)).alias("a_map"),
+        F.create_map("role", "text").alias("a_map"),
         F.struct(F.col("turn").cast("int").alias("x")).alias("a_struct"),
         F.array(
             F.struct(F.col("role").alias("foo"), F.col("turn").cast("int").alias("bar"),

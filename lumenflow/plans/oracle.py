@@ -12,7 +12,7 @@ from __future__ import annotations
 
 # user number -> document fields (mirror of derived._user_sql)
 _USER_FIELDS = """
-    '(' || substr(lpad(CAST(u AS VARCHAR), 5, '0'), 1, 3) || ')-' || substr(lpad(CAST(u AS VARCHAR), 5, '0'), 4, 2) || '-0000' AS cell,
+    '(' || substr(lpad(CAST(u AS VARCHAR), 12, '0'), 1, 3) || ')-' || substr(lpad(CAST(u AS VARCHAR), 12, '0'), 4, 9) || '-0000' AS cell,
     'First' || CAST(u AS VARCHAR) AS first,
     CAST(18 + u % 60 AS BIGINT) AS age,
     'user' || CAST(u AS VARCHAR) || '@example.com' AS email,
@@ -21,7 +21,7 @@ _USER_FIELDS = """
     '-' || CAST(70 + u % 23 AS VARCHAR) || '.25' AS longitude,
     'US' AS country,
     'State' || CAST(u % 10 AS VARCHAR) AS state,
-    lpad(CAST(u AS VARCHAR), 5, '0') AS username"""
+    lpad(CAST(u AS VARCHAR), 12, '0') AS username"""
 
 # flattened users: click -> user, purchase -> user and referred user 99999 - user
 USD = f"""usd AS (
@@ -29,12 +29,12 @@ USD = f"""usd AS (
   FROM (
     SELECT event_type AS page, user_id AS u FROM events WHERE event_type IN ('click', 'purchase')
     UNION ALL
-    SELECT event_type AS page, 99999 - user_id AS u FROM events WHERE event_type = 'purchase'
+    SELECT event_type AS page, 100000000000 + user_id AS u FROM events WHERE event_type = 'purchase'
   ) r
 )"""
 
 CP = """cp AS (
-  SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS id,
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS id,
          CAST(20 + c_custkey % 50 AS INTEGER) AS age,
          c_mktsegment AS profession
   FROM customer
@@ -43,7 +43,7 @@ CP = """cp AS (
 # one log line per order (before quarantine), as 17 fields
 _LOG_ALL = """log_fields AS (
   SELECT
-    lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS username,
+    lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS username,
     '10.0.' || CAST(o_custkey % 256 AS VARCHAR) || '.' || CAST(o_orderkey % 256 AS VARCHAR) AS ip,
     strftime(o_orderdate, '%d') AS day,
     strftime(o_orderdate, '%b') AS month,
@@ -87,8 +87,8 @@ _JOINED = """joined AS (
          wl.ip, wl.dt, wl.day, wl.month, wl.time1, wl.yr, wl.hr, wl.mt, wl.sec, wl.verb,
          wl.page AS log_page, wl.statuscd, ws.category, ws."desc"
   FROM usd
-  LEFT JOIN cp ON substr(replace(replace(replace(usd.cell, '(', ''), ')', ''), '-', ''), 1, 5) = cp.id
-  LEFT JOIN wl ON wl.username = substr(replace(replace(replace(usd.cell, '(', ''), ')', ''), '-', ''), 1, 5)
+  LEFT JOIN cp ON substr(replace(replace(replace(usd.cell, '(', ''), ')', ''), '-', ''), 1, 12) = cp.id
+  LEFT JOIN wl ON wl.username = substr(replace(replace(replace(usd.cell, '(', ''), ')', ''), '-', ''), 1, 12)
   LEFT JOIN ws ON TRY_CAST(wl.statuscd AS BIGINT) = ws.cd
 )"""
 
@@ -234,7 +234,7 @@ FROM customer GROUP BY c_nationkey
     "jdbc_incremental": HISTORY["incremental_extract"],
 }
 
-_CELL_KEY = "substr(replace(replace(replace(cell, '(', ''), ')', ''), '-', ''), 1, 5)"
+_CELL_KEY = "substr(replace(replace(replace(cell, '(', ''), ')', ''), '-', ''), 1, 12)"
 
 OPERATORS = {
     "project_users": f"""
@@ -268,7 +268,7 @@ FROM wl
 SELECT conv_id, turn,
        CAST(turn AS INTEGER) AS col0, CAST(length(text) AS INTEGER) AS col1,
        CAST(len(string_split(text, ' ')) AS INTEGER) AS col2,
-       CASE WHEN role = 'user' THEN substr(text, 1, 12) END AS user_text,
+       CASE WHEN role = 'user' THEN text END AS user_text,
        CAST(turn AS INTEGER) AS x,
        role AS foo,
        CAST(len(string_split(text, ' ')) AS DOUBLE) AS val1

@@ -14,8 +14,7 @@ Event type -> document shape (one JSON document per event):
 * ``view``     - ``results`` is an empty array (explode yields nothing)
 * ``click``    - one result, the event's user
 * ``purchase`` - two results: the user and a referred user numbered
-  ``99999 - user_id`` (outside the customer key space at these scales, so
-  it has neither a profile nor log lines: a *new customer*)
+  ``REFERRAL_BASE + user_id`` (above the customer key space, so it has neither a profile nor log lines: a *new customer*)
 
 The web log has one line per order of the whole ``orders`` table; orders
 with status ``P`` are written without their status field, i.e. 16 fields
@@ -31,7 +30,8 @@ from lumenflow import schemas
 from lumenflow.functions import columns as C
 
 # Fixed values of the derivation (the SQL oracle repeats them).
-REFERRAL_BASE = 99999  # referred user number = REFERRAL_BASE - user_id
+KEY_WIDTH = 12  # digits of a user number; two numbers share a key only beyond them
+REFERRAL_BASE = 100_000_000_000  # referred user number = REFERRAL_BASE + user_id, above all customers
 LOG_TZ = "-0500"
 HISTORY_CUTOFF = "2000-01-01"
 STATUS_ROWS = [
@@ -47,17 +47,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def id5(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 5, "0")
+def user_key(c: Column) -> Column:
+    return F.lpad(c.cast("string"), KEY_WIDTH, "0")
 
 
 def _user_sql(u: str) -> str:
     """SQL text of a ``results[]`` element for user number expression ``u``
     (one expression string: a single round trip to build, however wide)."""
     u = f"({u})"
-    k = f"lpad(CAST({u} AS STRING), 5, '0')"
+    k = f"lpad(CAST({u} AS STRING), {KEY_WIDTH}, '0')"
     return f"""named_struct(
-      'cell', concat('(', substring({k}, 1, 3), ')-', substring({k}, 4, 2), '-0000'),
+      'cell', concat('(', substring({k}, 1, 3), ')-', substring({k}, 4, {KEY_WIDTH - 3}), '-0000'),
       'email', concat('user', CAST({u} AS STRING), '@example.com'),
       'name', named_struct('first', concat('First', CAST({u} AS STRING))),
       'dob', named_struct('age', CAST(18 + {u} % 60 AS BIGINT)),
@@ -79,7 +79,7 @@ def documents_from_events(events: DataFrame, keep: list[str] | None = None) -> D
       'info', CASE WHEN event_type = 'signup' THEN named_struct('page', CAST(NULL AS STRING))
                    ELSE named_struct('page', event_type) END,
       'results', CASE WHEN event_type = 'view' THEN CAST(array() AS {results_type})
-                      WHEN event_type = 'purchase' THEN array({_user_sql('user_id')}, {_user_sql(f'{REFERRAL_BASE} - user_id')})
+                      WHEN event_type = 'purchase' THEN array({_user_sql('user_id')}, {_user_sql(f'{REFERRAL_BASE} + user_id')})
                       ELSE array({_user_sql('user_id')}) END))"""
     text = F.expr(doc)
     value = F.when(F.col("event_type") == "error", F.substring(text, 1, 20)).otherwise(text)
@@ -97,7 +97,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def custprof_from_customer(customer: DataFrame) -> DataFrame:
     return customer.select(
-        id5(F.col("c_custkey")).alias("id"),
+        user_key(F.col("c_custkey")).alias("id"),
         (F.lit(20) + F.col("c_custkey") % 50).cast("int").alias("age"),
         F.col("c_mktsegment").alias("profession"),
     )
@@ -127,7 +127,7 @@ def weblog_field_sql() -> list[str]:
     ip = "concat_ws('.', '10', '0', CAST(o_custkey % 256 AS STRING), CAST(o_orderkey % 256 AS STRING))"
     dt = f"concat({day}, '/', {mon}, '/', {yr}, ':', {hr}, ':', {mt}, ':', {sec}, ' {LOG_TZ}')"
     return [
-        "lpad(CAST(o_custkey AS STRING), 5, '0')", ip, dt, day, mon, num, yr, hr, mt, sec,
+        f"lpad(CAST(o_custkey AS STRING), {KEY_WIDTH}, '0')", ip, dt, day, mon, num, yr, hr, mt, sec,
         f"'{LOG_TZ}'", _verb_case(), page, "'0'", page, "concat('agent-', o_orderstatus)", _priority_case(),
     ]
 

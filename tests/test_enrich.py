@@ -97,3 +97,29 @@ def test_auto_strategy_with_hot_user_matches_window(inputs):
     a = E.enrich(*inputs, version_strategy="auto", hot_key_rows=2)
     b = E.enrich(*inputs, version_strategy="window")
     assert rows(a) == rows(b)
+
+
+def test_profile_keys_stay_distinct_beyond_five_digits(spark):
+    from lumenflow.functions import columns as C
+    from lumenflow.sources import derived as D
+
+    ids = [10_000, 100_000, 100_001, 1_000_007]
+    customers = spark.createDataFrame([(i, "X") for i in ids], "c_custkey long, c_mktsegment string")
+    events = spark.createDataFrame([("purchase", i) for i in ids], "event_type string, user_id long")
+    profiles = D.custprof_from_customer(customers)
+    assert profiles.select("id").distinct().count() == 4
+    cells = D.documents_from_events(events).selectExpr(
+        "explode(from_json(value, 'results array<struct<cell: string>>').results.cell) AS cell"
+    )
+    keyed = cells.select(C.cell_key("cell", D.KEY_WIDTH).alias("id"))
+    assert keyed.count() == 8 and keyed.distinct().count() == 8  # a referred user is none of the customers
+    assert keyed.join(profiles, "id").count() == 4
+
+
+def test_join_helpers_start_no_job(spark):
+    from lumenflow.operators.joins import broadcast_if_small
+
+    spark.sparkContext.setJobGroup("no-job", "plans only")
+    broadcast_if_small(spark.range(10))
+    broadcast_if_small(spark.range(10), 0)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("no-job")
