@@ -95,27 +95,31 @@ def json_sample_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_users(E.flatten_users(good))
 
 
-# The SCD2 increment as a SQL text file (S15): new versions continue the
-# old maximum per key; the union removes duplicate rows.
+# The history job as one SQL statement (S15): rows of the increment are numbered
+# within their customer from the last number the history has; equal rows count once.
 SCD2_SQL = """
-SELECT nw.o_orderkey, nw.o_custkey, nw.o_orderstatus, nw.o_totalprice, nw.o_orderdate,
-       nw.o_orderpriority,
-       CAST(coalesce(old.old_max_version + row_number() OVER (PARTITION BY nw.o_custkey
-                                                               ORDER BY nw.o_orderdate, nw.o_orderkey),
-                     row_number() OVER (PARTITION BY nw.o_custkey ORDER BY nw.o_orderdate, nw.o_orderkey))
-            AS INT) AS version
-FROM tv_orders_new nw
-LEFT JOIN (SELECT max(version) AS old_max_version, o_custkey FROM tv_orders_old GROUP BY o_custkey) old
-  ON old.o_custkey = nw.o_custkey
-UNION
-SELECT * FROM tv_orders_old
+WITH last_number AS (
+  SELECT o_custkey, max(version) AS n FROM order_history GROUP BY o_custkey
+),
+numbered AS (
+  SELECT i.*, row_number() OVER (PARTITION BY i.o_custkey ORDER BY i.o_orderdate, i.o_orderkey) AS k
+  FROM order_increment i
+)
+SELECT o_orderkey, d.o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CAST(k + ifnull(n, 0) AS INT) AS version
+FROM numbered d LEFT JOIN last_number l ON d.o_custkey <=> l.o_custkey
+UNION DISTINCT
+TABLE order_history
 """
 
 
 def run_sql_file(spark: SparkSession, path: str, views: dict[str, DataFrame], args: dict | None = None) -> DataFrame:
     """The whole file (any number of lines) is one statement, run over
     the given named inputs; ``args`` binds ``:name`` parameter markers."""
-    text = spark.read.text(path, wholetext=True).first()[0]
+    texts = [r[0] for r in spark.read.text(path, wholetext=True).take(2) if r[0].strip()]
+    if len(texts) != 1:
+        raise ValueError(f"{path} must hold exactly one statement file, not {len(texts)}")
+    text = texts[0]
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return spark.sql(text, args=args) if args else spark.sql(text)
@@ -127,7 +131,7 @@ def sql_text_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = D.table(spark, sf_dir, "orders")
     old = scd.scd2_initial(before_cutoff(orders), KEYS, CHANGE_KEY, TIEBREAK)
     new = scd.incremental_after(orders, old, CHANGE_KEY)
-    return run_sql_file(spark, path, {"tv_orders_old": old, "tv_orders_new": new})
+    return run_sql_file(spark, path, {"order_history": old, "order_increment": new})
 
 
 def text_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

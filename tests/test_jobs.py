@@ -89,7 +89,7 @@ def test_scd_job_over_jdbc(spark, tmp_dir):
 
 
 def test_ingest_csv(spark, tmp_dir):
-    with open(f"{tmp_dir}/Test_hive", "w") as fh:
+    with open(f"{tmp_dir}/people.csv", "w") as fh:
         fh.write("a,1\nb,2\n")
-    out = jobs.ingest_csv(spark, f"{tmp_dir}/Test_hive", "test_hive3_job", location=f"{tmp_dir}/t")
+    out = jobs.ingest_csv(spark, f"{tmp_dir}/people.csv", "people_job", location=f"{tmp_dir}/t")
     assert sorted(tuple(r) for r in out.collect()) == [("a", "1"), ("b", "2")]

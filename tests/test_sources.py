@@ -28,8 +28,8 @@ def test_csv_strings_to_table(spark, tmp_dir):
         fh.write("1,a,2.5\n2,b,\n")
     df = files.read_csv_strings(spark, f"{tmp_dir}/t.csv")
     assert df.columns == ["_c0", "_c1", "_c2"] and all(f.dataType.typeName() == "string" for f in df.schema)
-    tables.save_table(df, "test_hive3", path=f"{tmp_dir}/tbl")
-    assert tables.read_table(spark, "test_hive3").count() == 2
+    tables.save_table(df, "people_table", path=f"{tmp_dir}/tbl")
+    assert tables.read_table(spark, "people_table").count() == 2
 
 
 def test_text_sink_roundtrip_and_single_column_rule(spark, tmp_dir):
@@ -49,13 +49,12 @@ def test_sql_text_file_multiline_with_parameters(spark, tmp_dir):
 
 
 def test_nested_records_from_collection(spark):
-    # FIXTURES nested_record sample rows
     data = [
-        ([1, 2, 3], {"foo": "bar"}, (1,), [("foo", 1, [1.0, 2.0, 2.0]), ("bar", 2, [3.0, 4.0, 5.0])]),
-        ([4, 5, 6], {"foz": "baz"}, (2,), [("foz", 3, [5.0, 6.0]), ("baz", 4, [7.0, 8.0])]),
+        ([10, 20, 30], {"k1": "v1"}, (7,), [("north", 3, [0.5, 1.5, 5.0]), ("south", 4, [2.5, 3.5, 5.0])]),
+        ([40, 50, 60], {"k2": "v2"}, (8,), [("east", 5, [6.5, 7.5]), ("west", 6, [8.5, 9.5])]),
     ]
     df = spark.createDataFrame(data, schemas.NESTED_RECORD)
-    assert [r.an_array for r in df.select("an_array").collect()] == [[1, 2, 3], [4, 5, 6]]
+    assert [r.an_array for r in df.select("an_array").collect()] == [[10, 20, 30], [40, 50, 60]]
     third = [r[0] for r in df.select(F.get(F.col("an_array_of_structs")[1]["vals"], 2)).collect()]
     assert third == [5.0, None]  # get() tolerates short arrays under ANSI
     # map columns cannot take part in set operations (SCD union must avoid them)
@@ -94,6 +93,6 @@ def test_jdbc_incremental_pushdown(spark, derby):
 def test_kafka_options_shape():
     from lumenflow.sources.streams import kafka_options
 
-    o = kafka_options("h:9092", ["usjson", "testjson"], "earliest", '{"testjson":{"0":2}}')
-    assert o["subscribe"] == "usjson,testjson" and o["endingOffsets"] == '{"testjson":{"0":2}}'
+    o = kafka_options("h:9092", ["users", "orders"], "earliest", '{"orders":{"0":2}}')
+    assert o["subscribe"] == "users,orders" and o["endingOffsets"] == '{"orders":{"0":2}}'
     assert o["startingOffsets"] == "earliest"
