@@ -43,8 +43,8 @@ from pyspark.sql.types import BinaryType
 
 from lumenflow.llm.textops import add_columns
 
-MEMO_PIECES = 60_000
-MEMO_PAIRS = 100_000
+MEMO_PIECES = 120_000
+MEMO_PAIRS = 250_000
 #: Longer pieces are encoded without the memo.
 MEMO_BYTES = 64
 
