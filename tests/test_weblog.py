@@ -3,7 +3,7 @@ from lumenflow.sources import files
 
 # A log line of 17 fields.
 SAMPLE = ("00042,10.20.30.40,03/Mar/2020:07:45:10 +0100,03,Mar,03,2020,07,45,10,+0100,GET,/shop,1,/shop?a=1,"
-          "reader/1.0,200")
+          "reader/1.0,100")
 
 
 def _parse(spark, lines):
@@ -15,7 +15,7 @@ def test_sample_line_maps_18_columns(spark):
     assert bad.count() == 0
     r = good.first().asDict()
     assert list(r) == schemas.WEBLOG_COLUMNS
-    assert r["username"] == "00042" and r["time1"] == "03" and r["statuscd"] == "200"
+    assert r["username"] == "00042" and r["time1"] == "03" and r["statuscd"] == "100"
     assert r["referrer"] == r["referrer2"] == "reader/1.0"
 
 
