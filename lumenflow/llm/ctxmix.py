@@ -248,7 +248,7 @@ def fill_tables(counted: DataFrame) -> Tables:
     """The predictors' tables; at most ORDERS * 2 ** TABLE_BITS slots reach the driver."""
 
     def run(batches):
-        sums = np.zeros((2, ORDERS << TABLE_BITS), np.float32)  # of fixed size in each task
+        sums = np.zeros((2, ORDERS << TABLE_BITS))  # of fixed size in each task; counts stay exact to 2 ** 53
         for batch in batches:
             window, n = (batch.column(i).to_numpy() for i in range(2))
             contexts = _contexts(window.view(np.uint64))
@@ -257,7 +257,7 @@ def fill_tables(counted: DataFrame) -> Tables:
                 for order in range(ORDERS):
                     at = _slot(contexts[order], node, order)
                     for v in (0, 1):
-                        np.add.at(sums[v], at[value == v], n[value == v].astype(np.float32))
+                        np.add.at(sums[v], at[value == v], n[value == v].astype(float))
         slot = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [pa.array(slot.astype(np.int32)), *(pa.array(s[slot].astype(np.int64)) for s in sums)], names=["slot", "zeros", "ones"]
