@@ -32,6 +32,7 @@ looked at. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -97,8 +98,23 @@ def _slot(context: np.ndarray, node: np.ndarray, order: int) -> np.ndarray:
     return (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64) + (order << TABLE_BITS)
 
 
+def _packed(array: np.ndarray) -> tuple[bytes, str]:
+    return zlib.compress(array.tobytes(), 1), array.dtype.str
+
+
+def _unpacked(kind: type, *parts: tuple[bytes, str]):
+    return kind(*(np.frombuffer(zlib.decompress(data), dtype) for data, dtype in parts))
+
+
+class Packed:
+    """Arrays that are compressed when they are sent to the executors."""
+
+    def __reduce__(self):
+        return _unpacked, (type(self), *map(_packed, vars(self).values()))
+
+
 @dataclass
-class Tables:
+class Tables(Packed):
     """Counts of zeros and ones per slot."""
 
     zeros: np.ndarray
@@ -192,7 +208,7 @@ def refine_counts(mixer: Mixer, tables: Tables, window: np.ndarray, count: np.nd
 
 
 @dataclass
-class Predictors:
+class Predictors(Packed):
     """The tables as scoring reads them: the stretched prediction and the level of each slot."""
 
     stretched: np.ndarray
@@ -296,10 +312,10 @@ def train(training: DataFrame) -> tuple[Tables, Mixer]:
     counted = staged(window_counts(training), "windows")
     tables = fill_tables(counted)
     mixer = new_mixer()
-    sent = training.sparkSession.sparkContext.broadcast((tables.zeros, tables.ones))  # of fixed size
+    sent = training.sparkSession.sparkContext.broadcast(tables)  # of fixed size
 
     def weights(window, n):
-        made = learn(new_mixer(), Tables(*sent.value), window, n)
+        made = learn(new_mixer(), sent.value, window, n)
         return [(made.weights * made.seen[:, None]).ravel(), made.seen]
 
     kinds = counted.count()
@@ -310,8 +326,9 @@ def train(training: DataFrame) -> tuple[Tables, Mixer]:
         mixer.weights = np.where(seen > 0, sums[0].reshape(GATES, ORDERS) / np.maximum(seen, 1), mixer.weights)
         mixer.seen = sums[1]
         gates = mixer.weights
-        (refine,) = _summed(counted, lambda window, n: [refine_counts(Mixer(gates, gates[:, 0]), Tables(*sent.value), window, n).ravel()])
+        (refine,) = _summed(counted, lambda window, n: [refine_counts(Mixer(gates, gates[:, 0]), sent.value, window, n).ravel()])
         mixer.refine = refine.reshape(2, -1)
+    sent.destroy()
     return tables, mixer
 
 
