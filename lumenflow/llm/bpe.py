@@ -41,7 +41,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType
 
-from lumenflow.llm.textops import add_columns
+from lumenflow.llm.textops import add_columns, slices
 
 MEMO_PIECES = 120_000
 MEMO_PAIRS = 250_000
@@ -205,6 +205,10 @@ class Encoder:
                 break
         return out
 
+    def forget(self) -> None:
+        """Empty the memos."""
+        self.pieces, self.older, self.pairs = {}, {}, {}
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         found = self.split(text)
@@ -268,14 +272,14 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
 
     def compute(column: pa.Array) -> list[pa.Array]:
         encoder = vocabulary.encoder()
-        made = [encoder.encode(t) if t else b"" for t in column.to_pylist()]
+        made = [encoder.encode(t) if t else b"" for a, b in slices(column) for t in column.slice(a, b - a).to_pylist()]
         out = [pa.array(made, pa.binary())]
         if decoded:
             token = encoder.token
             out.append(pa.array([decode_ids(token, i) for i in made], pa.binary()))
         return out
 
-    return add_columns(df, [text], [(name, BinaryType()) for name in (ids, decoded) if name], compute)
+    return add_columns(df, [text], [(name, BinaryType()) for name in (ids, decoded) if name], compute, finish=lambda: vocabulary.encoder().forget())
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -135,6 +135,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     ],
                     names=["id", "n", "set_a", "set_b", "bands"],
                 )
+        t.settle()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {id_type}, n long, set_a long, set_b long, bands array<long>"
@@ -173,6 +174,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
                     [batch.column(0).slice(a, b - a), pa.array(np.diff(bounds)), _arrow_lists(h, bounds), _arrow_lists(bits.ravel(), words)],
                     names=["id", "n", "shingles", "bits"],
                 )
+        t.settle()
 
     return docs.select("id", "text").mapInArrow(run, f"id {id_type}, n long, shingles array<long>, bits array<long>")
 

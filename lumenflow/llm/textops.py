@@ -11,6 +11,7 @@ Hashes are 64 bits wide and the same in every process.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -31,16 +32,24 @@ _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
 
+def settle() -> None:
+    """Give what a task has freed back to the machine: a worker that waits for its next task should hold little."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+        trim(0)
+
+
 def add_columns(
     df: DataFrame,
     inputs: Sequence[str],
     outputs: Sequence[tuple[str, DataType]],
     compute: Callable[..., Sequence],
+    finish: Callable[[], None] | None = None,
 ) -> DataFrame:
     """``df`` plus ``outputs``, computed from the Arrow arrays of ``inputs``.
 
     All columns pass through. A column of ``df`` that has the name of an
-    output is replaced by it.
+    output is replaced by it. ``finish`` is called at the end of a task.
     """
     given = list(df.columns)
     made = [f"__made_{i}" for i in range(len(outputs))]
@@ -51,6 +60,10 @@ def add_columns(
         for batch in batches:
             new = compute(*[batch.column(i) for i in at])
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*given, *made])
+            del new
+        if finish:
+            finish()
+        settle()
 
     names = {name for name, _ in outputs}
     out = df.mapInArrow(run, schema).drop(*[c for c in given if c in names])
