@@ -148,3 +148,14 @@ def test_auto_strategy_picks_range_for_hot_key(spark):
     b = ranking.sequence_within_key(df, ["k"], ["o"], strategy="window")
     assert rows(a) == rows(b)
     assert sorted(r.version for r in a.where("k = 1").collect()) == list(range(1, 31))
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "decimal(10,2)", "date"])
+def test_increments_by_numbers_and_dates(spark, kind):
+    value = "date_add(DATE'2020-01-01', CAST(id AS int))" if kind == "date" else f"CAST(id AS {kind})"
+    source = spark.range(5).selectExpr("id", f"{value} AS changed")
+    for known, expected in ((0, [0, 1, 2, 3, 4]), (3, [3, 4])):
+        current = source.where(F.col("id") < known)
+        rows = scd.incremental_rows(source, "changed", scd.high_water_mark(current, "changed"))
+        assert sorted(r.id for r in rows.collect()) == expected
+        assert sorted(r.id for r in scd.incremental_after(source, current, "changed").collect()) == expected
