@@ -12,9 +12,9 @@ before it, zeros before the text) are counted in a combining aggregate, and the
 tables are filled from the counts. The weights are learnt online: each task runs
 through its windows in small batches, first predicting, with the window's own
 contribution taken out of the counts, then moving the weights against the error; the
-tasks' weights are averaged. The weights, a few thousand numbers, are learnt from
-``LEARN_WINDOWS`` different windows at most, with their counts; all counts, and
-the refining stage, cover every window of every training text.
+tasks' weights, a few thousand numbers, are averaged by how much each gate has seen.
+Counts, weights and the refining stage cover every window of every training text.
+Scoring is static: no weight or count changes while texts are scored.
 The tables have a fixed size, which bounds what the driver collects and broadcasts;
 the counts behind them grow with the corpus.
 
@@ -33,7 +33,9 @@ looked at. Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -48,9 +50,9 @@ ORDERS = 6
 TABLE_BITS = 20
 #: Bytes of texts that are taken apart at once.
 SLICE, SCORE_SLICE = 4 << 20, 2 << 20
-#: Different windows that the weights are learnt from, at most, the same number of each hash range.
-LEARN_WINDOWS = 300_000
-#: Windows in a batch of training, rounds over a task's windows, and the learning rate.
+#: Different windows that a training task holds at once, or one Arrow batch more.
+PART = 1 << 18
+#: Windows in a batch of training, rounds over a part of a task's windows, and the learning rate.
 BATCH, ROUNDS, RATE = 1024, 2, 0.05
 LEVELS = 6
 REFINE_BUCKETS = 24
@@ -172,10 +174,10 @@ def _bucket(mixed: np.ndarray) -> np.ndarray:
     return np.clip(((mixed + 12) * (REFINE_BUCKETS / 24)).astype(np.int64), 0, REFINE_BUCKETS - 1)
 
 
-def learn(mixer: Mixer, tables: Tables, window: np.ndarray, count: np.ndarray) -> Mixer:
-    """Online: for each batch of windows predict, then move the gates' weights."""
+def learn(mixer: Mixer, tables: Tables, parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Mixer:
+    """Online: for each batch of the parts' (windows, counts) predict, then move the gates' weights."""
     squares = np.full(mixer.weights.shape, 1e-6)
-    for _ in range(ROUNDS):
+    for window, count in (part for part in parts for _ in range(ROUNDS)):
         for begin in range(0, len(window), BATCH):
             w, c = window[begin : begin + BATCH], count[begin : begin + BATCH].astype(float)
             contexts = _contexts(w)
@@ -193,17 +195,18 @@ def learn(mixer: Mixer, tables: Tables, window: np.ndarray, count: np.ndarray) -
     return mixer
 
 
-def refine_counts(mixer: Mixer, tables: Tables, window: np.ndarray, count: np.ndarray) -> np.ndarray:
+def refine_counts(mixer: Mixer, tables: Tables, parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Counts of zeros and ones by node and bucket of the mix."""
     out = np.zeros((2, 256 * REFINE_BUCKETS))
-    for begin in range(0, len(window), 64 * BATCH):
-        w, n = window[begin : begin + 64 * BATCH], count[begin : begin + 64 * BATCH]
-        contexts = _contexts(w)
-        for bit in range(8):
-            x, gate, node, value = _inputs(tables, contexts, w, bit)
-            at = node * REFINE_BUCKETS + _bucket((mixer.weights[gate].T * x).sum(axis=0))
-            for v in (0, 1):
-                out[v] += np.bincount(at[value == v], n[value == v], out.shape[1])
+    for window, count in parts:
+        for begin in range(0, len(window), 64 * BATCH):
+            w, n = window[begin : begin + 64 * BATCH], count[begin : begin + 64 * BATCH]
+            contexts = _contexts(w)
+            for bit in range(8):
+                x, gate, node, value = _inputs(tables, contexts, w, bit)
+                at = node * REFINE_BUCKETS + _bucket((mixer.weights[gate].T * x).sum(axis=0))
+                for v in (0, 1):
+                    out[v] += np.bincount(at[value == v], n[value == v], out.shape[1])
     return out
 
 
@@ -288,14 +291,27 @@ def fill_tables(counted: DataFrame) -> Tables:
 
 
 def _summed(df: DataFrame, compute) -> list[np.ndarray]:
-    """Sums over tasks of the arrays that ``compute`` makes of a task's (window, n)."""
+    """Sums over tasks of the arrays that ``compute`` makes of a task's (window, n), given in parts."""
+
+    def parts(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= PART:
+                yield joined(held)
+                held, size = [], 0
+        if size:
+            yield joined(held)
+
+    def joined(held):
+        window, n = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(2))
+        return window.view(np.uint64), n
 
     def run(batches):
-        tables = list(batches)
-        window = np.concatenate([b.column(0).to_numpy() for b in tables]) if tables else np.zeros(0, np.int64)
-        n = np.concatenate([b.column(1).to_numpy() for b in tables]) if tables else np.zeros(0, np.int64)
-        if len(window):
-            made = compute(window.view(np.uint64), n)
+        found = parts(batches)
+        if (first := next(found, None)) is not None:
+            made = compute(chain([first], found))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(made)), pa.int32()), pa.array([m.astype("<f8").tobytes() for m in made], pa.binary())], names=["k", "data"]
             )
@@ -314,19 +330,16 @@ def train(training: DataFrame) -> tuple[Tables, Mixer]:
     mixer = new_mixer()
     sent = training.sparkSession.sparkContext.broadcast(tables)  # of fixed size
 
-    def weights(window, n):
-        made = learn(new_mixer(), sent.value, window, n)
+    def weights(parts):
+        made = learn(new_mixer(), sent.value, parts)
         return [(made.weights * made.seen[:, None]).ravel(), made.seen]
 
-    kinds = counted.count()
-    share = min(1.0, LEARN_WINDOWS / max(1, kinds))
-    chosen = counted.where(F.pmod(F.xxhash64("window"), F.lit(1_000_000)) < int(share * 1_000_000))
-    if sums := _summed(chosen, weights):
+    if sums := _summed(counted, weights):
         seen = sums[1][:, None]
         mixer.weights = np.where(seen > 0, sums[0].reshape(GATES, ORDERS) / np.maximum(seen, 1), mixer.weights)
         mixer.seen = sums[1]
         gates = mixer.weights
-        (refine,) = _summed(counted, lambda window, n: [refine_counts(Mixer(gates, gates[:, 0]), sent.value, window, n).ravel()])
+        (refine,) = _summed(counted, lambda parts: [refine_counts(Mixer(gates, gates[:, 0]), sent.value, parts).ravel()])
         mixer.refine = refine.reshape(2, -1)
     sent.destroy()
     return tables, mixer

@@ -278,6 +278,13 @@ def test_context_mixing(spark, tmp_path):
     assert all(r["bits_per_byte"] < 4 for r in long)  # below the 8 of even bytes
 
 
+def test_mixing_weights_learn_from_every_window(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, bytes(rng.integers(33, 127, 2_000).astype(np.uint8)).decode()) for i in range(170)]
+    _, mixer = ctxmix.train(frame(spark, rows))
+    assert mixer.seen.sum() == ctxmix.ROUNDS * 8 * 170 * 2_001
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
