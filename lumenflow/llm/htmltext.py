@@ -46,6 +46,10 @@ BLOCK = frozenset(
     "tfoot th thead tr ul".split()
 )
 SECTION = frozenset("body main article section div td".split())
+#: Elements that leave an open head open; every other start tag ends it.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: Elements whose content, in a head, isn't the head's own: nothing in them ends it.
+_HOLDS = frozenset("noscript template".split())
 #: A start tag of the key ends an open element of the value, as far as the next block that isn't one.
 IMPLIED_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
@@ -70,6 +74,7 @@ class LineReader(HTMLParser):
         self.open: list[tuple[str, bool, int]] = []  # element, whether it is dropped, its region
         self.regions: list[tuple[str, int]] = [("body", -1)]  # element and the region around it
         self.lines: list[tuple[str, int, int]] = []
+        self.head = -1  # place of the open head
         self.parts: list[str] = []
         self.tags = 0
 
@@ -85,6 +90,8 @@ class LineReader(HTMLParser):
 
     def _close(self, depth: int) -> None:
         del self.open[depth:]
+        if self.head >= depth:
+            self.head = -1
 
     def _implied(self, tag: str) -> None:
         ends = {"p"} if tag in BLOCK else set()
@@ -96,7 +103,13 @@ class LineReader(HTMLParser):
             if self.open[depth][0] in BLOCK:
                 return
 
+    def _end_head(self, tag: str) -> None:
+        """The end tag of a head may be left out: what can't stand in a head ends it."""
+        if self.head >= 0 and tag not in IN_HEAD and (tag == "body" or not any(e[0] in _HOLDS for e in self.open[self.head :])):
+            self._close(self.head)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._end_head(tag)
         if tag in BLOCK or tag in DROPPED:
             self._flush()
             self._implied(tag)
@@ -111,6 +124,8 @@ class LineReader(HTMLParser):
             if not dropped and tag in SECTION and tag != "body":
                 self.regions.append((tag, region))
                 region = len(self.regions) - 1
+        if tag == "head" and self.head < 0:
+            self.head = len(self.open)
         self.open.append((tag, dropped, region))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -130,6 +145,8 @@ class LineReader(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and not data.isspace():
+            self._close(len(self.open) - 1)
         if not self._state()[0]:
             self.parts.append(data)
 

@@ -210,6 +210,14 @@ def test_main_text():
     assert htmltext.main_text("<nav>only a menu</nav>") == ""
 
 
+@pytest.mark.parametrize("body", ["<body>", "", "<body class=x>"])
+def test_main_text_after_an_open_head(body):
+    page = f"<html><head><title>T</title><meta charset=utf-8><script>1</script><noscript><img src=x></noscript>{body}<article><p>One</p><p>Two</article>"
+    assert htmltext.main_text(page) == "One Two"
+    assert htmltext.main_text(f"<head><title>T</title>{body}<p>Only a text</p>") == "Only a text"
+    assert htmltext.main_text(f"<head><title>T</title>\n{body}Only a text") == "Only a text"
+
+
 def test_leaks(spark):
     rng = random.Random(2)
     prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randrange(2, 9))) for _ in range(n))
