@@ -5,14 +5,16 @@ between two block-level tags is one line. A line's text-to-tag ratio is its
 number of characters per tag met in it. The ratios are smoothed with a Gaussian
 over the lines in page order, and a threshold splits the smoothed ratios into
 two clusters: the midpoint between the means of two groups, found by iterating
-from the overall mean. A region of content is the innermost article (or main,
-or other sectioning element, or the body) that holds lines of the upper
-cluster. All of a region's lines are content, short ones too, but for those
+from the overall mean. A region of content is the innermost article (or main)
+that holds lines of the upper cluster. All of a region's lines are content, short ones too, but for those
 under menus, headers, footers, sidebars, notices, adverts, forms, scripts and
 the like, which are known by element, role, class or id, and never count.
 
 Where a page has article elements with content, the regions are these; else the
-main elements; else the sectioning element with most text of the upper cluster.
+main elements; else the smallest sectioning element (or the body) that holds all
+lines of the upper cluster. There the clusters are those of the logarithms of the
+lines' own ratios: one very long paragraph doesn't put the others into the lower one,
+and a menu next to it isn't smoothed into the upper one.
 
 Defined results: a null or empty page, or one without text, has the empty
 text; broken markup (unclosed elements, a page cut anywhere) is read as far as it
@@ -23,6 +25,7 @@ other columns pass through, those named like the output are replaced.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from html.parser import HTMLParser
 
 import numpy as np
@@ -160,6 +163,15 @@ class LineReader(HTMLParser):
             region = self.regions[region][1]
         return region
 
+    def common(self, regions: Iterable[int]) -> int:
+        """The innermost region that is or holds all of ``regions``."""
+        left = set(regions)
+        while len(left) > 1:  # a region's number is above that of the one around it
+            last = max(left)
+            left.remove(last)
+            left.add(self.regions[last][1])
+        return left.pop()
+
     def _boilerplate(self, tag: str, attrs: list[tuple[str, str | None]], region: int) -> bool:
         inner = self.within(region, ("article", "main")) >= 0
         if tag in DROPPED or tag == "header" and not inner:
@@ -213,20 +225,20 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
     ratios = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
     smoothed = smooth(ratios, sigma)
     upper = smoothed >= min(two_cluster_threshold(smoothed), float(smoothed.max()))
-    weights: dict[str, dict[int, int]] = {}
-    for (text, _, region), is_upper in zip(lines, upper):
+    holding: dict[str, set[int]] = {}
+    for (_, _, region), is_upper in zip(lines, upper):
         if is_upper:
-            for kind, names in (("article", ("article",)), ("main", ("main",)), ("any", tuple(SECTION))):
+            for kind, names in (("article", ("article",)), ("main", ("main",))):
                 if (at := reader.within(region, names)) >= 0:
-                    by = weights.setdefault(kind, {})
-                    by[at] = by.get(at, 0) + len(text)
-    if "article" in weights:
-        chosen = set(weights["article"])
-    elif "main" in weights:
-        chosen = set(weights["main"])
+                    holding.setdefault(kind, set()).add(at)
+    if "article" in holding:
+        chosen = holding["article"]
+    elif "main" in holding:
+        chosen = holding["main"]
     else:
-        by = weights["any"]
-        chosen = {max(by, key=lambda r: (by[r], -r))}
+        logs = np.log(ratios)
+        upper = logs >= min(two_cluster_threshold(logs), float(logs.max()))
+        chosen = {reader.common([region for (_, _, region), is_upper in zip(lines, upper) if is_upper])}
 
     def kept(region: int) -> bool:
         while region >= 0:

@@ -218,6 +218,17 @@ def test_main_text_after_an_open_head(body):
     assert htmltext.main_text(f"<head><title>T</title>\n{body}Only a text") == "Only a text"
 
 
+@pytest.mark.parametrize("sizes", [(9, 9, 9), (60, 9, 20), (9, 200, 9)])
+def test_main_text_without_article_or_main(sizes):
+    texts = [" ".join([f"word{i}"] * n) for i, n in enumerate(sizes)]
+    menu = "<div><a>Home</a> <a>Shop</a></div><div><a>A</a> <a>B</a></div><div><a>C</a> <a>D</a></div><div><a>E</a> <a>F</a></div>"
+    divs = "".join(f"<div>{text}</div>" for text in texts)
+    assert htmltext.main_text(f"<body>{menu}<div id=content>{divs}</div>{menu}") == " ".join(texts)
+    sections = "".join(f"<section><h2>Part</h2><p>{text}</p></section>" for text in texts)
+    assert htmltext.main_text(f"<body>{menu}<div id=content>{sections}</div>{menu}") == " ".join(f"Part {text}" for text in texts)
+    assert htmltext.main_text(f"<body>{sections}") == " ".join(f"Part {text}" for text in texts)
+
+
 def test_leaks(spark):
     rng = random.Random(2)
     prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randrange(2, 9))) for _ in range(n))
