@@ -5,7 +5,8 @@ of the document's code points that it was decoded from. Layer 0 is the document.
 Each layer is scanned for secrets and searched for encoded regions: percent
 escapes, Unicode escapes (``\\uXXXX``, ``\\u{X}``, ``\\xXX``, ``%uXXXX``, numeric
 character references), base64 with either alphabet, and gzip, zlib, bzip2 or xz
-data inside base64. A region that decodes to readable text is a new layer.
+data inside base64. What a region decodes to is a new layer. Escapes are decoded a
+line at a time, all of a kind at once, as a secret may have spaces in it.
 The work ends when no layer yields a new one. A layer (its text and its place) that
 was met before isn't taken again, so cycles end too, such as data that
 decompress to themselves.
@@ -54,7 +55,8 @@ _ASSIGN = re.compile(rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)  # runs are maximal, so shorter ones can be left out at once
 
-_TOKEN = re.compile(r"\S+")
+#: What is decoded together: a line (no secret has other white space than a space), and lines that wrapped base64 may join.
+_STRETCH = re.compile(r"[\S\x20]+(?:(?<=[A-Za-z0-9+/_;}-])\r?\n(?=[A-Za-z0-9+/_%&\\-])[\S\x20]+)*")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4}|%u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
@@ -100,18 +102,18 @@ def _utf8(raw: bytes, spans: list[Span]) -> tuple[str, list[Span]]:
     return "".join(text), out
 
 
-def _unescaped(token: str, at: int, pattern: re.Pattern, decode) -> tuple[str, list[Span]]:
-    """A token with the matches of ``pattern`` decoded, and the spans of its characters in the layer."""
+def _unescaped(stretch: str, at: int, pattern: re.Pattern, decode) -> tuple[str, list[Span]]:
+    """A stretch with the matches of ``pattern`` decoded, and the spans of its characters in the layer."""
     text, spans, last = [], [], 0
-    for m in pattern.finditer(token):
-        text.append(token[last : m.start()])
+    for m in pattern.finditer(stretch):
+        text.append(stretch[last : m.start()])
         spans += [(at + i, at + i + 1) for i in range(last, m.start())]
         made, where = decode(m.group(), at + m.start())
         text.append(made)
         spans += where
         last = m.end()
-    text.append(token[last:])
-    spans += [(at + i, at + i + 1) for i in range(last, len(token))]
+    text.append(stretch[last:])
+    spans += [(at + i, at + i + 1) for i in range(last, len(stretch))]
     return "".join(text), spans
 
 
@@ -200,10 +202,10 @@ def _layers(text: str) -> Iterator[tuple[str, str, list[Span] | None, Span] | No
     percent = "%" in text and _PERCENT.search(text)
     escape = ("\\" in text or "&#" in text or "%u" in text) and _ESCAPE.search(text)
     if percent or escape:
-        for token in _TOKEN.finditer(text):
+        for stretch in _STRETCH.finditer(text):
             for how, pattern, decode in (("url", _PERCENT, _percent), ("unicode", _ESCAPE, _escape)):
-                if pattern.search(token.group()):
-                    yield (how, *_unescaped(token.group(), token.start(), pattern, decode), token.span())
+                if pattern.search(stretch.group()):
+                    yield (how, *_unescaped(stretch.group(), stretch.start(), pattern, decode), stretch.span())
     for m in _BASE64.finditer(text):
         for made in _from_base64(m):
             yield None if made is None else (*made, m.span())

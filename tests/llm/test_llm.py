@@ -193,6 +193,11 @@ def test_secrets_in_nested_layers():
     assert secretscan.scan("%25" * 2000)[1] == 0
 
 
+@pytest.mark.parametrize("text", ['x {\\u0022password\\u0022: \\u0022hunter22\\u0022}', "x password%3A hunter22", "x api_key&#61; abcdef1", "x\nto%6Ben =  abcdef1\ny"])
+def test_secrets_with_spaces_next_to_escapes(text):
+    assert [s[0] for s in secretscan.scan(text)[0]] == ["assign"]
+
+
 def test_secret_columns(spark):
     rows = [(1, None), (2, ""), (3, "token: AKIA" + "A" * 16 + " " + "0a" * 12), (3, "token: AKIA" + "A" * 16 + " " + "0a" * 12)]
     got = sorted((r["doc_id"], [tuple(s)[:3] for s in r["spans"]]) for r in secretscan.scan_texts(frame(spark, rows)).collect())
