@@ -5,7 +5,9 @@ of the document's code points that it was decoded from. Layer 0 is the document.
 Each layer is scanned for secrets and searched for encoded regions: percent
 escapes, Unicode escapes (``\\uXXXX``, ``\\u{X}``, ``\\xXX``, ``%uXXXX``, numeric
 character references), base64 with either alphabet, and gzip, zlib, bzip2 or xz
-data inside base64. What a region decodes to is a new layer. Escapes are decoded a
+data inside base64. What a region decodes to is a new layer, whatever bytes it
+has: those that are no UTF-8 become U+FFFD, and where there are NULs it is read as
+UTF-16 too. Base64 that line ends wrap is joined. Escapes are decoded a
 line at a time, all of a kind at once, as a secret may have spaces in it.
 The work ends when no layer yields a new one. A layer (its text and its place) that
 was met before isn't taken again, so cycles end too, such as data that
@@ -14,7 +16,8 @@ decompress to themselves.
 A secret found in a decoded layer is reported with the span of the document that
 its characters come from; of decompressed data that is the whole encoded region.
 Decompression is stopped at ``MAX_LAYER_BYTES`` a region as a guard against bombs;
-the documents concerned are counted in ``stopped``, not passed over in silence.
+regions concerned, and those whose compressed data end early, are counted in
+``stopped``, not passed over in silence.
 
 Defined results: a null or empty text has no spans; equal spans of one kind
 are reported once, the outermost layer's; overlapping finds of different kinds
@@ -27,11 +30,13 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import itertools
 import lzma
 import re
+import struct
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -62,6 +67,8 @@ _ESCAPE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4}|%u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
 )
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]+(?:\r?\n[A-Za-z0-9+/_-]+)+={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 _URL_SAFE = str.maketrans("-_", "+/")
 
 Span = tuple[int, int]
@@ -141,64 +148,110 @@ def _character(code: int) -> str:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
 
 
-def _unpack(raw: bytes) -> tuple[bytes | None, bool]:
-    """(the data inside compressed ``raw`` or None, whether the guard stopped it)."""
+def _unpacker(raw: bytes):
+    """A decompressor for what ``raw`` begins with, or None."""
     if raw[:2] == b"\x1f\x8b":
-        make = lambda: zlib.decompressobj(31)
-    elif len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] * 256 + raw[1]) % 31 == 0:
-        make = zlib.decompressobj
-    elif raw[:3] == b"BZh":
-        make = bz2.BZ2Decompressor
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        make = lzma.LZMADecompressor
-    else:
-        return None, False
-    try:
-        unpacker = make()
-        out = unpacker.decompress(raw, MAX_LAYER_BYTES)
-        return out, len(out) >= MAX_LAYER_BYTES and not unpacker.eof
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None, False
-
-
-def _readable(raw: bytes) -> bool:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return False
-    return bool(text) and all(c.isprintable() or c.isspace() for c in text)
+        return zlib.decompressobj(31)
+    if len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] * 256 + raw[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return None
 
 
-def _from_base64(m: re.Match) -> Iterator[tuple[str, str, list[Span] | None] | None]:
-    """(how, text, spans or None for the whole match) of what a base64 run holds; None: stopped."""
-    body = m.group().rstrip("=")
+def _unpack(raw: bytes) -> tuple[bytes | None, bool]:
+    """(the data inside compressed ``raw``, all streams of it, or None; whether they were stopped or end early)."""
+    out = b""
+    some = False
+    while (unpacker := _unpacker(raw)) is not None:
+        if len(out) >= MAX_LAYER_BYTES:
+            return out, True
+        try:
+            made = unpacker.decompress(raw, MAX_LAYER_BYTES - len(out))
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            break
+        if not unpacker.eof and not made and raw[0] & 15 == 8:  # two bytes only speak for zlib data
+            break
+        some, out = True, out + made
+        if not unpacker.eof:
+            return out, True
+        raw = unpacker.unused_data
+    return (out if some else None), False
+
+
+def _worth(text: str) -> bool:
+    """Whether a layer can have secrets or encoded regions."""
+    searches = (_PERCENT, _ESCAPE, _BASE64, _WRAPPED)
+    return next(find(text), None) is not None or any(p.search(text) for p in searches)
+
+
+def _texts(raw: bytes, spans: list[Span] | None) -> Iterator[tuple[str, list[Span] | None]]:
+    """``raw`` as UTF-8 and, if it has NULs, as UTF-16 of either order from either byte on: (text, spans)."""
+    if _worth(raw.decode("latin-1")):  # all that is searched for is ASCII
+        yield _utf8(raw, spans) if spans is not None else (raw.decode(errors="replace"), None)
+    if b"\0" in raw:
+        for first in (0, 1):
+            for order in "<>":
+                n = (len(raw) - first) // 2
+                text = "".join(map(_character, struct.unpack_from(f"{order}{n}H", raw, first)))
+                if _worth(text):
+                    yield text, spans and [(spans[first + 2 * i][0], spans[first + 2 * i + 1][1]) for i in range(n)]
+
+
+def _wraps(sizes: list[int]) -> list[tuple[int, int]]:
+    """Ranges of lines that may be one wrapped run: all, and lines of one width with a line of another before or after."""
+    out = {(0, len(sizes))}
+    begin = 0
+    for width, same in itertools.groupby(sizes):
+        end = begin + len(list(same))
+        out |= {(x, y) for x in (max(0, begin - 1), begin) for y in (end, min(len(sizes), end + 1)) if y - x > 1}
+        begin = end
+    return sorted(out)
+
+
+def _runs(text: str) -> Iterator[tuple[str, Sequence[int], Span]]:
+    """(characters, their places, the region) of base64 runs in a line or over several."""
+    for m in _BASE64.finditer(text):
+        body = m.group().rstrip("=")
+        yield body, range(m.start(), m.start() + len(body)), m.span()
+    for m in _WRAPPED.finditer(text) if "\n" in text else ():
+        lines = [(m.start() + x.start(), m.start() + x.end()) for x in _LINE.finditer(m.group())]
+        for i, j in _wraps([b - a for a, b in lines]):
+            part = lines[i:j]
+            if sum(b - a for a, b in part) >= MIN_BASE64:
+                at = [*itertools.chain(*itertools.starmap(range, part))]
+                yield "".join(text[a:b] for a, b in part), at, (part[0][0], m.end() if j == len(lines) else part[-1][1])
+
+
+def _from_base64(body: str, at: Sequence[int]) -> Iterator[tuple[str, str | None, list[Span] | None]]:
+    """(how, text, spans or None for the whole run) of what a base64 run holds; without text: whether its data end, "" if not."""
     if len(body) % 4 == 1:
         return
     try:
         raw = base64.b64decode(body.translate(_URL_SAFE) + "=" * (-len(body) % 4), validate=True)
     except binascii.Error:
         return
-    if _readable(raw):
-        at = m.start()
-        spans = [(at + i * 8 // 6, at + (i * 8 + 7) // 6 + 1) for i in range(len(raw))]
-        yield ("base64", *_utf8(raw, spans))
-        return
+    spans = [(at[i * 8 // 6], at[(i * 8 + 7) // 6] + 1) for i in range(len(raw))]
+    for text, where in _texts(raw, spans):
+        yield "base64", text, where
     how, met = "base64", {raw}
     while True:
         raw, stopped = _unpack(raw)
-        if stopped:
-            yield None
-        if raw is None or raw in met:
+        if raw is None:
+            return
+        yield ("" if stopped else "whole"), None, None
+        if raw in met:
             return
         met.add(raw)
         how += "+unpacked"
-        if _readable(raw):
-            yield how, raw.decode(), None
-            return
+        for text, _ in _texts(raw, None):
+            yield how, text, None
 
 
-def _layers(text: str) -> Iterator[tuple[str, str, list[Span] | None, Span] | None]:
-    """What a layer's encoded regions hold: (how, text, spans or None, the region)."""
+def _layers(text: str) -> Iterator[tuple[str, str | None, list[Span] | None, Span]]:
+    """What a layer's encoded regions hold: (how, text, spans or None, the region); without text: regions not read to their end."""
     percent = "%" in text and _PERCENT.search(text)
     escape = ("\\" in text or "&#" in text or "%u" in text) and _ESCAPE.search(text)
     if percent or escape:
@@ -206,27 +259,33 @@ def _layers(text: str) -> Iterator[tuple[str, str, list[Span] | None, Span] | No
             for how, pattern, decode in (("url", _PERCENT, _percent), ("unicode", _ESCAPE, _escape)):
                 if pattern.search(stretch.group()):
                     yield (how, *_unescaped(stretch.group(), stretch.start(), pattern, decode), stretch.span())
-    for m in _BASE64.finditer(text):
-        for made in _from_base64(m):
-            yield None if made is None else (*made, m.span())
+    short: dict[int, Span] = {}
+    whole: set[int] = set()  # a wrapped run's first line alone ends early, the run doesn't
+    for body, at, region in _runs(text):
+        parts = list(_from_base64(body, at))
+        ends = [how for how, made, _ in parts if made is None]
+        if "" in ends:
+            short[region[0]] = max(region, short.get(region[0], region))
+        elif ends:
+            whole.add(region[0])
+        yield from ((how, made, spans, region) for how, made, spans in parts if made is not None)
+    yield from (("", None, None, region) for start, region in short.items() if start not in whole)
 
 
 def scan(text: str) -> tuple[list[tuple[str, int, int, str]], int]:
-    """((kind, start, end, layer) by start, then kind; regions at which the guard stopped)."""
+    """((kind, start, end, layer) by start, then kind; regions not read to their end)."""
     found: dict[tuple[int, int, int], str] = {}
     work: deque[Layer] = deque([(text, None, None, "")])
     met: set[tuple[str, int, int]] = {(text, 0, len(text))}
-    stopped = 0
+    stopped: set[Span] = set()
     while work:
         layer, starts, ends, path = work.popleft()
         for kind, a, b in find(layer):
             span = (a, b) if starts is None else (starts[a], ends[b - 1])
             found.setdefault((span[0], kind, span[1]), path)
-        for inner in _layers(layer):
-            if inner is None:
-                stopped += 1
-                continue
-            how, made, spans, (a, b) = inner
+        for how, made, spans, (a, b) in _layers(layer):
+            if made is None:
+                stopped.add((a, b) if starts is None else (starts[a], ends[b - 1]))
             if not made:
                 continue
             if spans is None:
@@ -237,7 +296,7 @@ def scan(text: str) -> tuple[list[tuple[str, int, int, str]], int]:
             if key not in met:
                 met.add(key)
                 work.append((made, [x for x, _ in spans], [y for _, y in spans], f"{path}/{how}"))
-    return [(KINDS[k], a, b, path) for (a, k, b), path in sorted(found.items())], stopped
+    return [(KINDS[k], a, b, path) for (a, k, b), path in sorted(found.items())], len(stopped)
 
 
 SPANS = ArrayType(

@@ -198,6 +198,26 @@ def test_secrets_with_spaces_next_to_escapes(text):
     assert [s[0] for s in secretscan.scan(text)[0]] == ["assign"]
 
 
+def test_secrets_in_any_decoded_bytes():
+    inner = b"password=hunter2secret"
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    wrap = lambda text, width, end="\n": end.join(text[i : i + width] for i in range(0, len(text), width))
+    noise = random.Random(4).randbytes(300)
+    for raw in (b"\0 " + inner, b"\x1b[0m " + inner, b"\xef\xbb\xbf" + inner, b"\xe9 " + inner, inner.decode().encode("utf-16-le"), inner.decode().encode("utf-16"), b"." + inner.decode().encode("utf-16-be")):
+        for packed in (raw, gzip.compress(raw), gzip.compress(b"first") + gzip.compress(raw)):
+            assert "assign" in [s[0] for s in secretscan.scan(f"x {b64(packed)} y")[0]], packed
+    text = wrap(b64(b"some text before it, so that it lies at the end: " + inner), 76)
+    for given in (text, text.replace("\n", "\r\n"), f"data\n{text}\nend\n", f"key: {text}\n"):
+        start, end = next(s[1:3] for s in secretscan.scan(given)[0] if s[0] == "assign")
+        assert "\n" in given[start:end] and given[end - 1] == text.rstrip("=")[-1]
+    for make in (gzip.compress, zlib.compress):
+        packed = wrap(b64(make(noise + inner + noise)), 64)
+        found, stopped = secretscan.scan(f"MIME:\n\n{packed}\n")
+        assert "assign" in [s[0] for s in found] and stopped == 0
+    cut = b64(gzip.compress(noise + inner + noise)[:200])
+    assert secretscan.scan(f"x {cut} y")[1] == 1
+
+
 def test_secret_columns(spark):
     rows = [(1, None), (2, ""), (3, "token: AKIA" + "A" * 16 + " " + "0a" * 12), (3, "token: AKIA" + "A" * 16 + " " + "0a" * 12)]
     got = sorted((r["doc_id"], [tuple(s)[:3] for s in r["spans"]]) for r in secretscan.scan_texts(frame(spark, rows)).collect())
