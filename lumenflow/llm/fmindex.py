@@ -16,8 +16,9 @@ by the word before, and shortens it from the right by the common prefixes when i
 reached the window's length or can't be extended. That yields the matching
 statistics up to the window's length; where they reach it, the suffix interval
 is the set of all places of the window, and its smallest document is the owner.
-A minimizer with more than ``HOT`` different passages doesn't stay together: its
-windows are dealt to shards one by one, by their own hash.
+A minimizer with more than ``HOT`` different passages isn't indexed, as no shard could
+hold it: each window of these passages gets its smallest document from a combining
+aggregate over minimizer and window hash, however many passages have the window.
 
 The owners go back to all places of the passages. A word is removed if a window that
 covers it has an owner with a smaller id than the document at hand.
@@ -317,6 +318,13 @@ def _search_shard(table: pa.Table) -> pa.Table:
     )
 
 
+def _hot_owners(pieces: DataFrame) -> DataFrame:
+    """Owners of the windows of hot passages, given a row per window of each."""
+    key = ["minimizer", "window"]
+    least = pieces.groupBy(key).agg(F.min("owner").alias("least"))
+    return pieces.join(least.hint("merge"), key).select("minimizer", "passage", "windows", "offset", F.array("least").alias("owners"))
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(id, starts): for each document of (id, text) the places of windows that a smaller id has too."""
     docs = docs.where("id IS NOT NULL")
@@ -325,21 +333,25 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     places = staged(found.join(shared.hint("merge"), "minimizer", "left_semi"), "places")
     kinds = places.groupBy("minimizer", "passage", "windows").agg(F.min(F.struct("id", "start")).alias("at"))
     kinds = staged(kinds, "passages")
-    hot = kinds.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).where(f"n > {HOT}").select("minimizer", F.lit(True).alias("hot"))
-    wanted = (
-        kinds.join(hot, "minimizer", "left")
-        .select(F.col("at.id").alias("id"), F.struct(F.col("at.start").alias("start"), "windows", "minimizer", "passage", F.coalesce("hot", F.lit(False)).alias("hot")).alias("w"))
-        .groupBy("id")
-        .agg(F.collect_list("w").alias("wanted"))  # no more than the document's words
-    )
+    hot = staged(kinds.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).where(f"n > {HOT}").select("minimizer"), "hot")
+    any_hot = not hot.isEmpty()
+
+    def worded(kinds: DataFrame, is_hot: bool) -> DataFrame:
+        place = F.struct(F.col("at.start").alias("start"), "windows", "minimizer", "passage", F.lit(is_hot).alias("hot"))
+        wanted = kinds.select(F.col("at.id").alias("id"), place.alias("w")).groupBy("id").agg(F.collect_list("w").alias("wanted"))  # no more than the document's words
+        return _with_words(docs.join(wanted.hint("merge"), "id"), WINDOW)
+
     shards = max(1, -(-kinds.count() // SHARD_PASSAGES))
-    worded = _with_words(docs.join(wanted.hint("merge"), "id"), WINDOW)
     owners = (
-        worded.withColumn("shard", F.pmod(F.xxhash64("shard_key"), F.lit(shards)))
+        worded(kinds.join(hot, "minimizer", "left_anti") if any_hot else kinds, False)
+        .withColumn("shard", F.pmod(F.xxhash64("shard_key"), F.lit(shards)))
         .groupBy("shard")
         .applyInArrow(_search_shard, "minimizer long, passage long, windows int, offset int, owners array<long>")
     )
     owners = staged(owners, "owners")
+    if any_hot:
+        pieces = worded(kinds.join(hot.hint("merge"), "minimizer", "left_semi"), True).drop("words").withColumnRenamed("shard_key", "window")
+        owners = owners.unionByName(_hot_owners(staged(pieces, "hot-windows")))
     starts = F.filter(
         F.transform("owners", lambda o, i: F.when(o < F.col("id"), F.col("start") + F.col("offset") + i)), lambda x: x.isNotNull()
     )

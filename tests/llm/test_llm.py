@@ -98,6 +98,23 @@ def test_repeated_windows_equal_brute_force(spark, hot, monkeypatch):
     assert got == want
 
 
+def test_a_hot_passage_between_different_words_stays_out_of_the_shards(spark, monkeypatch):
+    search = fmindex._search_shard
+
+    def distinct_only(table):
+        words = [tuple(w) for w in table.column("words").to_pylist()]
+        assert len(set(words)) == len(words)
+        return search(table)
+
+    monkeypatch.setattr(fmindex, "HOT", 5)
+    monkeypatch.setattr(fmindex, "_search_shard", distinct_only)
+    shared = " ".join(f"s{k}" for k in range(20))
+    around = lambda i, side: " ".join(f"{side}{i}x{k}" for k in range(15))
+    rows = [(i, f"{around(i, 'a')} {shared} {around(i, 'b')}") for i in range(40)]
+    got = {r["doc_id"]: (r["n_removed"], r["kept"]) for r in fmindex.remove_repeats(frame(spark, rows)).collect()}
+    assert got == {i: (20, f"{around(i, 'a')} {around(i, 'b')}") if i else (0, text) for i, text in rows}
+
+
 def test_matching_statistics_equal_brute_force():
     rng = random.Random(3)
     passages = [[rng.randrange(4) for _ in range(rng.randrange(1, 40))] for _ in range(12)]
