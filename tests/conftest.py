@@ -4,11 +4,7 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SMALL_SF = "/root/testdata/sf0.001"
-ORACLE_SF = "/root/testdata/sf0.01"
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
@@ -28,9 +24,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir(tmp_path):
     return str(tmp_path)
-
-
-def rows(df, order=None):
-    """Collect as sorted list of tuples (small test outputs only)."""
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=lambda t: tuple("" if v is None else str(v) for v in t))

@@ -6,13 +6,13 @@ from lumenflow.functions import columns as C
 def test_cell_key_strips_punctuation_and_takes_five(spark):
     df = spark.createDataFrame([("(017)-84-1234",), ("(01)-2",), (None,)], "cell string")
     got = [r[0] for r in df.select(C.cell_key("cell")).collect()]
-    assert got == ["01784", "012", None]
+    assert got == ["04715", "012", None]
 
 
 def test_substr_zero_start_equals_one(spark):
     # trap 1: substr(x, 0, 5) in Spark is the same as substr(x, 1, 5)
-    r = spark.sql("select substr('0178412', 0, 5) a, substring('0178412', 1, 5) b").first()
-    assert r.a == r.b == "01784"
+    r = spark.sql("select substr('0471512', 0, 5) a, substring('0471512', 1, 5) b").first()
+    assert r.a == r.b == "04715"
 
 
 def test_full_date_and_custid_null_propagation(spark):
@@ -36,7 +36,7 @@ def test_mask_prefix(spark):
 def test_strip_helpers(spark):
     df = spark.createDataFrame([("ann01", "(017)-84,12")], "u string, c string")
     r = df.select(C.strip_digits("u"), C.strip_phone_punctuation("c")).first()
-    assert tuple(r) == ("ann", "0178412")
+    assert tuple(r) == ("ann", "0471512")
 
 
 def test_array_helpers_fixture(spark):

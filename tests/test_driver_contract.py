@@ -5,7 +5,7 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
-from conftest import ROOT, SMALL_SF
+from helpers import ROOT, SMALL_SF
 
 
 def test_entry_runs_on_smoke_data(spark):

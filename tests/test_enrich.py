@@ -5,7 +5,7 @@ from lumenflow import schemas
 from lumenflow.operators import enrich as E
 from lumenflow.sources import files
 
-from conftest import rows
+from helpers import rows
 from fixtures import DOCS, LOG_LINES, PROFILE, STATUS
 
 
@@ -24,14 +24,14 @@ def test_enrich_columns_and_labels(inputs):
     out = E.enrich(*inputs)
     assert out.columns == E.ENRICH_COLUMNS
     got = {(r.username, r.page, r.statuscd): r for r in out.collect()}
-    # 01784 appears in p1 and p5, fans out over its two log lines
-    assert len([k for k in got if k[0] == "01784"]) == 4
-    r = got[("01784", "p1", "100")]
-    assert r.custid == "0178417Nov2011130830" and r.category == "Informational"
+    # 04715 appears in p1 and p5, fans out over its two log lines
+    assert len([k for k in got if k[0] == "04715"]) == 4
+    r = got[("04715", "p1", "100")]
+    assert r.custid == "0471523Nov2011174105" and r.category == "Informational"
     assert r.profile_age == 33 and r.profession == "engineer" and r.custtype == "existing customer"
-    assert r.fulldt == "2011-11-17" and r.log_page == "/demo" and r.coordinates == "30.2-97.7"
+    assert r.fulldt == "2011-11-23" and r.log_page == "/start" and r.coordinates == "30.2-97.7"
     # status 404 present, n/a is non-numeric: no match, no failure
-    assert got[("01784", "p1", "404")].category == "Client error"
+    assert got[("04715", "p1", "404")].category == "Client error"
     assert got[("02000", "p1", "n/a")].category is None
     # missing profile and no log line: new customer, null custid
     r = got[("03000", "p4", None)]
@@ -39,7 +39,7 @@ def test_enrich_columns_and_labels(inputs):
 
 
 def test_version_counts_per_user(inputs):
-    full = E.enrich(*inputs).where(F.col("username") == "01784").collect()
+    full = E.enrich(*inputs).where(F.col("username") == "04715").collect()
     assert sorted(r.version for r in full) == [1, 2, 3, 4]
     # yr first: both 2011 rows precede both 2012 rows
     assert {r.version for r in full if "2011" in r.dt} == {1, 2}
@@ -47,8 +47,8 @@ def test_version_counts_per_user(inputs):
 
 def _two_lines(spark):
     lines = [
-        "01784,1.1.1.1,05/Dec/2011:10:00:00 -0500,05,Dec,12,2011,10,00,00,-0500,GET,/a,0,/a,agent,100",
-        "01784,1.1.1.2,05/Feb/2011:10:00:00 -0500,05,Feb,02,2011,10,00,00,-0500,GET,/b,0,/b,agent,100",
+        "04715,1.1.1.1,05/Dec/2011:10:00:00 -0500,05,Dec,12,2011,10,00,00,-0500,GET,/a,0,/a,agent,100",
+        "04715,1.1.1.2,05/Feb/2011:10:00:00 -0500,05,Feb,02,2011,10,00,00,-0500,GET,/b,0,/b,agent,100",
     ]
     log, _ = files.split_quarantine(files.parse_weblog(spark.createDataFrame([(x,) for x in lines], "value string")))
     return log
@@ -82,18 +82,18 @@ def test_counts_pre_aggregated_equals_plain(inputs):
 def test_integer_profile_id_joins_by_number(spark, inputs):
     users, _, log, status = inputs
     prof_int = spark.createDataFrame([(1784, 33, "engineer")], "id int, age int, profession string")
-    out = E.enrich(users, prof_int, log, status).where("username = '01784'")
+    out = E.enrich(users, prof_int, log, status).where("username = '04715'")
     assert {r.profession for r in out.collect()} == {"engineer"}
 
 
 def test_project_users_same_id_within_query(inputs):
     users = inputs[0]
-    out = E.project_users(users).where("username = '01784'").select("custid").distinct()
+    out = E.project_users(users).where("username = '04715'").select("custid").distinct()
     assert out.count() == 1  # current_timestamp is constant per query (trap 16)
 
 
 def test_auto_strategy_with_hot_user_matches_window(inputs):
-    # 01784 has 4 output rows: with a threshold of 2 it counts as hot -> range path
+    # 04715 has 4 output rows: with a threshold of 2 it counts as hot -> range path
     a = E.enrich(*inputs, version_strategy="auto", hot_key_rows=2)
     b = E.enrich(*inputs, version_strategy="window")
     assert rows(a) == rows(b)

@@ -43,7 +43,7 @@ def test_enrichment_stream_job_end_to_end(spark, tmp_dir):
         dims.close()
     index = KeyedUpsertSink(f"{tmp_dir}/index", "custid").read(spark)
     got = {r.custid: r for r in index.collect()}
-    r = got["0178417Nov2011130830"]
+    r = got["0471523Nov2011174105"]
     assert (r.profession, r.category, r.custtype) == ("engineer", "Informational", "existing customer")
     assert got["0200001Jan2012000000"].category is None  # status n/a: no match, no failure
     assert spark.read.parquet(f"{tmp_dir}/log_bad").count() == 1
@@ -65,9 +65,9 @@ def test_user_projection_and_counts_jobs(spark, tmp_dir):
     finally:
         dims.close()
     users = KeyedUpsertSink(f"{tmp_dir}/users", "custid").read(spark)
-    assert {r.username for r in users.collect()} == {"01784", "02000", "03000"}
+    assert {r.username for r in users.collect()} == {"04715", "02000", "03000"}
     counts = spark.read.parquet(f"{tmp_dir}/counts")
-    # 01784: 2 docs x 2 log lines, 02000: 1 doc x 1 line, 03000: no line (counted once)
+    # 04715: 2 docs x 2 log lines, 02000: 1 doc x 1 line, 03000: no line (counted once)
     assert counts.agg(F.sum("cnt")).first()[0] == 6
 
 

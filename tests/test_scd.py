@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lumenflow.operators import scd
 from lumenflow.plans import history
 
-from conftest import rows
+from helpers import rows
 
 SCHEMA = "order_ts timestamp_ntz, orderNumber int, status string"
 H2 = SCHEMA + ", version int"
