@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import bpe, ctxmix, decontaminate, fmindex, htmltext, minmax, secretscan, surrogates, warc, weaksupervision
+from lumenflow.llm import bpe, ctxmix, decontaminate, fim, fmindex, htmltext, minmax, secretscan, surrogates, warc, weaksupervision
+from lumenflow.llm.oracle import STATEMENTS
 from lumenflow.session import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -120,6 +121,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut twice and put in its drawn form, and the text rebuilt from that."""
+    done = fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored().cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (
         op1_warc_revisits,
@@ -132,10 +147,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_context_mixing,
         op9_html_main_text,
         op10_byte_bpe,
+        op12_fill_in_middle,
     )
     return {f.__name__: f for f in numbered}
 
 
 def statements() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express at a bearable cost."""
-    return {}
+    return dict(STATEMENTS)
