@@ -30,4 +30,96 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
-STATEMENTS = {"op12_fill_in_middle": OP12}
+OP11 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS code
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.code, d.code) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+OP13 = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations
+), drawn AS (
+  SELECT *, xor(list_reduce(
+      list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(k, ''), lambda c: CAST(ord(c) AS BIGINT))),
+      lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x // 2, (x % 2) * 3988292384))
+    ), 4294967295) % 20 AS draw
+  FROM keyed
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+         CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN draw = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM drawn WHERE draw <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 3
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 1 ELSE 0 END AS fault,
+         substr(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1, 1) || substr(role, 1, 1) AS pair
+  FROM numbered
+), gathered AS (
+  SELECT conv_id, list({'ini': substr(role, 1, 1), 'role': role, 'text': text, 'fault': fault} ORDER BY i) AS m,
+         count(*) FILTER (fault = 3) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM judged GROUP BY conv_id
+), steps AS (
+  SELECT conv_id, len(m) AS i, {'c': 0, 's': '', 'r': ''} AS s, {'c': 6, 's': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'} AS y,
+         {'c': 3, 's': 'I', 'r': chr(10) || 'assistant:'} AS u, {'c': 0, 's': '', 'r': ''} AS a
+  FROM gathered
+  UNION ALL
+  SELECT conv_id, i,
+         list_sort([s, {'c': 3 + u2.c, 's': 'I' || u2.s, 'r': chr(10) || 'user:' || u2.r}])[1],
+         list_sort([y, {'c': 3 + u2.c, 's': 'I' || u2.s, 'r': chr(10) || 'user:' || u2.r}])[1],
+         u2, a2
+  FROM (
+    SELECT conv_id, i, s, y,
+           list_sort([u, {'c': 3 + a.c, 's': 'I' || a.s, 'r': chr(10) || 'assistant:' || a.r}])[1] AS u2,
+           list_sort([a, {'c': 3 + u.c, 's': 'I' || u.s, 'r': chr(10) || 'user:' || u.r}])[1] AS a2
+    FROM (
+      SELECT conv_id, i - 1 AS i,
+             list_sort([d_s, CASE x.ini WHEN 's' THEN {'c': t + y.c, 's': 'K' || y.s, 'r': line || y.r} WHEN 'u' THEN {'c': t + u.c, 's': 'K' || u.s, 'r': line || u.r} ELSE d_s END, to_u])[1] AS s,
+             list_sort([d_y, CASE x.ini WHEN 'u' THEN {'c': t + u.c, 's': 'K' || u.s, 'r': line || u.r} ELSE d_y END, to_u])[1] AS y,
+             list_sort([d_u, CASE x.ini WHEN 'a' THEN {'c': t + a.c, 's': 'K' || a.s, 'r': line || a.r} ELSE d_u END,
+                        {'c': 3 + t + a.c, 's': 'R' || a.s, 'r': chr(10) || 'assistant:' || x.text || a.r}])[1] AS u,
+             list_sort([d_a, CASE x.ini WHEN 'u' THEN {'c': t + u.c, 's': 'K' || u.s, 'r': line || u.r} ELSE d_a END, to_u])[1] AS a
+      FROM (
+        SELECT *, {'c': 4 + s.c, 's': 'D' || s.s, 'r': s.r} AS d_s, {'c': 4 + y.c, 's': 'D' || y.s, 'r': y.r} AS d_y,
+               {'c': 4 + u.c, 's': 'D' || u.s, 'r': u.r} AS d_u, {'c': 4 + a.c, 's': 'D' || a.s, 'r': a.r} AS d_a,
+               {'c': 3 + t + u.c, 's': 'R' || u.s, 'r': chr(10) || 'user:' || x.text || u.r} AS to_u, chr(10) || x.role || ':' || x.text AS line
+        FROM (
+          SELECT p.*, g.m[p.i] AS x, CASE g.m[p.i].fault WHEN 0 THEN 0 WHEN 1 THEN 3 ELSE 1000000 END AS t
+          FROM steps p JOIN gathered g ON g.conv_id IS NOT DISTINCT FROM p.conv_id
+          WHERE p.i > 0
+        )
+      )
+    )
+  )
+), solved AS (SELECT conv_id, s FROM steps WHERE i = 0),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT e.conv_id, CAST(coalesce(g.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(g.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(g.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(g.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(g.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(v.s.c, 0) AS BIGINT) AS cost,
+       coalesce(v.s.s, '') AS audit, sha256(coalesce(substr(v.s.r, 2), '')) AS repaired_sha256
+FROM every e LEFT JOIN gathered g ON g.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN solved v ON v.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+STATEMENTS = {
+    "op11_block_max_top_k": OP11,
+    "op12_fill_in_middle": OP12,
+    "op13_conversation_repair": OP13,
+}

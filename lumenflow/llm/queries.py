@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenflow.llm import bpe, ctxmix, decontaminate, fim, fmindex, htmltext, minmax, secretscan, surrogates, warc, weaksupervision
+from lumenflow.llm import blockmax, bpe, ctxmix, decontaminate, dialogue, fim, fmindex, htmltext, minmax, secretscan, surrogates, warc, weaksupervision
 from lumenflow.llm.oracle import STATEMENTS
 from lumenflow.session import scratch_path
 
@@ -121,6 +121,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_block_max_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest integer inner products of every 50th vector with all others."""
+    return blockmax.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text cut twice and put in its drawn form, and the text rebuilt from that."""
     done = fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -135,6 +140,12 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults put into every conversation, the cheapest repair of each, and a digest of the repaired text."""
+    rows = dialogue.damaged(_table(spark, sf_dir, "conversations"))
+    return dialogue.summary(*dialogue.repair(rows, F.col("present")))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (
         op1_warc_revisits,
@@ -147,7 +158,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_context_mixing,
         op9_html_main_text,
         op10_byte_bpe,
+        op11_block_max_top_k,
         op12_fill_in_middle,
+        op13_conversation_repair,
     )
     return {f.__name__: f for f in numbered}
 
