@@ -7,21 +7,24 @@ row as a new or existing customer; ``enrich_counts`` is the grouped
 (counting) form used by the streaming job; ``project_users`` is the
 minimal projection sent to the document index.
 
-Plan shape (batch): the documents are shuffled once on the computed cell
-key; the profile and the web log are joined on that same key, so both
-sort-merge joins reuse one partitioning (or the profile is broadcast when
-its checked size allows). The status dimension is bounded by the HTTP code
-space and is always broadcast behind the same check.
+Plan shape (batch): the status dimension is joined to the log lines before they
+fan out (a document without a line has no status either). The documents are shuffled once on
+the computed cell key; the profile and the web log are joined on that same key, so both
+joins reuse one partitioning, unless Spark broadcasts a side by its bytes. Hot users are found by
+sketches while both sides are staged, and joined in a grid of cells (``operators.skew``).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenflow.functions import columns as C
-from lumenflow.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, key_equals
+from lumenflow.operators import skew
+from lumenflow.operators.joins import key_equals
 from lumenflow.operators.ranking import DEFAULT_HOT_KEY_ROWS, sequence_within_key
 
 USER_COLUMNS = [
@@ -73,9 +76,8 @@ def flatten_users(docs: DataFrame) -> DataFrame:
     )
 
 
-def _dims(users: DataFrame, custprof: DataFrame, weblog: DataFrame, status: DataFrame,
-          profile_broadcast_rows: int, log_broadcast_rows: int, status_broadcast_rows: int,
-          log_extra: tuple[str, ...] = (), key_length: int = C.KEY_LENGTH):
+def _join_dims(users: DataFrame, custprof: DataFrame, weblog: DataFrame, status: DataFrame, key_length: int,
+               grid: skew.Grid | None = None, log_extra: tuple[str, ...] = ()) -> DataFrame:
     u = users.withColumn("_key", C.cell_key("cell", key_length))
     cp = custprof.select(
         F.col("id").alias("_cp_id"), F.col("age").alias("profile_age"), F.col("profession")
@@ -85,18 +87,40 @@ def _dims(users: DataFrame, custprof: DataFrame, weblog: DataFrame, status: Data
         "hr", "mt", "sec", "verb", F.col("page").alias("log_page"), "statuscd", *log_extra,
     )
     ws = status.select(F.col("cd").alias("_ws_cd"), "category", "desc")
-    cp_type = custprof.schema["id"].dataType
-    ws_type = status.schema["cd"].dataType
-    cp = broadcast_if_small(cp, profile_broadcast_rows)
-    wl = broadcast_if_small(wl, log_broadcast_rows)
-    ws = broadcast_if_small(ws, status_broadcast_rows)
-    return u, cp, cp_type, wl, ws, ws_type
+    key, cp_id, wl_user = F.col("_key"), F.col("_cp_id"), F.col("_wl_user")
+    cp_type, ws_type = custprof.schema["id"].dataType, status.schema["cd"].dataType
+    wl = wl.join(ws, key_equals(F.col("statuscd"), T.StringType(), F.col("_ws_cd"), ws_type), "left")
+    own_profile, own_lines = key_equals(key, T.StringType(), cp_id, cp_type), wl_user == key
+    if grid is None:
+        return u.join(cp, own_profile, "left").join(wl, own_lines, "left")
+    u = grid.left(u, key)
+    cp = grid.every(cp, lambda hot: key_equals(hot, T.StringType(), cp_id, cp_type)).withColumnRenamed(skew.CELL, "_cp_cell")
+    wl = grid.right(wl, wl_user).withColumnRenamed(skew.CELL, "_wl_cell")
+    j = u.join(cp, own_profile & (F.col(skew.CELL) == F.col("_cp_cell")), "left")
+    j = j.join(wl, own_lines & (F.col(skew.CELL) == F.col("_wl_cell")), "left")
+    return j.where(skew.met(wl_user))
+
+
+def _find_hot(users: DataFrame, weblog: DataFrame, key_length: int, cell_rows: int, **owner: Column):
+    """(staged users, staged web log, grid of the hot keys or None, the two sketches)."""
+    key = C.cell_key("cell", key_length)
+    (users, of_users), (weblog, of_log) = skew.staged_together(
+        users.sparkSession, (users, "enrich-users", {"key": key, **owner}), (weblog, "enrich-log", {"key": F.col("username")})
+    )
+    counts = skew.hot_counts(users, key, of_users, weblog, F.col("username"), of_log, cell_rows)
+    cells = skew.plan_cells(counts, cell_rows)
+    return users, weblog, skew.Grid(users.sparkSession, cells) if cells else None, of_users, of_log
 
 
-def _join_dims(u, cp, cp_type, wl, ws, ws_type) -> DataFrame:
-    j = u.join(cp, key_equals(F.col("_key"), T.StringType(), F.col("_cp_id"), cp_type), "left")
-    j = j.join(wl, F.col("_wl_user") == F.col("_key"), "left")
-    return j.join(ws, key_equals(F.col("statuscd"), T.StringType(), F.col("_ws_cd"), ws_type), "left")
+def _largest_group(of_users: skew.Sketch, of_log: skew.Sketch) -> int:
+    """About the most output rows of one username (sketched as ``username NUL key``), by the frequent ones of both sides."""
+    most_lines = math.ceil(4 * of_log.rows / skew.TRACKED)
+    rows: dict[str, int] = {}
+    for owner, docs in of_users.top["owner"].items():
+        username, _, key = owner.partition("\0")
+        rows[username] = rows.get(username, 0) + docs * max(of_log.count("key", key), most_lines, 1)
+    rest = math.ceil(4 * of_users.rows / skew.TRACKED) * max([most_lines, *of_log.top["key"].values()])
+    return max([rest, *rows.values()])
 
 
 def _version_order(legacy_order: bool) -> list[Column]:
@@ -125,10 +149,9 @@ def enrich(
     with_version: bool = True,
     version_strategy: str = "auto",
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
-    profile_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    log_broadcast_rows: int = 0,
-    status_broadcast_rows: int = 10_000,
     key_length: int = C.KEY_LENGTH,
+    find_hot: bool = True,
+    cell_rows: int = skew.CELL_ROWS,
 ) -> DataFrame:
     """Flattened users -> enriched rows (``ENRICH_COLUMNS``).
 
@@ -139,16 +162,19 @@ def enrich(
       ``try_cast``)
     * ``version``: ``row_number`` per ``username`` ordered by the log time
       (``legacy_order``: the text parts yr, month, day, hr, mt, sec).
-      ``version_strategy='auto'`` (default) first counts rows per user (a
-      partial aggregate over the pruned plan) and switches to the skew-safe
-      ``range`` numbering when one user is too big for one task;
-      ``'window'`` skips the check, ``'range'`` always splits.
+    * ``find_hot``: users and log are staged in the shared folder and sketched on the way;
+      a key whose join would make more than ``cell_rows`` rows is joined in cells.
+      ``version_strategy='auto'`` (default) takes the skew-safe ``range`` numbering
+      when, by the sketches, one user gets more than ``hot_key_rows`` rows, else the window.
+      Without ``find_hot`` (bounded input such as a micro-batch) ``auto`` is the window.
     """
-    u, cp, cp_type, wl, ws, ws_type = _dims(
-        users, custprof, weblog, status, profile_broadcast_rows, log_broadcast_rows, status_broadcast_rows,
-        key_length=key_length,
-    )
-    j = _join_dims(u, cp, cp_type, wl, ws, ws_type)
+    grid = None
+    if find_hot:
+        owner = F.concat(F.col("username"), F.lit("\0"), F.coalesce(C.cell_key("cell", key_length), F.lit("")))
+        users, weblog, grid, of_users, of_log = _find_hot(users, weblog, key_length, cell_rows, owner=owner)
+    if version_strategy == "auto":
+        version_strategy = "range" if find_hot and _largest_group(of_users, of_log) > hot_key_rows else "window"
+    j = _join_dims(users, custprof, weblog, status, key_length, grid)
     out = j.select(
         C.customer_id("username", "day", "month", "yr", "hr", "mt", "sec").alias("custid"),
         "page", "cell", "first", "age", "email",
@@ -162,7 +188,6 @@ def enrich(
     if with_version:
         out = sequence_within_key(
             out, ["username"], _version_order(legacy_order), "version", strategy=version_strategy,
-            hot_key_rows=hot_key_rows,
         )
     else:
         out = out.withColumn("version", F.lit(None).cast("int"))
@@ -173,6 +198,11 @@ DOC_GROUP = ["page", "cell", "first", "age", "email", "latitude", "longitude", "
 LOG_GROUP = ["username", "ip", "dt", "day", "month", "time1", "yr", "hr", "mt", "sec", "verb", "page", "statuscd"]
 
 
+def log_counts(weblog: DataFrame) -> DataFrame:
+    """Identical log lines as one row with their number ``_n_log``."""
+    return weblog.groupBy(*LOG_GROUP).agg(F.count(F.lit(1)).alias("_n_log"))
+
+
 def _count_select() -> list[Column]:
     return [
         C.customer_id("wbuser", "day", "month", "yr", "hr", "mt", "sec").alias("custid"),
@@ -193,10 +223,9 @@ def enrich_counts(
     status: DataFrame,
     sort: bool = True,
     pre_aggregate: bool = True,
-    profile_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    log_broadcast_rows: int = 0,
-    status_broadcast_rows: int = 10_000,
     key_length: int = C.KEY_LENGTH,
+    find_hot: bool = True,
+    cell_rows: int = skew.CELL_ROWS,
 ) -> DataFrame:
     """Enrichment grouped on its 22 output expressions with ``cnt``.
 
@@ -204,23 +233,21 @@ def enrich_counts(
     identical log lines *before* the joins and multiplies their counts
     afterwards: the joins then see distinct tuples instead of every
     document x every log line, which is what keeps a hot user from
-    exploding the shuffle. Streaming inputs use the plain form (Spark
-    cannot aggregate a stream before a join); the state store keeps the
-    running counts.
+    exploding the shuffle. ``find_hot`` (batch): as for :func:`enrich`, over the
+    distinct tuples. Spark cannot aggregate a stream before a join, so a streaming
+    ``users`` is joined row by row, with the log collapsed all the same; the state
+    store keeps the running counts.
     """
-    if users.isStreaming:
-        pre_aggregate = False
-    if pre_aggregate:
+    grid = None
+    if pre_aggregate and not users.isStreaming:
         users = users.groupBy(*DOC_GROUP).agg(F.count(F.lit(1)).alias("_n_doc"))
-        weblog = weblog.groupBy(*LOG_GROUP).agg(F.count(F.lit(1)).alias("_n_log"))
     else:
         users = users.withColumn("_n_doc", F.lit(1).cast("long"))
-        weblog = weblog.withColumn("_n_log", F.lit(1).cast("long"))
-    u, cp, cp_type, wl, ws, ws_type = _dims(
-        users, custprof, weblog, status,
-        profile_broadcast_rows, log_broadcast_rows, status_broadcast_rows, log_extra=("_n_log",), key_length=key_length,
-    )
-    j = _join_dims(u, cp, cp_type, wl, ws, ws_type).withColumnRenamed("username", "wbuser")
+    if "_n_log" not in weblog.columns:
+        weblog = log_counts(weblog) if pre_aggregate else weblog.withColumn("_n_log", F.lit(1).cast("long"))
+    if find_hot and not users.isStreaming:
+        users, weblog, grid, _, _ = _find_hot(users, weblog, key_length, cell_rows)
+    j = _join_dims(users, custprof, weblog, status, key_length, grid, ("_n_log",)).withColumnRenamed("username", "wbuser")
     # A user without log lines still counts its own rows once.
     n = F.col("_n_doc") * F.coalesce(F.col("_n_log"), F.lit(1))
     out = j.groupBy(*_count_select()).agg(F.sum(n).alias("cnt")).select(*COUNT_COLUMNS)

@@ -25,8 +25,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenflow.operators.joins import broadcast_if_small
-
 
 def _order_cols(order: list[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
@@ -49,7 +47,6 @@ def sequence_within_key(
     out_col: str = "version",
     strategy: str = "window",
     num_partitions: int | None = None,
-    count_table_broadcast_rows: int = 2_000_000,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     if strategy == "auto":
@@ -74,7 +71,6 @@ def sequence_within_key(
     counts = ranged.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__offset", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
-    offsets = broadcast_if_small(offsets, count_table_broadcast_rows)
     cond = [numbered["__pid"] == offsets["__pid"]] + [numbered[k].eqNullSafe(offsets[k]) for k in keys]
     joined = numbered.join(offsets, cond, "inner").drop(offsets["__pid"])
     for k in keys:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lumenflow import schemas
 from lumenflow.functions import columns as C
 from lumenflow.operators import enrich as E
-from lumenflow.operators.joins import broadcast_if_small, key_equals
+from lumenflow.operators.joins import key_equals
 from lumenflow.operators.ranking import sequence_within_key
 from lumenflow.plans.enrichment import derived_inputs
 from lumenflow.plans.io_queries import _flat_users
@@ -33,7 +33,7 @@ def left_join_computed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users left-joined with the profile on the cell key."""
     i = derived_inputs(spark, sf_dir)
     u = i.users.select("username", "cell", C.cell_key("cell", D.KEY_WIDTH).alias("cell_key"))
-    cp = broadcast_if_small(i.custprof)
+    cp = i.custprof
     j = u.join(cp, key_equals(F.col("cell_key"), u.schema["cell_key"].dataType, F.col("id"), cp.schema["id"].dataType), "left")
     return j.select("username", "cell", "cell_key", F.col("age").alias("profile_age"), "profession")
 
@@ -50,7 +50,7 @@ def left_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def left_join_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text status code against the numeric code of the dimension."""
     i = derived_inputs(spark, sf_dir)
-    ws = broadcast_if_small(i.status, 10_000)
+    ws = i.status
     cond = key_equals(F.col("statuscd"), i.weblog.schema["statuscd"].dataType, F.col("cd"), ws.schema["cd"].dataType)
     return i.weblog.join(ws, cond, "left").select("username", "dt", "statuscd", "category", "desc")
 

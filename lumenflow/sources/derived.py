@@ -104,7 +104,10 @@ def custprof_from_customer(customer: DataFrame) -> DataFrame:
 
 
 def status_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(STATUS_ROWS, schemas.HTTP_STATUS)
+    """The fixed codes as a local relation, whose size the planner knows (so the join broadcasts it)."""
+    names = schemas.HTTP_STATUS.fieldNames()
+    rows = ", ".join(f"(CAST({code} AS BIGINT), '{category}', '{text}')" for code, category, text in STATUS_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(names)})").to(schemas.HTTP_STATUS)
 
 
 def _priority_case() -> str:

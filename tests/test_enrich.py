@@ -81,7 +81,7 @@ def test_counts_pre_aggregated_equals_plain(inputs):
 
 def test_integer_profile_id_joins_by_number(spark, inputs):
     users, _, log, status = inputs
-    prof_int = spark.createDataFrame([(1784, 33, "engineer")], "id int, age int, profession string")
+    prof_int = spark.createDataFrame([(4715, 33, "engineer")], "id int, age int, profession string")
     out = E.enrich(users, prof_int, log, status).where("username = '04715'")
     assert {r.profession for r in out.collect()} == {"engineer"}
 
@@ -99,6 +99,65 @@ def test_auto_strategy_with_hot_user_matches_window(inputs):
     assert rows(a) == rows(b)
 
 
+def _skewed(spark):
+    """Users and log lines of which one key holds a third on both sides, copies and null keys among them."""
+    docs = [("p", "04715-1", "Ann", i % 3, f"m{i % 20}", "c", "1", "2", "US", "s", None, "u1" if i % 2 else "u2") for i in range(60)]
+    docs += [("p", None if i % 4 == 0 else f"{i % 9:05d}", "Bob", i, "m", "c", "1", "2", "US", "s", None, f"v{i % 5}") for i in range(120)]
+    users = spark.createDataFrame(docs, "page string, cell string, first string, age long, email string, uscity string, latitude string, longitude string, country string, state string, timezone string, username string")
+    line = lambda key, i: f"{key},1.1.1.{i % 7},{i % 28 + 1:02d}/Dec/2011,{i % 28 + 1:02d},Dec,12,2011,10,{i % 4:02d},00,-0500,GET,/a,0,/a,agent,{(100, 404, 999)[i % 3]}"
+    text = [line("04715", i) for i in range(50)] + [line(f"{i % 12:05d}", i) for i in range(80)] + [line("04715", 3)] * 5
+    log, _ = files.split_quarantine(files.parse_weblog(spark.createDataFrame([(t,) for t in text], "value string")))
+    profile = spark.createDataFrame([("04715", 33, "engineer"), ("00001", 4, "cook")], schemas.CUSTPROF)
+    return users, profile, log, spark.createDataFrame(STATUS, schemas.HTTP_STATUS)
+
+
+@pytest.mark.parametrize("kind", ["text", "number"])
+def test_hot_keys_joined_in_cells_give_the_same_rows(spark, kind):
+    users, profile, log, status = _skewed(spark)
+    if kind == "number":  # two texts of one number, one of them hot
+        profile = profile.select(F.col("id").cast("int").alias("id"), "age", "profession")
+        users = users.union(users.where("cell = '04715-1'").withColumn("cell", F.lit("4715-")).limit(3))
+    plain = rows(E.enrich(users, profile, log, status, find_hot=False))
+    assert rows(E.enrich(users, profile, log, status, cell_rows=40, hot_key_rows=100)) == plain
+    want = rows(E.enrich_counts(users, profile, log, status, find_hot=False))
+    for before in (True, False):
+        assert rows(E.enrich_counts(users, profile, log, status, cell_rows=20, pre_aggregate=before)) == want
+
+
+def test_no_task_gets_more_than_a_few_cells(spark, tmp_dir):
+    """A user with a third of all documents and lines, a large profile, no broadcast joins but those of the hot keys."""
+    users, _, log, status = _skewed(spark)
+    users = users.crossJoin(spark.range(10)).drop("id")  # test data: 60 copies of each document
+    profile = spark.range(20_000).select(F.lpad(F.col("id").cast("string"), 5, "0").alias("id"), F.lit(1).alias("age"), F.lit("x").alias("profession"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        largest, n = [], None
+        for cell_rows in (2_000, 10**9):
+            joined = E.enrich(users, profile, log, status, with_version=False, cell_rows=cell_rows)
+            counted = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+            largest.append(counted[0])
+            assert n in (None, counted[1])
+            n = counted[1]
+    finally:
+        for name in ("autoBroadcastJoinThreshold", "adaptive.autoBroadcastJoinThreshold", "adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(f"spark.sql.{name}")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert n > 35_000 and largest[1] >= 33_000 and largest[0] <= 5 * 2_000
+
+
+def test_grids_hold_their_bound():
+    from lumenflow.operators import skew
+
+    for docs, lines in ((10**9, 1), (1, 10**9), (3 * 10**5, 3 * 10**5), (10**7, 50), (2, 10**7), (10**6, 0)):
+        height, width = skew.plan_cells({"k": (docs, lines)}).get("k", (1, 1))
+        assert docs / height * max(lines / width, 1) <= 1.01 * skew.CELL_ROWS and lines / width <= skew.CELL_ROWS
+        assert width <= max(lines, 1) and height <= docs
+    assert skew.plan_cells({"k": (1000, 1000), "none": (0, 10**9)}) == {}
+
+
 def test_profile_keys_stay_distinct_beyond_five_digits(spark):
     from lumenflow.functions import columns as C
     from lumenflow.sources import derived as D
@@ -114,12 +173,3 @@ def test_profile_keys_stay_distinct_beyond_five_digits(spark):
     keyed = cells.select(C.cell_key("cell", D.KEY_WIDTH).alias("id"))
     assert keyed.count() == 8 and keyed.distinct().count() == 8  # a referred user is none of the customers
     assert keyed.join(profiles, "id").count() == 4
-
-
-def test_join_helpers_start_no_job(spark):
-    from lumenflow.operators.joins import broadcast_if_small
-
-    spark.sparkContext.setJobGroup("no-job", "plans only")
-    broadcast_if_small(spark.range(10))
-    broadcast_if_small(spark.range(10), 0)
-    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("no-job")
