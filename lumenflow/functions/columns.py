@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 __all__ = [
     "as_col",
@@ -26,6 +27,10 @@ __all__ = [
     "delimited",
     "timestamped_id",
     "evaluate_once",
+    "canonical",
+    "distinct_rows",
+    "has_map",
+    "key_text",
     "NEW_CUSTOMER",
     "EXISTING_CUSTOMER",
     "EMPTY_MARK",
@@ -134,3 +139,39 @@ def evaluate_once(df: DataFrame, keep: list[str], **named: Column) -> DataFrame:
     packed = F.struct(*[c.alias(n) for n, c in named.items()])
     carry = [F.col(c) for c in keep]
     return df.select(*carry, F.explode(F.array(packed)).alias("__once")).select(*carry, "__once.*")
+
+
+def has_map(kind: T.DataType) -> bool:
+    """Whether a type is or holds a map."""
+    if isinstance(kind, T.StructType):
+        return any(has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and has_map(kind.elementType))
+
+
+def canonical(c: Column, kind: T.DataType) -> Column:
+    """A value that is equal, groupable and sortable where ``c`` is equal: every map as its entries sorted by key."""
+    if not has_map(kind):
+        return c
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(canonical(e["key"], kind.keyType).alias("key"), canonical(e["value"], kind.valueType).alias("value"))
+        return F.array_sort(F.transform(F.map_entries(c), entry))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda e: canonical(e, kind.elementType))
+    whole = F.struct(*[canonical(c.getField(f.name), f.dataType).alias(f.name) for f in kind.fields])
+    return F.when(c.isNull(), F.lit(None)).otherwise(whole)
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``df.distinct()``, also for rows with map columns (equal maps are equal in any order of their entries)."""
+    maps = [f for f in df.schema.fields if has_map(f.dataType)]
+    if not maps:
+        return df.distinct()
+    forms = {f"__form_{i}": canonical(F.col(f"`{f.name}`"), f.dataType) for i, f in enumerate(maps)}
+    plain = [c for c in df.columns if c not in {f.name for f in maps}]
+    return df.withColumns(forms).dropDuplicates([*plain, *forms]).drop(*forms)
+
+
+def key_text(keys: list[str]) -> Column:
+    """The key columns as one text that is never null and differs where a key does: each part with its length, a null as ``-``."""
+    part = lambda c: F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-"))
+    return F.concat(*[part(F.col(k)) for k in keys])

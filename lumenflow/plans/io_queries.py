@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from lumenflow import schemas
 from lumenflow.operators import enrich as E
 from lumenflow.operators import scd
-from lumenflow.plans.history import overwrite_from_self
+from lumenflow.plans.history import overwrite_from_self, run_scd
 from lumenflow.plans.history_queries import CHANGE_KEY, KEYS, TIEBREAK, before_cutoff
 from lumenflow.sinks import tables
 from lumenflow.sources import derived as D
 from lumenflow.sources import files, jdbc
 from lumenflow.session import scratch_path, spread
+from lumenflow.sources.sqltext import run_sql_file
 from lumenflow.streaming.schema_sampling import sample_schema
 
 USER_OUT = [
@@ -113,18 +114,6 @@ TABLE order_history
 """
 
 
-def run_sql_file(spark: SparkSession, path: str, views: dict[str, DataFrame], args: dict | None = None) -> DataFrame:
-    """The whole file (any number of lines) is one statement, run over
-    the given named inputs; ``args`` binds ``:name`` parameter markers."""
-    texts = [r[0] for r in spark.read.text(path, wholetext=True).take(2) if r[0].strip()]
-    if len(texts) != 1:
-        raise ValueError(f"{path} must hold exactly one statement file, not {len(texts)}")
-    text = texts[0]
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text, args=args) if args else spark.sql(text)
-
-
 def sql_text_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sql")
     spark.createDataFrame([(SCD2_SQL,)], "value string").write.mode("overwrite").text(path)
@@ -134,6 +123,17 @@ def sql_text_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql_file(spark, path, {"order_history": old, "order_increment": new})
 
 
+def scd2_merge_sql_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history job with the merge given as a SQL file."""
+    path = scratch_path(spark, "sql")
+    text = SCD2_SQL.replace("order_history", "history").replace("order_increment", "increment")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    orders, table = D.table(spark, sf_dir, "orders"), f"orders_sql_{uuid.uuid4().hex[:8]}"
+    for source in (before_cutoff(orders), orders):
+        run_scd(spark, 2, table, source, KEYS, CHANGE_KEY, TIEBREAK, location_root=scratch_path(spark, "history"), merge_sql=path)
+    return spark.table(table)
+
+
 def text_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows -> delimited text files -> read back as strings."""
     path = scratch_path(spark, "text")
@@ -205,6 +205,7 @@ QUERIES = {
     "json_corrupt": json_corrupt,
     "json_sample_schema": json_sample_schema,
     "sql_text_job": sql_text_job,
+    "scd2_merge_sql_job": scd2_merge_sql_job,
     "text_sink_roundtrip": text_sink_roundtrip,
     "checkpoint_overwrite": checkpoint_overwrite,
     "jdbc_table": jdbc_table,

@@ -154,7 +154,9 @@ HISTORY = {
     "scd1_increment": LATEST_PER_CUSTOMER,
     "scd2_initial": VERSIONED_ORDERS,
     "scd2_increment": VERSIONED_ORDERS,
+    "scd2_increment_maps": VERSIONED_ORDERS,
     "scd2_increment_skew_safe": VERSIONED_ORDERS,
+    "scd2_merge_sql_job": VERSIONED_ORDERS,
     "scd_noop": LATEST_PER_CUSTOMER,
     "incremental_extract": f"""
 SELECT {ORDERS_COLS} FROM orders

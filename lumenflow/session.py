@@ -95,6 +95,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop knows them: any store that Spark can write to."""
+    sc = spark.sparkContext
+    found = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this engine staged; nothing if it isn't there."""
+    fs, found = _folder(spark, path)
+    fs.delete(found, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders in ``path``, sorted; none if it isn't there."""
+    fs, found = _folder(spark, path)
+    if not fs.exists(found):
+        return []
+    return sorted(f.getPath().toString() for f in fs.listStatus(found) if f.isDirectory())
+
+
+def staged(df, name: str) -> tuple:
+    """``df`` written to the shared stage folder: (the copy, its path). Survives lost executors and moving sources."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin ``df`` over at least ``min_partitions`` (default: the
     cluster's default parallelism) when its source yields fewer splits.

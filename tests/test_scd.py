@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,46 +98,152 @@ def test_apply_scd_dispatch(spark, history_df, increment_df):
     assert scd.apply_scd(2, history_df, history_df.drop("version"), ["orderNumber"], "order_ts") is None
 
 
+def _table(spark, name):
+    """A fresh name: the catalog outlives a test."""
+    import uuid
+
+    return f"{name}_{uuid.uuid4().hex[:8]}"
+
+
+def _files(spark, table):
+    storage = spark.table(history.state(spark, table)["storage"])
+    return {r[0] for r in storage.select(F.col("_metadata.file_path")).distinct().collect()}
+
+
+def _orders(spark, *rows):
+    return spark.createDataFrame([(t(d), k, s) for d, k, s in rows], SCHEMA)
+
+
 def test_run_scd_job_shell(spark, tmp_dir):
-    src = spark.createDataFrame([(t(1), 1, "new"), (t(1), 2, "new")], SCHEMA)
-    table = "scd2_orders_test"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    r1 = history.run_scd(spark, 2, table, src, ["orderNumber"], "order_ts", path=f"{tmp_dir}/t")
-    assert r1.written and spark.table(table).count() == 2
-    more = src.unionByName(spark.createDataFrame([(t(5), 1, "paid")], SCHEMA))
-    r2 = history.run_scd(spark, 2, table, more, ["orderNumber"], "order_ts", path=f"{tmp_dir}/t")
-    assert r2.incoming_rows == 1
+    src = _orders(spark, (1, 1, "new"), (1, 2, "new"))
+    table = _table(spark, "scd2_orders_test")
+    run = lambda df: history.run_scd(spark, 2, table, df, ["orderNumber"], "order_ts", location_root=tmp_dir)
+    assert run(src).written and spark.table(table).count() == 2
+    before = _files(spark, table)
+    more = src.unionByName(_orders(spark, (5, 1, "paid")))
+    assert run(more).incoming_rows == 1
     got = {(r.orderNumber, r.status): r.version for r in spark.table(table).collect()}
     assert got == {(1, "new"): 1, (2, "new"): 1, (1, "paid"): 2}
+    # the second run wrote its new row and nothing else
+    added = _files(spark, table) - before
+    assert before < _files(spark, table) and spark.read.parquet(*added).count() == 1
     # re-run of the same increment is a no-op
-    r3 = history.run_scd(spark, 2, table, more, ["orderNumber"], "order_ts", path=f"{tmp_dir}/t")
-    assert not r3.written and spark.table(table).count() == 3
-
-
-def test_run_scd1_job_shell(spark, tmp_dir):
-    src = spark.createDataFrame([(t(1), 1, "new"), (t(1), 2, "new")], SCHEMA)
-    table = "scd1_orders_test"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    history.run_scd(spark, 1, table, src, ["orderNumber"], "order_ts", path=f"{tmp_dir}/t1")
-    more = src.unionByName(spark.createDataFrame([(t(5), 1, "paid")], SCHEMA))
-    history.run_scd(spark, 1, table, more, ["orderNumber"], "order_ts", path=f"{tmp_dir}/t1")
-    assert {r.orderNumber: r.status for r in spark.table(table).collect()} == {1: "paid", 2: "new"}
-
-
-def test_run_scd_staged_swap(spark, tmp_dir):
-    src = spark.createDataFrame([(t(1), 1, "new"), (t(1), 2, "new")], SCHEMA)
-    table = "scd2_staged_test"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    root = f"{tmp_dir}/versions"
-    history.run_scd(spark, 2, table, src, ["orderNumber"], "order_ts", location_root=root)
-    first_location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
-    more = src.unionByName(spark.createDataFrame([(t(5), 1, "paid")], SCHEMA))
-    history.run_scd(spark, 2, table, more, ["orderNumber"], "order_ts", location_root=root)
-    second_location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
-    assert first_location != second_location
-    assert spark.table(table).count() == 3
-    # the previous version is still intact for readers that started before the swap
-    assert spark.read.parquet(first_location).count() == 2
+    assert not run(more).written and _files(spark, table) == before | added
+
+
+def test_a_run_killed_in_mid_write_leaves_the_table(spark, tmp_dir, monkeypatch):
+    for kind in (1, 2):
+        table = _table(spark, f"scd{kind}_killed")
+        run = lambda df: history.run_scd(spark, kind, table, df, ["orderNumber"], "order_ts", location_root=tmp_dir, buckets=4)  # noqa: B023, E731
+        run(_orders(spark, (1, 1, "new"), (1, 2, "new")))
+        before, files_before = rows(spark.table(table)), _files(spark, table)
+        with monkeypatch.context() as m:
+
+            def dies(*args, **kw):
+                raise RuntimeError("killed")
+
+            m.setattr(history, "_add", dies)  # after the files are written, before they are listed
+            with pytest.raises(RuntimeError):
+                run(_orders(spark, (5, 1, "paid")))
+        assert rows(spark.table(table)) == before and _files(spark, table) == files_before
+        assert run(_orders(spark, (5, 1, "paid"))).written
+        assert {r.status for r in spark.table(table).where("orderNumber = 1").collect()} == ({"paid"} if kind == 1 else {"new", "paid"})
+
+
+def test_run_scd1_replaces_touched_buckets_only(spark, tmp_dir):
+    table = _table(spark, "scd1_orders_test")
+    run = lambda df: history.run_scd(spark, 1, table, df, ["orderNumber"], "order_ts", location_root=tmp_dir, buckets=8)
+    src = _orders(spark, *[(1, k, "new") for k in range(40)], (1, None, "none"))
+    run(src)
+    before = _files(spark, table)
+    assert run(src.unionByName(_orders(spark, (5, 7, "paid"), (4, 7, "packed"), (5, None, "nowhere")))).incoming_rows == 3
+    after = _files(spark, table)
+    assert {r.orderNumber: r.status for r in spark.table(table).collect()} == {**{k: "new" for k in range(40)}, 7: "paid", None: "nowhere"}
+    touched = before - after
+    assert 1 <= len(touched) <= 2 and len(before & after) == len(before) - len(touched)  # untouched files keep their names
+    assert history.vacuum(spark, table) and rows(spark.table(table)) and not history.vacuum(spark, table)
+    with pytest.raises(ValueError):
+        history.run_scd(spark, 2, table, src, ["orderNumber"], "order_ts", location_root=tmp_dir)
+
+
+def test_merge_reads_touched_buckets_without_a_shuffle(spark, tmp_dir, monkeypatch):
+    table, plans = _table(spark, "scd1_plan"), []
+    real = history._write_buckets
+    monkeypatch.setattr(history, "_write_buckets", lambda spark, rows, *rest: (plans.append(rows._jdf.queryExecution().toString()), real(spark, rows, *rest)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for day, n in ((1, 40), (2, 3)):
+            history.run_scd(spark, 1, table, _orders(spark, *[(day, k, "x") for k in range(n)]), ["orderNumber"], "order_ts", location_root=tmp_dir, buckets=4)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    physical = plans[1][plans[1].index("== Physical Plan =="):]
+    join = physical[physical.index("SortMergeJoin"):]
+    scan = join.index("Bucketed: true")
+    assert "Exchange" not in join[:scan] and "PartitionFilters: [__bucket" in physical
+
+
+def test_run_scd_adopts_a_plain_table(spark, tmp_dir):
+    table = _table(spark, "scd2_foreign")
+    made = _orders(spark, (1, 1, "new"), (1, 1, "new"), (1, 2, "new")).withColumn("version", F.lit(1))
+    made.write.option("path", f"{tmp_dir}/plain").saveAsTable(table)
+    r = history.run_scd(spark, 2, table, _orders(spark, (5, 1, "paid"), (1, 2, "new")), ["orderNumber"], "order_ts", location_root=tmp_dir)
+    assert r.incoming_rows == 1
+    assert rows(spark.table(table).select("orderNumber", "status", "version")) == [(1, "new", 1), (1, "paid", 2), (2, "new", 1)]
+
+
+def test_run_scd_with_merge_sql(spark, tmp_dir):
+    table = _table(spark, "scd2_sql")
+    run = lambda df: history.run_scd(spark, 2, table, df, ["orderNumber"], "order_ts", location_root=tmp_dir, merge_sql=f"{tmp_dir}/merge")
+    text = """SELECT order_ts, orderNumber, upper(status) AS status, 7 AS version FROM increment
+    UNION ALL SELECT * FROM history"""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{tmp_dir}/merge")
+    run(_orders(spark, (1, 1, "new")))
+    run(_orders(spark, (2, 1, "paid")))
+    assert rows(spark.table(table).select("status", "version")) == [("PAID", 7), ("new", 1)]
+
+
+def test_history_command(spark, tmp_dir, capsys):
+    from lumenflow.plans import history_job
+
+    table = _table(spark, "scd2_command")
+    _orders(spark, (1, 1, "new"), (1, 2, "new")).write.parquet(f"{tmp_dir}/source")
+    with open(f"{tmp_dir}/options.json", "w") as fh:
+        fh.write('{"mergeSchema": "true"}')
+    argv = ["2", "--table", table, "--keys", "orderNumber", "--change-key", "order_ts", "--format", "parquet",
+            "--option", f"path={tmp_dir}/source", "--options-file", f"{tmp_dir}/options.json", "--location-root", f"{tmp_dir}/h"]
+    history_job.main(argv)
+    history_job.main(argv)
+    out = capsys.readouterr().out.strip().splitlines()
+    assert [json.loads(line)["written"] for line in out] == [True, False]
+    assert spark.table(table).count() == 2
+    with pytest.raises(SystemExit):
+        history_job.arguments(["3", *argv[1:]])
+
+
+def test_versions_of_null_keys_go_on(spark):
+    hist = _orders(spark, (1, None, "a"), (1, 3, "a")).withColumn("version", F.lit(1).cast("int"))
+    out = scd.scd2_merge(hist, _orders(spark, (2, None, "b"), (3, None, "c"), (2, 3, "b")), ["orderNumber"], "order_ts")
+    assert rows(out.select("orderNumber", "status", "version")) == [(None, "a", 1), (None, "b", 2), (None, "c", 3), (3, "a", 1), (3, "b", 2)]
+    one = scd.scd1_merge(hist.drop("version"), _orders(spark, (2, None, "b")), ["orderNumber"], "order_ts")
+    assert rows(one.select("orderNumber", "status")) == [(None, "b"), (3, "a")]
+
+
+def test_order_without_a_tiebreak_is_total(spark):
+    same = _orders(spark, (1, 1, "b"), (1, 1, "a"), (1, 1, "c"))
+    got = {r.status: r.version for r in scd.scd2_initial(same, ["orderNumber"], "order_ts").collect()}
+    assert got == {"a": 1, "b": 2, "c": 3}
+    assert [r.status for r in scd.latest_per_key(same, ["orderNumber"], "order_ts").collect()] == ["c"]
+
+
+def test_union_of_rows_with_maps(spark):
+    old = spark.sql("SELECT 1 k, 1 at, map('a', named_struct('m', map(1, 'x', 2, 'y')), 'b', null) tags, array(map('p', 1, 'q', 2)) list")
+    again = spark.sql("SELECT 1 k, 1 at, map('b', null, 'a', named_struct('m', map(2, 'y', 1, 'x'))) tags, array(map('q', 2, 'p', 1)) list")
+    other = spark.sql("SELECT 1 k, 1 at, map('b', null, 'a', named_struct('m', map(2, 'y', 1, 'z'))) tags, array(map('q', 2, 'p', 1)) list")
+    nothing = old.select(F.lit(2).alias("k"), "at", *[F.when(F.lit(False), F.col(c)).alias(c) for c in ("tags", "list")])
+    hist = old.union(again).union(other).union(nothing).union(nothing).withColumn("version", F.lit(1))
+    out = scd.scd2_merge(hist, again.withColumn("at", F.lit(5)), ["k"], "at")
+    assert sorted((r.k, r.at, r.version) for r in out.collect()) == [(1, 1, 1), (1, 1, 1), (1, 5, 2), (2, 1, 1)]
+    assert out.schema["tags"].dataType == old.schema["tags"].dataType
 
 
 def test_auto_strategy_picks_range_for_hot_key(spark):

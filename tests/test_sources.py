@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lumenflow import schemas
 from lumenflow.sinks import tables
 from lumenflow.sources import files, jdbc
-from lumenflow.plans.io_queries import run_sql_file
+from lumenflow.sources.sqltext import run_sql_file
 
 XML = """<statuses>
   <httpstatus><cd>100</cd><category>Informational</category><desc>Continue</desc></httpstatus>
