@@ -49,11 +49,11 @@ LOG_TIME_PARTS = ["yr", "month", "day", "hr", "mt", "sec"]
 LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 
 
-def flatten_users(docs: DataFrame) -> DataFrame:
+def flatten_users(docs: DataFrame, carry: dict[str, str] | None = None) -> DataFrame:
     """Documents with a page -> one row per element of ``results``.
 
     ``explode`` (not ``explode_outer``): documents whose ``results`` is empty
-    or null produce no rows.
+    or null produce no rows. ``carry``: further columns, name -> path below the element.
     """
     res = F.col("res")
     return (
@@ -72,6 +72,7 @@ def flatten_users(docs: DataFrame) -> DataFrame:
             res["location"]["state"].alias("state"),
             res["location"]["timezone"].alias("timezone"),
             res["login"]["username"].alias("username"),
+            *[F.col(f"res.{path}").alias(name) for name, path in (carry or {}).items()],
         )
     )
 
@@ -254,7 +255,7 @@ def enrich_counts(
     return out.orderBy("custid") if sort else out
 
 
-def project_users(users: DataFrame, ts: Column | None = None) -> DataFrame:
+def project_users(users: DataFrame, ts: Column | None = None, carry: list[str] | None = None) -> DataFrame:
     """``custid = concat(username, ts)`` plus location columns.
 
     ``ts`` defaults to ``current_timestamp()`` (constant within one query,
@@ -262,5 +263,5 @@ def project_users(users: DataFrame, ts: Column | None = None) -> DataFrame:
     keyed sink).
     """
     return users.select(
-        C.timestamped_id("username", ts).alias("custid"), "uscity", "country", "state", "username"
+        C.timestamped_id("username", ts).alias("custid"), "uscity", "country", "state", "username", *(carry or [])
     )

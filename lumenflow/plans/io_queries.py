@@ -19,7 +19,7 @@ from lumenflow.sources import derived as D
 from lumenflow.sources import files, jdbc
 from lumenflow.session import scratch_path, spread
 from lumenflow.sources.sqltext import run_sql_file
-from lumenflow.streaming.schema_sampling import sample_schema
+from lumenflow.streaming.schema_sampling import SchemaStore, sample_schema
 
 USER_OUT = [
     "page", "cell", "first", "age", "email", "uscity", "latitude", "longitude", "country", "state",
@@ -86,14 +86,23 @@ def json_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad
 
 
+def json_mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of changing shape, single and in arrays, read with the schema inferred from them."""
+    docs = D.mixed_documents(spread(D.table(spark, sf_dir, "events")))
+    good, bad = files.read_json_column(docs)
+    wanted = ["id", "v", "extra.n", "extra.m", F.size("tags").alias("n_tags"), "none", F.lit(None).cast("string").alias("corrupt")]
+    return good.select(*wanted).unionByName(bad.select(F.col(schemas.CORRUPT_COLUMN).alias("corrupt")), allowMissingColumns=True)
+
+
 def json_sample_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampled documents -> text files -> inferred schema, merged
-    with the expected one -> used to parse every document."""
-    docs = D.documents(spark, sf_dir)
-    schema, _unknown = sample_schema(docs.sample(fraction=0.05, seed=7), scratch_path(spark, "sample"),
-                                     expected=schemas.USER_DOC)
-    good, _ = files.split_corrupt(files.parse_json_column(docs, schema))
-    return _flat_users(E.flatten_users(good))
+    """Sampled documents -> text files -> inferred schema, merged with the expected one at every
+    depth -> kept as a version of the stream's schema -> used to parse every document, with a field that only the sample knows."""
+    docs = D.documents_from_events(spread(D.table(spark, sf_dir, "events")), ranked=True)
+    store = SchemaStore(scratch_path(spark, "schema"), schemas.USER_DOC)
+    sample_schema(docs.sample(fraction=0.05, seed=7), scratch_path(spark, "sample"), store=store)
+    good, _ = files.split_corrupt(files.parse_json_column(docs, store.current(spark)))
+    rank = good.select("info.page", F.explode("results").alias("u")).select("page", "u.login.username", "u.rank.tier", "u.rank.points")
+    return rank.where("page IS NOT NULL")
 
 
 # The history job as one SQL statement (S15): rows of the increment are numbered
@@ -203,6 +212,7 @@ QUERIES = {
     "csv_to_table": csv_to_table,
     "json_infer": json_infer,
     "json_corrupt": json_corrupt,
+    "json_mixed_documents": json_mixed_documents,
     "json_sample_schema": json_sample_schema,
     "sql_text_job": sql_text_job,
     "scd2_merge_sql_job": scd2_merge_sql_job,

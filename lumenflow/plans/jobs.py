@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lumenflow.operators import enrich as E
@@ -21,6 +22,7 @@ from lumenflow.sinks.keyed import KeyedUpsertSink
 from lumenflow.sources import files, jdbc
 from lumenflow.streaming import enrich_stream, runner
 from lumenflow.streaming.dimensions import DimensionHolder
+from lumenflow.streaming.schema_sampling import SchemaStore
 
 
 class StaticDimensions:
@@ -63,15 +65,25 @@ def enrichment_counts_job(values: DataFrame, dims: StaticDimensions, out_path: s
     return enrich_stream.start_enrich_counts(values, dims, out_path, checkpoint, trigger)
 
 
-def user_projection_job(values: DataFrame, sink_root: str, checkpoint: str,
-                        trigger: dict | None = None) -> StreamingQuery:
+def user_projection_job(values: DataFrame, sink_root: str, checkpoint: str, trigger: dict | None = None,
+                        store: SchemaStore | None = None, carry: dict[str, str] | None = None) -> StreamingQuery:
     """``custid = username + current time`` with location columns, to a
-    keyed sink (last write wins when a user repeats within a batch)."""
+    keyed sink (last write wins when a user repeats within a batch).
+
+    With a ``store``, every batch's documents extend the stream's schema, and ``carry`` (column -> path below a
+    result) adds fields that the expected schema doesn't know; they are null where no batch had them yet."""
     sink = KeyedUpsertSink(sink_root, key="custid", order=["uscity"])
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        users = enrich_stream.users_from_stream(batch)
-        sink.upsert(E.project_users(users), batch_id)
+        schema, known = None, carry or {}
+        if store is not None:
+            schema, _ = store.extend(batch.sparkSession, files.infer_json_schema(batch))
+            element = schema["results"].dataType.elementType
+            known = {name: path for name, path in known.items() if files.has_path(element, path)}
+        users = enrich_stream.users_from_stream(batch, schema=schema, carry=known)
+        for name in (carry or {}).keys() - known.keys():
+            users = users.withColumn(name, F.lit(None).cast("string"))
+        sink.upsert(E.project_users(users, carry=list(carry or {})), batch_id)
 
     return runner.start_foreach_batch(values, runner.guarded(run), checkpoint,
                                       trigger or {"processingTime": "5 seconds"})

@@ -215,9 +215,32 @@ FROM customer
 """,
     "json_infer": USERS_FLAT,
     "json_corrupt": """
-SELECT substr('{"info":{"page":"error"}', 1, 20) AS _corrupt_record FROM events WHERE event_type = 'error'
+WITH u AS (SELECT user_id AS n, lpad(CAST(user_id AS VARCHAR), 12, '0') AS k FROM events WHERE event_type = 'error')
+SELECT '{"info":{"page":"error"},"results":[{"cell":"(' || substr(k, 1, 3) || ')-' || substr(k, 4, 9) || '-0000","email":"user' || n
+       || '@example.com","name":{"first":"First' || n || '"},"dob":{"age":' || (18 + n % 60) || '},"login":{"username":"' || k
+       || '"},"location":{"city":"City' || (n % 40) || '","state":"State' || (n % 10)
+       || '","country":"US","timezone":{"offset":"-05:00","description":"Eastern"},"coordinates":{"latitude":"' || (30 + n % 17)
+       || '.5","longitude":"-' || (70 + n % 23) || '.25"}}}' AS _corrupt_record
+FROM u
+""",
+    "json_mixed_documents": """
+SELECT event_id AS id,
+       CASE event_type WHEN 'click' THEN CAST(event_id % 10 AS VARCHAR) WHEN 'purchase' THEN 's' || (event_id % 7)
+                       WHEN 'view' THEN '{"k":' || (event_id % 3) || '}' END AS v,
+       CASE event_type WHEN 'click' THEN CAST(event_id AS DOUBLE) WHEN 'signup' THEN 1.5 END AS n,
+       CAST(NULL AS VARCHAR) AS m, CASE event_type WHEN 'view' THEN 0 END AS n_tags,
+       CAST(NULL AS VARCHAR) AS "none", CAST(NULL AS VARCHAR) AS corrupt
+FROM events WHERE event_type IN ('click', 'purchase', 'view', 'signup')
+UNION ALL
+SELECT -event_id, 'true', NULL, NULL, NULL, NULL, NULL FROM events WHERE event_type = 'purchase'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, '{"id": ' || event_id || ', "v": ' FROM events
+WHERE event_type IS NULL OR event_type NOT IN ('click', 'purchase', 'view', 'signup')
+""",
+    "json_sample_schema": """
+SELECT event_type AS page, lpad(CAST(user_id AS VARCHAR), 12, '0') AS username, 'T' || (user_id % 4) AS tier, user_id % 9 AS points
+FROM events WHERE event_type <> 'signup'
 """,
-    "json_sample_schema": USERS_FLAT,
     "sql_text_job": VERSIONED_ORDERS,
     "text_sink_roundtrip": """
 SELECT concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus,

@@ -9,7 +9,7 @@ linearly with the tables and it partitions like its input.
 
 Event type -> document shape (one JSON document per event):
 
-* ``error``    - truncated text (malformed; goes to quarantine)
+* ``error``    - text that lacks its last two characters (malformed; goes to quarantine)
 * ``signup``   - ``info`` without ``page`` (dropped by the page filter)
 * ``view``     - ``results`` is an empty array (explode yields nothing)
 * ``click``    - one result, the event's user
@@ -51,9 +51,10 @@ def user_key(c: Column) -> Column:
     return F.lpad(c.cast("string"), KEY_WIDTH, "0")
 
 
-def _user_sql(u: str) -> str:
+def _user_sql(u: str, more: str = "") -> str:
     """SQL text of a ``results[]`` element for user number expression ``u``
-    (one expression string: a single round trip to build, however wide)."""
+    (one expression string: a single round trip to build, however wide).
+    ``more``: further fields, as pairs of name and expression."""
     u = f"({u})"
     k = f"lpad(CAST({u} AS STRING), {KEY_WIDTH}, '0')"
     return f"""named_struct(
@@ -69,12 +70,31 @@ def _user_sql(u: str) -> str:
         'timezone', named_struct('offset', '-05:00', 'description', 'Eastern'),
         'coordinates', named_struct(
           'latitude', concat(CAST(30 + {u} % 17 AS STRING), '.5'),
-          'longitude', concat('-', CAST(70 + {u} % 23 AS STRING), '.25'))))"""
+          'longitude', concat('-', CAST(70 + {u} % 23 AS STRING), '.25'))){more})"""
 
 
-def documents_from_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``events`` -> one JSON text per event in column ``value``."""
+def mixed_documents(events: DataFrame) -> DataFrame:
+    """``events`` as JSON text of changing shape: single documents, arrays of documents, a field ``v`` that is a
+    number, text, flag or object, fields that are always null or missing, and malformed text."""
+    return events.selectExpr("""CASE event_type
+      WHEN 'click' THEN to_json(named_struct('id', event_id, 'v', event_id % 10, 'extra', named_struct('n', event_id)))
+      WHEN 'purchase' THEN concat('[', to_json(named_struct('id', event_id, 'v', concat('s', CAST(event_id % 7 AS STRING)))),
+                                  ', {"id": -', CAST(event_id AS STRING), ', "v": true, "extra": null, "none": null}]')
+      WHEN 'view' THEN concat('{"id": ', CAST(event_id AS STRING), ', "v": {"k":', CAST(event_id % 3 AS STRING), '}, "tags": []}')
+      WHEN 'signup' THEN concat(' {"id": ', CAST(event_id AS STRING), ', "extra": {"n": 1.5, "m": null}, "object": {}}')
+      ELSE concat('{"id": ', CAST(event_id AS STRING), ', "v": ') END AS value""")
+
+
+def documents_from_events(events: DataFrame, keep: list[str] | None = None, ranked: bool = False) -> DataFrame:
+    """``events`` -> one JSON text per event in column ``value``; ``ranked`` adds an object ``rank`` to the user,
+    which the expected schema doesn't know."""
     results_type = schemas.USER_DOC["results"].dataType.simpleString()
+    if ranked:
+        more = ", 'rank', named_struct('tier', concat('T', CAST(user_id % 4 AS STRING)), 'points', user_id % 9)"
+        doc = f"""to_json(named_struct(
+          'info', named_struct('page', CASE WHEN event_type <> 'signup' THEN event_type END),
+          'results', array({_user_sql('user_id', more)})))"""
+        return events.select(*(keep or []), F.expr(doc).alias("value"))
     doc = f"""to_json(named_struct(
       'info', CASE WHEN event_type = 'signup' THEN named_struct('page', CAST(NULL AS STRING))
                    ELSE named_struct('page', event_type) END,
@@ -82,7 +102,7 @@ def documents_from_events(events: DataFrame, keep: list[str] | None = None) -> D
                       WHEN event_type = 'purchase' THEN array({_user_sql('user_id')}, {_user_sql(f'{REFERRAL_BASE} + user_id')})
                       ELSE array({_user_sql('user_id')}) END))"""
     text = F.expr(doc)
-    value = F.when(F.col("event_type") == "error", F.substring(text, 1, 20)).otherwise(text)
+    value = F.when(F.col("event_type") == "error", text.substr(F.lit(1), F.length(text) - 2)).otherwise(text)
     carry = [F.col(c) for c in (keep or [])]
     return events.select(*carry, value.alias("value"))
 

@@ -6,6 +6,8 @@ serves a file read, a Kafka value column and a streaming micro-batch.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +97,10 @@ def parse_json_column(
     ``keep`` carries extra columns of ``df`` (e.g. a batch id) through.
     """
     full = schemas.with_corrupt_column(schema)
+    if not schema.fields:  # from_json finds every text corrupt that has no field to fill
+        text = F.col(value_col).cast("string")
+        is_object = F.coalesce(F.expr(f"schema_of_variant(try_parse_json(CAST(`{value_col}` AS STRING))) LIKE 'OBJECT%'"), F.lit(False))
+        return df.select(*(keep or []), F.when(~is_object, text).alias(schemas.CORRUPT_COLUMN))
     parsed = F.from_json(
         F.col(value_col).cast("string"),
         full,
@@ -106,42 +112,85 @@ def parse_json_column(
     return C.evaluate_once(df, keep, __doc=parsed).select(*keep, "__doc.*")
 
 
-def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that parsed, rows whose text went to ``_corrupt_record``)."""
+def split_corrupt(parsed: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows that parsed, rows whose text went to ``_corrupt_record``, with the columns ``keep``)."""
     c = F.col(schemas.CORRUPT_COLUMN)
     good = parsed.where(c.isNull()).drop(schemas.CORRUPT_COLUMN)
-    bad = parsed.where(c.isNotNull()).select(c)
+    bad = parsed.where(c.isNotNull()).select(*(keep or []), c)
     return good, bad
 
 
+def json_documents(df: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """One row per document: a text that is an array gives its elements, any other text itself, blank text and null
+    nothing (as ``read.json`` sees files). Elements are spelled anew, without spaces between their parts."""
+    text = F.col(value_col).cast("string")
+    elements = F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<variant>"))
+    listed = F.when(elements.isNotNull(), F.transform(elements, lambda e: F.to_json(e))).otherwise(F.array(text))
+    return df.where(F.trim(text) != "").select(*(keep or []), F.explode(listed).alias(value_col))
+
+
+#: A field with which the type of an object without fields is spelled; it is taken out again.
+_NO_FIELDS = "__no_fields"
+
+
+def _reader_type(kind: T.DataType) -> T.DataType | None:
+    """A type as ``read.json`` infers it: fractions are doubles, objects without fields don't appear."""
+    if isinstance(kind, T.DecimalType):
+        return kind if kind.scale == 0 else T.DoubleType()
+    if isinstance(kind, T.ArrayType):
+        element = _reader_type(kind.elementType)
+        return element and T.ArrayType(element)
+    if isinstance(kind, T.StructType):
+        fields = [(f.name, _reader_type(f.dataType)) for f in kind.fields if f.name != _NO_FIELDS]
+        return T.StructType([T.StructField(n, t) for n, t in fields if t]) if any(t for _, t in fields) else None
+    return kind
+
+
+def _from_variant_schema(text: str) -> T.StructType:
+    """The type that ``schema_of_variant`` spells, conflicting and unknown types being strings."""
+    parts = re.split(r"(`(?:[^`]|``)*`)", text)  # names in quotes stay as they are
+    for i in range(0, len(parts), 2):
+        spelled = parts[i].replace("OBJECT<>", f"STRUCT<{_NO_FIELDS}: STRING>").replace("OBJECT<", "STRUCT<")
+        parts[i] = re.sub(r"\b(VARIANT|VOID)\b(?!:)", "STRING", spelled)
+    whole = T.DataType.fromDDL(f"whole {''.join(parts)}")
+    return _reader_type(whole["whole"].dataType) or T.StructType([])
+
+
 def infer_json_schema(df: DataFrame, value_col: str = "value") -> T.StructType:
-    """Infer a struct schema from JSON text with a distributed aggregate.
+    """Schema of JSON text as ``read.json`` infers it, by a distributed aggregate.
 
-    ``schema_of_variant_agg`` merges per-row schemas as a normal aggregate
+    ``schema_of_variant_agg`` widens types over nested objects and arrays and merges them
     (partial per task, one small merge at the end): no text is collected on
-    the driver, only the resulting type string. Rows that are not JSON
-    objects are ignored by ``try_parse_json``.
+    the driver, only the resulting type string. Arrays of documents count by their elements, a field of
+    conflicting types is a string, one that is always null is a string, and text that is no object is left out.
     """
-    row = (
-        df.where(F.col(value_col).isNotNull())
-        .select(F.expr(f"schema_of_variant_agg(try_parse_json(cast(`{value_col}` as string)))").alias("s"))
-        .first()
-    )
-    text = row["s"] if row is not None else None
-    if not text or not text.startswith("OBJECT"):
-        return T.StructType([])
-    ddl = text.replace("OBJECT<", "STRUCT<")
-    parsed = T.DataType.fromDDL(ddl)
-    if isinstance(parsed, T.StructType) and len(parsed.fields) == 1 and parsed.fields[0].name == "struct":
-        parsed = parsed.fields[0].dataType
-    return parsed
+    documents = json_documents(df.where(F.col(value_col).isNotNull()), value_col)
+    parsed = documents.select(F.expr(f"try_parse_json(`{value_col}`)").alias("v")).where("schema_of_variant(v) LIKE 'OBJECT%'")
+    text = parsed.select(F.expr("schema_of_variant_agg(v)")).first()[0]
+    return _from_variant_schema(text) if text and text.startswith("OBJECT") else T.StructType([])
+
+
+def read_json_column(df: DataFrame, value_col: str = "value", schema: T.StructType | None = None, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantined text) of a column of JSON text; without ``schema`` it is inferred first."""
+    found = schema if schema is not None else infer_json_schema(df, value_col)
+    return split_corrupt(parse_json_column(json_documents(df, value_col, keep), found, value_col, keep), keep)
+
+
+def _merged_type(expected: T.DataType, found: T.DataType) -> T.DataType:
+    if isinstance(expected, T.StructType) and isinstance(found, T.StructType):
+        return merge_schemas(expected, found)
+    if isinstance(expected, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(_merged_type(expected.elementType, found.elementType), expected.containsNull)
+    if isinstance(expected, T.MapType) and isinstance(found, T.MapType):
+        return T.MapType(expected.keyType, _merged_type(expected.valueType, found.valueType), expected.valueContainsNull)
+    return expected
 
 
 def merge_schemas(expected: T.StructType, found: T.StructType) -> T.StructType:
-    """Expected fields first (their types win), then fields only ``found``."""
-    names = set(expected.fieldNames())
-    extra = [f for f in found.fields if f.name not in names]
-    return T.StructType(list(expected.fields) + extra)
+    """Expected fields first (their types win), then fields only ``found``; objects are merged at any depth, in arrays and maps too."""
+    own = {f.name: f.dataType for f in found.fields}
+    fields = [T.StructField(f.name, _merged_type(f.dataType, own.get(f.name, f.dataType)), f.nullable, f.metadata) for f in expected.fields]
+    return T.StructType(fields + [f for f in found.fields if f.name not in expected.fieldNames()])
 
 
 def unknown_fields(expected: T.StructType, found: T.StructType, prefix: str = "") -> list[str]:
@@ -161,6 +210,15 @@ def unknown_fields(expected: T.StructType, found: T.StructType, prefix: str = ""
     return out
 
 
+def has_path(kind: T.DataType, path: str) -> bool:
+    """Whether a dotted path of fields exists in a type."""
+    for name in path.split("."):
+        if not isinstance(kind, T.StructType) or name not in kind.fieldNames():
+            return False
+        kind = kind[name].dataType
+    return True
+
+
 def read_json_files(
     spark: SparkSession,
     path: str,
@@ -188,10 +246,7 @@ def json_to_dataframe(spark: SparkSession, text: str, schema: T.StructType | Non
     goes through :func:`parse_json_column` on a distributed column.
     """
     one = spark.createDataFrame([(text,)], "value string")
-    if schema is None:
-        found = infer_json_schema(one)
-        return parse_json_column(one, found).drop(schemas.CORRUPT_COLUMN)
-    return parse_json_column(one, schema).drop(schemas.CORRUPT_COLUMN)
+    return read_json_column(one, schema=schema)[0]
 
 
 # -------------------------------------------------------------------- text

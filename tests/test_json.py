@@ -71,3 +71,55 @@ def test_read_json_files_multiline_drop_malformed(spark, tmp_dir):
         fh.write(DOCS[0] + "\n" + DOCS[5] + "\n")
     schema = files.json_files_schema(spark, f"{tmp_dir}/line-*.txt")
     assert {"info", "results", "extra"} <= set(schema.fieldNames())
+
+
+ODD_DOCUMENTS = [
+    '{"a b": 1, "OBJECT<x": 2, "d": 1.50, "e": 1e3, "big": 123456789012345678901, "n": null, "o": {}, "l": [], "m": [1, "x"], "t": true}',
+    '{"q": [{"z": 1}, {"z": "s", "y": null}], "d": 2, "o": {"k": 1}, "n": [{}]}',
+    '[{"v": 1, "w": [1, 2]}, {"v": {"k": 2}, "w": [1.5]}]',
+    '{"v": [1], "deep": {"x": {"y": [{"z": 1}]}}}',
+    '{"deep": {"x": {"y": [{"z": 2.5, "u": false}]}}, "only": [null], "VOID": {"VARIANT": "VOID"}}',
+    "nope", "[]", "7", '"text"', "", '{"cut": ', '{"t": "yes"}',
+]
+
+
+def test_inference_equals_the_reader_of_files(spark, tmp_dir):
+    docs = spark.createDataFrame([(d,) for d in ODD_DOCUMENTS], "value string")
+    docs.coalesce(1).write.text(f"{tmp_dir}/lines")
+    reader = spark.read.option("mode", "DROPMALFORMED").json(f"{tmp_dir}/lines")
+    found = files.infer_json_schema(docs)
+    by_name = lambda schema: {f.name: f.dataType for f in schema.fields}
+    assert by_name(found) == {n: t for n, t in by_name(reader.schema).items() if n != "_corrupt_record"}
+    good, bad = files.read_json_column(docs)
+    columns = [f"to_json(struct(`{c}`))" for c in sorted(found.fieldNames())]
+    unspaced = lambda df: sorted(tuple(x.replace(" ", "") for x in r) for r in df.selectExpr(*columns).collect())
+    assert unspaced(good) == unspaced(reader)
+    assert {r[0] for r in bad.collect()} == {"nope", "7", '"text"', '{"cut": '}
+
+
+def test_documents_without_fields_are_not_corrupt(spark):
+    docs = spark.createDataFrame([("{}",), ("[{}, {}]",), ("x",), (None,)], "value string")
+    good, bad = files.read_json_column(docs)
+    assert files.infer_json_schema(docs) == T.StructType([]) and good.count() == 3 and [r[0] for r in bad.collect()] == ["x"]
+    assert files.infer_json_schema(docs.where("false")) == T.StructType([])
+
+
+def test_schemas_merge_at_every_depth():
+    of = lambda text: T.StructType.fromDDL(text)
+    old = of("a struct<b: array<struct<c: int>>, m: map<string, struct<x: int>>>, k string")
+    new = of("k struct<z: int>, a struct<b: array<struct<c: string, d: struct<e: int>>>, m: map<string, struct<y: int>>, f: int>, g int")
+    want = of("a struct<b: array<struct<c: int, d: struct<e: int>>>, m: map<string, struct<x: int, y: int>>, f: int>, k string, g int")
+    assert files.merge_schemas(old, new) == want
+    assert files.merge_schemas(want, old) == want
+
+
+def test_schema_store_keeps_versions(spark, tmp_dir):
+    from lumenflow.streaming.schema_sampling import SchemaStore
+
+    of = lambda text: T.StructType.fromDDL(text)
+    store = SchemaStore(f"{tmp_dir}/schema", of("a int"))
+    assert store.current(spark) == of("a int") and store.versions(spark) == {}
+    assert store.extend(spark, of("a string, b struct<c: int>")) == (of("a int, b struct<c: int>"), ["b"])
+    assert store.extend(spark, of("b struct<c: int>"))[1] == [] and len(store.versions(spark)) == 1
+    assert store.extend(spark, of("b struct<d: int>")) == (of("a int, b struct<c: int, d: int>"), ["b.d"])
+    assert store.current(spark) == of("a int, b struct<c: int, d: int>") and sorted(store.versions(spark)) == [1, 2]
