@@ -199,6 +199,11 @@ DOC_GROUP = ["page", "cell", "first", "age", "email", "latitude", "longitude", "
 LOG_GROUP = ["username", "ip", "dt", "day", "month", "time1", "yr", "hr", "mt", "sec", "verb", "page", "statuscd"]
 
 
+def user_counts(users: DataFrame) -> DataFrame:
+    """Identical user rows as one row with their number ``_n_doc``."""
+    return users.groupBy(*DOC_GROUP).agg(F.count(F.lit(1)).alias("_n_doc"))
+
+
 def log_counts(weblog: DataFrame) -> DataFrame:
     """Identical log lines as one row with their number ``_n_log``."""
     return weblog.groupBy(*LOG_GROUP).agg(F.count(F.lit(1)).alias("_n_log"))
@@ -240,10 +245,9 @@ def enrich_counts(
     store keeps the running counts.
     """
     grid = None
-    if pre_aggregate and not users.isStreaming:
-        users = users.groupBy(*DOC_GROUP).agg(F.count(F.lit(1)).alias("_n_doc"))
-    else:
-        users = users.withColumn("_n_doc", F.lit(1).cast("long"))
+    if "_n_doc" not in users.columns:
+        counted = pre_aggregate and not users.isStreaming
+        users = user_counts(users) if counted else users.withColumn("_n_doc", F.lit(1).cast("long"))
     if "_n_log" not in weblog.columns:
         weblog = log_counts(weblog) if pre_aggregate else weblog.withColumn("_n_log", F.lit(1).cast("long"))
     if find_hot and not users.isStreaming:

@@ -3,7 +3,7 @@
 * :func:`enrichment_stream_job` - documents from a stream (Kafka or a file
   folder) enriched per micro-batch and upserted into a keyed sink; the
   profile comes from JDBC and is refreshed on a timer.
-* :func:`enrichment_counts_job` - the continuous counts in complete mode.
+* :func:`enrichment_counts_job` - the continuous counts.
 * :func:`user_projection_job` - the minimal user projection to a keyed sink.
 * :func:`scd_job` - SCD type 1/2 from a JDBC table into a catalog table.
 * :func:`ingest_csv` - headerless CSV into a catalog table.
@@ -36,7 +36,8 @@ class StaticDimensions:
         if log_quarantine:
             bad.write.mode("overwrite").parquet(log_quarantine)
         self.profile = DimensionHolder(lambda: jdbc.read_table(spark, profile, profile_table), refresh_seconds)
-        self.weblog = DimensionHolder(lambda: weblog, float("inf"))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.weblog = DimensionHolder(lambda: weblog, float("inf"), bucket_by=(buckets, ["username"]))
         self.status = files.read_xml(spark, status_xml_path, status_row_tag)
 
     def __call__(self):
@@ -49,19 +50,23 @@ class StaticDimensions:
 
 def enrichment_stream_job(values: DataFrame, dims: StaticDimensions, sink_root: str, checkpoint: str,
                           trigger: dict | None = None, quarantine_path: str | None = None,
-                          on_error: str = "raise", errors: list | None = None) -> StreamingQuery:
+                          on_error: str = "raise", errors: list | None = None,
+                          dead_letter_root: str | None = None, counter_root: str | None = None) -> StreamingQuery:
     """C1 continuously: every micro-batch is parsed, enriched and upserted by
-    ``custid`` (default trigger: every 30 seconds)."""
+    ``custid`` (default trigger: every 30 seconds). ``counter_root``: versions go on over batches;
+    ``dead_letter_root`` (with ``on_error='dead_letter'``): where failed batches wait for a replay."""
     sink = KeyedUpsertSink(sink_root, key="custid", order=["version"])
     return enrich_stream.start_enrich_to_index(
         values, dims, sink, checkpoint, trigger or {"processingTime": "30 seconds"},
         quarantine_path=quarantine_path, on_error=on_error, errors=errors,
+        counters=enrich_stream.version_counters(counter_root) if counter_root else None,
+        dead_letters=runner.DeadLetters(dead_letter_root) if dead_letter_root else None,
     )
 
 
 def enrichment_counts_job(values: DataFrame, dims: StaticDimensions, out_path: str, checkpoint: str,
                           trigger: dict | None = None) -> StreamingQuery:
-    """C2 continuously: complete-mode counts, whole result rewritten per batch."""
+    """C2 continuously: the groups that a trigger changed are merged into the counts (``enrich_stream.read_counts``)."""
     return enrich_stream.start_enrich_counts(values, dims, out_path, checkpoint, trigger)
 
 
@@ -83,7 +88,8 @@ def user_projection_job(values: DataFrame, sink_root: str, checkpoint: str, trig
         users = enrich_stream.users_from_stream(batch, schema=schema, carry=known)
         for name in (carry or {}).keys() - known.keys():
             users = users.withColumn(name, F.lit(None).cast("string"))
-        sink.upsert(E.project_users(users, carry=list(carry or {})), batch_id)
+        name, replay = runner.current_run(batch)
+        sink.upsert(E.project_users(users, carry=list(carry or {})), batch_id, name, replay)
 
     return runner.start_foreach_batch(values, runner.guarded(run), checkpoint,
                                       trigger or {"processingTime": "5 seconds"})

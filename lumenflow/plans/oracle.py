@@ -342,10 +342,7 @@ _REFRESHED = ENRICH_CTES.replace(
 )
 assert _REFRESHED != ENRICH_CTES
 
-STREAMING = {
-    "dimension_refresh": ENRICH_COUNTS.replace(ENRICH_CTES, _REFRESHED),
-    "stream_enrich_counts": ENRICH_COUNTS,
-    "stream_foreach_batch_enrich": f"""
+STREAMED_INDEX = f"""
 WITH {ENRICH_CTES},
 shaped AS (
   SELECT username || day || month || yr || hr || mt || sec AS custid,
@@ -370,10 +367,21 @@ latest AS (
 SELECT custid, version, page, cell, first, age, email, coordinates, uscity, country, state, username,
        profile_age, profession, ip, dt, fulldt, verb, log_page, statuscd, category, "desc", custtype
 FROM latest WHERE pick = 1
-""",
+"""
+
+STREAMING = {
+    "dimension_refresh": ENRICH_COUNTS.replace(ENRICH_CTES, _REFRESHED),
+    "stream_enrich_counts": ENRICH_COUNTS,
+    "stream_counts_complete": ENRICH_COUNTS,
+    "stream_versions": ENRICH_CUSTOMERS.replace(
+        "PARTITION BY username ORDER BY yr", "PARTITION BY username ORDER BY CASE page WHEN 'click' THEN 4 WHEN 'purchase' THEN 5 END, yr"
+    ),
+    "stream_foreach_batch_enrich": STREAMED_INDEX,
+    "stream_dead_letter_replay": STREAMED_INDEX,
 }
 
 
+
 def statements() -> dict[str, str]:
     return {
         "enrich_customers": ENRICH_CUSTOMERS,

@@ -116,6 +116,32 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().toString() for f in fs.listStatus(found) if f.isDirectory())
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, sorted; none if it isn't there."""
+    fs, found = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(found)) if fs.exists(found) else []
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file, in one step; an error if there's one of the name already."""
+    fs, found = _folder(spark, path)
+    out = fs.create(found, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, found = _folder(spark, path)
+    given = fs.open(found)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(given, "UTF-8")
+    finally:
+        given.close()
+
+
 def staged(df, name: str) -> tuple:
     """``df`` written to the shared stage folder: (the copy, its path). Survives lost executors and moving sources."""
     path = scratch_path(df.sparkSession, name)

@@ -1,80 +1,46 @@
 """Keyed document sink with upsert semantics (K2), connector-free.
 
-Stand-in for a document index whose id field is a key column: each
-micro-batch is merged into the current snapshot with *last write wins* per
-key, and the merged snapshot is written as a new version folder. A batch id
-that was already committed is skipped, so replays after a failure are
-idempotent (effectively-once with a checkpointed stream).
+Stand-in for a document index whose id field is a key column: *last write wins* per key, by
+batch and within a batch by ``order``. Documents lie in a :class:`DeltaStore`: a batch costs what the batch
+holds, a batch that was applied is skipped when it comes again, and a stream that starts
+over with a new checkpoint is a run of its own, none of whose batches is taken for an old one.
 
 Rows whose key is null cannot be addressed in an index; they are written to
-a side folder ``_null_keys`` instead of being dropped.
-
-Layout under ``root``: ``v=<batch_id>/`` (parquet snapshot),
-``_null_keys/batch=<batch_id>/`` and ``_commits/`` (one tiny JSON record per
-committed batch, appended only after its snapshot is complete; readers use
-the newest committed snapshot).
-
-Cost: each batch rewrites the snapshot (a map-side partially aggregated
-``max_by`` per key); for very large indexes use a table format with MERGE
-or a real index connector through ``format(...)`` instead.
+a side folder ``_null_keys`` (one folder per run and batch) instead of being dropped.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenflow.session import discard, staged
+from lumenflow.sinks.deltas import DeltaStore
+
 
 class KeyedUpsertSink:
-    def __init__(self, root: str, key: str, order: list[str] | None = None):
+    def __init__(self, root: str, key: str, order: list[str] | None = None, buckets: int = 16):
         self.root = root.rstrip("/")
         self.key = key
         self.order = order or []
-
-    def latest_version(self, spark: SparkSession) -> int | None:
-        try:
-            commits = spark.read.schema("batch_id long").json(f"{self.root}/_commits")
-        except AnalysisException:
-            return None
-        return commits.agg(F.max("batch_id")).first()[0]
+        self.store = DeltaStore(f"{self.root}/index", [key], "last", self.order, buckets)
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        v = self.latest_version(spark)
-        return None if v is None else spark.read.parquet(f"{self.root}/v={v}")
+        return self.store.read(spark)
 
     def null_keys(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.root}/_null_keys")
 
-    def upsert(self, batch: DataFrame, batch_id: int) -> bool:
+    def upsert(self, batch: DataFrame, batch_id: int, run: str = "", replay: bool = False) -> bool:
         """Merge ``batch``; returns False when the batch was already applied."""
         spark = batch.sparkSession
-        last = self.latest_version(spark)
-        if last is not None and batch_id <= last:
+        if self.store.applied(spark, run, batch_id, replay):
             return False
-        # The batch feeds two writes (null keys, snapshot): compute it once.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        # The batch feeds two writes (null keys, index): compute it once, into a copy that outlives executors.
+        batch, path = staged(batch, "upsert")
         try:
-            key = F.col(self.key)
-            batch.where(key.isNull()).write.mode("overwrite").parquet(f"{self.root}/_null_keys/batch={batch_id}")
-            cols = batch.columns
-            rank = F.struct(F.lit(batch_id).cast("long").alias("__b"), *[F.col(c) for c in self.order])
-            incoming = batch.where(key.isNotNull()).withColumn("__rank", rank)
-            if last is not None:
-                current = spark.read.parquet(f"{self.root}/v={last}").select(*cols)
-                current = current.withColumn(
-                    "__rank", F.struct(F.lit(-1).cast("long").alias("__b"), *[F.col(c) for c in self.order])
-                )
-                incoming = current.unionByName(incoming)
-            row = F.struct(*[F.col(c) for c in cols if c != self.key])
-            merged = incoming.groupBy(self.key).agg(F.max_by(row, F.col("__rank")).alias("__row"))
-            merged.select(self.key, "__row.*").select(*cols).write.mode("overwrite").parquet(
-                f"{self.root}/v={batch_id}"
-            )
+            key, side = F.col(self.key), f"{self.root}/_null_keys/run={run or 'none'}/batch={batch_id}"
+            batch.where(key.isNull()).write.mode("overwrite").parquet(side)
+            return self.store.apply(batch.where(key.isNotNull()), run, batch_id, replay)
         finally:
-            batch.unpersist()
-        spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id")).write.mode("append").json(
-            f"{self.root}/_commits"
-        )
-        return True
+            discard(spark, path)

@@ -9,6 +9,7 @@ from lumenflow.plans import jobs
 from lumenflow.sinks.keyed import KeyedUpsertSink
 from lumenflow.sources import jdbc
 from lumenflow.sources.streams import read_text_stream
+from lumenflow.streaming.enrich_stream import read_counts
 
 from fixtures import DOCS, LOG_LINES, PROFILE
 
@@ -66,7 +67,7 @@ def test_user_projection_and_counts_jobs(spark, tmp_dir):
         dims.close()
     users = KeyedUpsertSink(f"{tmp_dir}/users", "custid").read(spark)
     assert {r.username for r in users.collect()} == {"04715", "02000", "03000"}
-    counts = spark.read.parquet(f"{tmp_dir}/counts")
+    counts = read_counts(spark, f"{tmp_dir}/counts")
     # 04715: 2 docs x 2 log lines, 02000: 1 doc x 1 line, 03000: no line (counted once)
     assert counts.agg(F.sum("cnt")).first()[0] == 6
 
