@@ -34,10 +34,19 @@ def _order_cols(order: list[str | Column]) -> list[Column]:
 DEFAULT_HOT_KEY_ROWS = 5_000_000
 
 
+# Rows of one range, when their number is known.
+ROWS_PER_RANGE = 1_000_000
+
+
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(rows of the largest key group, rows of all); zeros for an empty frame."""
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    return int(found[0] or 0), int(found[1] or 0)
+
+
 def hottest_key_rows(df: DataFrame, keys: list[str]) -> int:
     """Row count of the largest key group (0 for an empty frame)."""
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(top or 0)
+    return group_sizes(df, keys)[0]
 
 
 def sequence_within_key(
@@ -50,7 +59,9 @@ def sequence_within_key(
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     if strategy == "auto":
-        strategy = "range" if hottest_key_rows(df, keys) > hot_key_rows else "window"
+        largest, total = group_sizes(df, keys)
+        strategy = "range" if largest > hot_key_rows else "window"
+        num_partitions = num_partitions or max(-(-total // ROWS_PER_RANGE), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if strategy == "window":
         w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
         return df.withColumn(out_col, F.row_number().over(w))

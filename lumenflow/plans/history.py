@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from lumenflow.functions.columns import distinct_rows, key_text
 from lumenflow.operators import scd
+from lumenflow.operators.late import rows_not_held
 from lumenflow.session import discard, folders, staged
 from lumenflow.sources.sqltext import run_sql_file
 
@@ -157,6 +158,14 @@ def _merge_buckets(spark: SparkSession, table: str, now: dict, incoming: DataFra
     _write_buckets(spark, merged, table, now["root"], buckets, {b: p for b, p in lies.items() if b not in set(touched)}, now)
 
 
+def _not_older(current: DataFrame, incoming: DataFrame, keys: list[str], change_key: str, tiebreak: list[str] | None) -> DataFrame:
+    """The newest incoming row of each key, unless the table's row for the key comes after it."""
+    touched = current.select("*", key_text(keys).alias(KEY)).join(incoming.select(key_text(keys).alias(KEY)).distinct(), KEY, "left_semi")
+    both = touched.drop(KEY).withColumn("__new", F.lit(False)).unionByName(incoming.withColumn("__new", F.lit(True)))
+    order = tiebreak if tiebreak is not None else [c for c in incoming.columns if c != change_key]
+    return scd.latest_per_key(both, keys, change_key, [*order, "__new"]).where("__new").drop("__new")
+
+
 def vacuum(spark: SparkSession, table: str) -> list[str]:
     """Remove the bucket folders of a type 1 table that its present version doesn't use; returns them.
 
@@ -206,9 +215,16 @@ def run_scd(
     location_root: str | None = None,
     buckets: int | None = None,
     merge_sql: str | None = None,
+    lookback: str | int | None = None,
+    row_key: list[str] | None = None,
 ) -> HistoryResult:
     """C4: create or advance a history table of ``kind`` 1 or 2 from ``source``.
 
+    The increment begins behind the newest change in the table (strict mark). With ``lookback`` (an interval such as
+    ``"INTERVAL 2 DAYS"``, or a number) it begins that far before it, and rows that the table holds already, told apart by ``row_key``
+    (default: all columns), are left out: late rows and ties at the mark are loaded exactly once. In a type 2 history they get the next
+    versions of their key; in type 1 a row that is older than the table's row for its key changes nothing.
+
     Files go below ``location_root`` (default: the warehouse). ``buckets`` (type 1, fixed by the first
     run) defaults to the session's shuffle partitions, which a deployment sizes for its data.
     """
@@ -230,8 +246,13 @@ def run_scd(
     # filter is pushed into the source: JDBC query text or parquet row-group
     # statistics (a scalar-subquery filter would be applied after a full read).
     mark = scd.high_water_mark(current, change_key)
-    incoming, path = staged(scd.incremental_rows(source, change_key, mark), "increment")
+    incoming, path = staged(scd.incremental_rows(source, change_key, mark, lookback=lookback), "increment")
+    paths = [path]
     try:
+        if lookback is not None:
+            held = scd.incremental_rows(current, change_key, mark, lookback=lookback)
+            incoming, path = staged(rows_not_held(incoming, held, row_key), "increment")
+            paths.append(path)
         n = incoming.count()
         if n == 0:
             return HistoryResult(table, False, 0)
@@ -239,10 +260,16 @@ def run_scd(
             merged = run_sql_file(spark, merge_sql, {"history": current, "increment": incoming})
             _replace(spark, kind, table, merged.select(*current.columns), now["root"], keys, now.get("buckets"), now)
         elif kind == 1:
+            if lookback is not None:
+                incoming, path = staged(_not_older(current, incoming, keys, change_key, tiebreak), "increment")
+                paths.append(path)
+            if incoming.isEmpty():
+                return HistoryResult(table, False, n)
             _merge_buckets(spark, table, now, incoming, keys, change_key, tiebreak)
         else:
             rows = scd.scd2_new_versions(current, incoming, keys, change_key, tiebreak, strategy)
             _write_load(spark, rows, table, now["root"], now["storage"])
         return HistoryResult(table, True, n)
     finally:
-        discard(spark, path)
+        for path in paths:
+            discard(spark, path)

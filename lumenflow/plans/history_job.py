@@ -29,6 +29,8 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--location-root", help="folder for the files (default: the warehouse)")
     p.add_argument("--buckets", type=int, help="buckets of a new type 1 table")
     p.add_argument("--merge-sql", help="file whose statement gives the new table from the views history and increment")
+    p.add_argument("--lookback", help="begin this far before the newest change, e.g. 'INTERVAL 2 DAYS' or a number")
+    p.add_argument("--row-key", default="", help="columns that tell source rows apart with --lookback (default: all)")
     return p.parse_args(argv)
 
 
@@ -39,9 +41,11 @@ def run(spark: SparkSession, given: argparse.Namespace):
             options |= json.load(fh)
     source = spark.table(options["name"]) if given.format == "table" else spark.read.format(given.format).options(**options).load()
     split = lambda text: [c for c in text.split(",") if c]
+    lookback = int(given.lookback) if given.lookback and given.lookback.lstrip("-").isdigit() else given.lookback
     return run_scd(
         spark, given.kind, given.table, source, split(given.keys), given.change_key, split(given.tiebreak) or None,
         location_root=given.location_root, buckets=given.buckets, merge_sql=given.merge_sql,
+        lookback=lookback, row_key=split(given.row_key) or None,
     )
 
 

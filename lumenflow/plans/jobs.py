@@ -97,11 +97,15 @@ def user_projection_job(values: DataFrame, sink_root: str, checkpoint: str, trig
 
 def scd_job(spark: SparkSession, kind: int, table: str, source: jdbc.JdbcSource, source_table: str,
             keys: list[str], change_key: str, tiebreak: list[str] | None = None,
-            location_root: str | None = None, partitioning: jdbc.Partitioning | None = None) -> HistoryResult:
+            location_root: str | None = None, partitioning: jdbc.Partitioning | None = None,
+            split_by: str | None = None, **how) -> HistoryResult:
     """C4 over JDBC: the increment filter (``change_key > mark``) is pushed
-    into the database query; ``partitioning`` splits the read."""
+    into the database query; ``partitioning`` splits the read, or ``split_by`` names a whole-number column to
+    split by, in as many parts as the table's rows need. ``how`` goes to :func:`run_scd`."""
+    if partitioning is None and split_by is not None:
+        partitioning = jdbc.partitioning_of(spark, source, source_table, split_by)
     src = jdbc.read_table(spark, source, source_table, partitioning)
-    return run_scd(spark, kind, table, src, keys, change_key, tiebreak, location_root=location_root)
+    return run_scd(spark, kind, table, src, keys, change_key, tiebreak, location_root=location_root, **how)
 
 
 def ingest_csv(spark: SparkSession, path: str, table: str, location: str | None = None) -> DataFrame:

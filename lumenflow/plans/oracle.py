@@ -154,6 +154,16 @@ HISTORY = {
     "scd1_increment": LATEST_PER_CUSTOMER,
     "scd2_initial": VERSIONED_ORDERS,
     "scd2_increment": VERSIONED_ORDERS,
+    "scd2_late_rows": """
+WITH dealt AS (
+  SELECT *, CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 2
+                 WHEN o_orderkey % 10 = 3 AND o_orderdate >= TIMESTAMP '2000-01-01' - INTERVAL 30 DAYS THEN 1 ELSE 0 END AS load
+  FROM orders
+)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY load, o_orderdate, o_orderkey) AS INTEGER) AS version
+FROM dealt
+""",
     "scd2_increment_maps": VERSIONED_ORDERS,
     "scd2_increment_skew_safe": VERSIONED_ORDERS,
     "scd2_merge_sql_job": VERSIONED_ORDERS,

@@ -83,7 +83,8 @@ def test_scd_job_over_jdbc(spark, tmp_dir):
     more = spark.createDataFrame([(dt.datetime(2020, 1, 5), 1, "s5")], schema)
     jdbc.write_table(more, src, "ORDER_SCD2", mode="append")
     r2 = jobs.scd_job(spark, 2, "scd_order_scd2", src, "ORDER_SCD2", ["orderNumber"], "order_ts",
-                      location_root=f"{tmp_dir}/hist")
+                      location_root=f"{tmp_dir}/hist", split_by="orderNumber")
+    assert jdbc.partitioning_of(spark, src, "ORDER_SCD2", "orderNumber", rows_per_partition=2).num_partitions == 2
     assert r1.written and r2.incoming_rows == 1
     got = {(r.orderNumber, r.status): r.version for r in spark.table("scd_order_scd2").collect()}
     assert got == {(1, "s1"): 1, (1, "s2"): 2, (2, "s1"): 1, (1, "s5"): 3}
