@@ -75,7 +75,7 @@ def derby(spark):
 def test_jdbc_table_query_partitioned(spark, derby):
     assert jdbc.read_table(spark, derby, "CUSTPROF").count() == 3
     q = jdbc.read_query(spark, derby, 'SELECT "id", "age" FROM CUSTPROF WHERE "age" > 30')
-    assert sorted(r.id for r in q.collect()) == ["04715", "02000"]
+    assert sorted(r.id for r in q.collect()) == ["02000", "04715"]
     part = jdbc.read_table(spark, derby, "CUSTPROF", jdbc.Partitioning("age", 20, 50, 3))
     assert part.rdd.getNumPartitions() == 3 and part.count() == 3
     pq = jdbc.read_query(spark, derby, 'SELECT * FROM CUSTPROF WHERE "profession" <> \'nurse\'',
