@@ -8,9 +8,13 @@ two clusters: the midpoint between the means of two groups, found by iterating
 from the overall mean. A region of content is the innermost article (or main)
 that holds lines of the upper cluster. All of a region's lines are content, short ones too, but for those
 under menus, headers, footers, sidebars, notices, adverts, forms, scripts and
-the like, which are known by element, role, class or id, and never count.
+the like. Scripts, menus and so on are known by their element. A form, or an element whose role, class or id
+names such a part, is only suspected until the page is read: it is no boilerplate if all articles
+of the page lie in it (or all main elements, or, on a page without either, most of the text and few links), so a
+wrapper of the page loses nothing by its name. Only a token that says it is such a part counts as a name, not one that denies or mentions it.
 
-Where a page has article elements with content, the regions are these; else the
+Where a page has article elements with content, the regions are these, the first one with text among them,
+as the story comes before what readers say about it; else the
 main elements; else the smallest sectioning element (or the body) that holds all
 lines of the upper cluster. There the clusters are those of the logarithms of the
 lines' own ratios: one very long paragraph doesn't put the others into the lower one,
@@ -18,14 +22,17 @@ and a menu next to it isn't smoothed into the upper one.
 
 Defined results: a null or empty page, or one without text, has the empty
 text; broken markup (unclosed elements, a page cut anywhere) is read as far as it
-goes; repeated rows are extracted each; an empty table gives an empty table;
+goes, in time linear in the page; very long pages are read whole, by the same parser; repeated rows are extracted each; an empty table gives an empty table;
 other columns pass through, those named like the output are replaced.
 """
 
 from __future__ import annotations
 
+import heapq
+import html
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -40,7 +47,7 @@ SIGMA = 1.0
 # Elements of HTML by their kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
-    "head script style noscript template iframe object svg math nav footer aside form button select option "
+    "head script style noscript template iframe object svg math nav footer aside button select option "
     "textarea menu dialog canvas audio video map".split()
 )
 BLOCK = frozenset(
@@ -65,33 +72,74 @@ NAMES = frozenset(
 )
 #: Names that mark boilerplate only outside an article, where they may frame its title.
 OUTER_NAMES = frozenset({"header"})
+COMMENT_NAMES = frozenset("comment comments disqus respond replies".split())
+#: Words of a class or id that deny or only mention the part named beside them.
+DENIALS = frozenset("no not non without has have with is hide hides show shows".split())
+#: Words that may follow the name of a part and leave it that part.
+LAYOUT = frozenset(
+    "area areas article articles bar bars block blocks body bottom box boxes btn button buttons card cards center col column "
+    "columns container content count desktop entry feed field first footer form global grid group head header heading holder home icon "
+    "icons image img inline inner item items label large last layer left link links list local main message mobile module "
+    "outer page panel placeholder policy post posts primary promo region right root row secondary section sections site slot small "
+    "social stories strip tag tags text thread title toggle tools top unit units view wide wrap wrapper zone".split()
+)
+#: Unfinished tags of a page that are tried again as text, and elements without a block among them that an implied end looks through.
+RETRIES = 20
+IMPLIED_REACH = 200
+_TAG = re.compile(r"<[^<>]*>")
+_TAG_START = re.compile(r"<[a-zA-Z/!?]")
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+@dataclass
+class Suspect:
+    """An element that its name, its role or its being a form takes for boilerplate, until the page is read."""
+
+    outer: int  # the suspect around it, -1 for none
+    comments: bool
+    chars: int = 0
+    linked: int = 0
+    articles: int = 0
+    mains: int = 0
+
+
 class LineReader(HTMLParser):
-    """Collects (text, tags, region) per line while a page streams through."""
+    """Collects (text, tags, region, suspect) per line while a page streams through."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # element, whether it is dropped, its region
+        self.open: list[tuple[str, bool, int, int]] = []  # element, whether it is dropped, its region, its suspect
+        self.depths: dict[str, list[int]] = {}  # where elements of a name are open
         self.regions: list[tuple[str, int]] = [("body", -1)]  # element and the region around it
-        self.lines: list[tuple[str, int, int]] = []
+        self.nearest: list[tuple[int, int]] = [(-1, -1)]  # innermost article and main that is or holds a region
+        self.suspects: list[Suspect] = []
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.articles: list[tuple[int, int]] = []  # region and suspect of each article
+        self.mains = 0
         self.head = -1  # place of the open head
         self.parts: list[str] = []
+        self.linked = 0  # characters of the line that lie in links
         self.tags = 0
 
-    def _state(self) -> tuple[bool, int]:
-        return self.open[-1][1:] if self.open else (False, 0)
+    def _state(self) -> tuple[bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, 0, -1)
 
     def _flush(self) -> None:
         if self.parts:
             if text := " ".join("".join(self.parts).split()):
-                self.lines.append((text, self.tags, self._state()[1]))
+                _, region, suspect = self._state()
+                self.lines.append((text, self.tags, region, suspect))
+                if suspect >= 0:
+                    self.suspects[suspect].chars += len(text)
+                    self.suspects[suspect].linked += min(self.linked, len(text))
                 self.tags = 0
             self.parts = []
+        self.linked = 0
 
     def _close(self, depth: int) -> None:
+        for tag, *_ in self.open[depth:]:
+            self.depths[tag].pop()
         del self.open[depth:]
         if self.head >= depth:
             self.head = -1
@@ -103,7 +151,7 @@ class LineReader(HTMLParser):
             if self.open[depth][0] in ends:
                 self._close(depth)
                 return
-            if self.open[depth][0] in BLOCK:
+            if self.open[depth][0] in BLOCK or len(self.open) - depth > IMPLIED_REACH:
                 return
 
     def _end_head(self, tag: str) -> None:
@@ -121,15 +169,35 @@ class LineReader(HTMLParser):
             self.parts.append("\n")
         if tag in VOID:
             return
-        dropped, region = self._state()
+        dropped, region, suspect = self._state()
         if not dropped:
-            dropped = self._boilerplate(tag, attrs, region)
-            if not dropped and tag in SECTION and tag != "body":
-                self.regions.append((tag, region))
-                region = len(self.regions) - 1
+            inner = max(self.nearest[region]) >= 0
+            dropped = tag in DROPPED or tag == "header" and not inner or self._hidden(attrs)
+            if not dropped:
+                if kind := self._suspicious(tag, attrs, inner):
+                    self.suspects.append(Suspect(suspect, kind == "comments"))
+                    suspect = len(self.suspects) - 1
+                if tag in SECTION and tag != "body":
+                    region = self._region(tag, region, suspect)
         if tag == "head" and self.head < 0:
             self.head = len(self.open)
-        self.open.append((tag, dropped, region))
+        self.depths.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, dropped, region, suspect))
+
+    def _region(self, tag: str, around: int, suspect: int) -> int:
+        self.regions.append((tag, around))
+        region = len(self.regions) - 1
+        article, main = self.nearest[around]
+        self.nearest.append((region if tag == "article" else article, region if tag == "main" else main))
+        if tag == "article":
+            self.articles.append((region, suspect))
+            if suspect >= 0:
+                self.suspects[suspect].articles += 1
+        elif tag == "main":
+            self.mains += 1
+            if suspect >= 0:
+                self.suspects[suspect].mains += 1
+        return region
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -138,58 +206,127 @@ class LineReader(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                if tag in BLOCK or tag in DROPPED:
-                    self._flush()
-                self._close(depth)
-                return
-            if self.open[depth][0] in ("article", "main", "body") and tag not in BLOCK:
-                return
+        if not (places := self.depths.get(tag)):
+            return
+        depth = places[-1]
+        if tag not in BLOCK and any((b := self.depths.get(barrier)) and b[-1] > depth for barrier in ("article", "main", "body")):
+            return
+        if tag in BLOCK or tag in DROPPED:
+            self._flush()
+        self._close(depth)
 
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] == "head" and not data.isspace():
             self._close(len(self.open) - 1)
         if not self._state()[0]:
             self.parts.append(data)
+            if self.depths.get("a"):
+                self.linked += len(data)
+
+    def read(self, page: str) -> None:
+        """The whole page, in time linear in its length: a tag that never ends is tried at ``RETRIES`` places at most."""
+        end = page.rfind(">") + 1
+        self.feed(page[:end])
+        tail = page[end:]
+        for _ in range(RETRIES):
+            if not self.rawdata.startswith("<"):
+                break
+            # something unfinished: its first character is text, the rest is read anew
+            rest, self.rawdata = self.rawdata, ""
+            self.handle_data("<")
+            self.feed(rest[1:])
+        rest, self.rawdata = self.rawdata, ""
+        if rest.startswith("<"):
+            self.handle_data(html.unescape(_TAG.sub(" ", rest)))
+            rest = ""
+        if cut := _TAG_START.search(tail):  # the page ends inside a tag
+            tail = tail[: cut.start()]
+        self.feed(rest + tail)
+        self.close()
 
     def close(self) -> None:
         super().close()
         self._flush()
 
-    def within(self, region: int, names: tuple[str, ...]) -> int:
-        """The innermost region of one of ``names`` that is or holds ``region``, else -1."""
-        while region >= 0 and self.regions[region][0] not in names:
-            region = self.regions[region][1]
-        return region
+    def within(self, region: int, name: str) -> int:
+        """The innermost article or main that is or holds ``region``, else -1."""
+        return self.nearest[region][name == "main"]
 
     def common(self, regions: Iterable[int]) -> int:
         """The innermost region that is or holds all of ``regions``."""
         left = set(regions)
+        order = [-r for r in left]
+        heapq.heapify(order)
         while len(left) > 1:  # a region's number is above that of the one around it
-            last = max(left)
+            last = -heapq.heappop(order)
             left.remove(last)
-            left.add(self.regions[last][1])
+            around = self.regions[last][1]
+            if around not in left:
+                left.add(around)
+                heapq.heappush(order, -around)
         return left.pop()
 
-    def _boilerplate(self, tag: str, attrs: list[tuple[str, str | None]], region: int) -> bool:
-        inner = self.within(region, ("article", "main")) >= 0
-        if tag in DROPPED or tag == "header" and not inner:
-            return True
-        if not attrs or tag in ("html", "body", "article", "main"):
-            return False
+    def boilerplate(self) -> list[bool]:
+        """Which suspects are boilerplate: all but those that hold the content, whatever their name.
+
+        A suspect holds the content if all articles (or, without articles, all main elements) of the page lie
+        in it, or on a page without either more than half of the text, mostly outside links. Comments never do by their share of the text.
+        """
+        for s in reversed(self.suspects):  # a suspect's number is above that of the one around it
+            if s.outer >= 0:
+                outer = self.suspects[s.outer]
+                for name in ("chars", "linked", "articles", "mains"):
+                    setattr(outer, name, getattr(outer, name) + getattr(s, name))
+        total = sum(len(text) for text, *_ in self.lines)
+        out: list[bool] = []
+        for s in self.suspects:
+            if self.articles:
+                spared = s.articles == len(self.articles)
+            elif self.mains:
+                spared = s.mains == self.mains
+            else:
+                spared = not s.comments and 2 * s.chars > total and 3 * s.linked < s.chars
+            out.append((s.outer >= 0 and out[s.outer]) or not spared)
+        return out
+
+    @staticmethod
+    def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
+        return any(
+            name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and _HIDDEN.search(value) for name, value in attrs
+        )
+
+    @staticmethod
+    def _suspicious(tag: str, attrs: list[tuple[str, str | None]], inner: bool) -> str | None:
+        """``comments`` or ``other`` for an element that looks like boilerplate."""
+        found = "other" if tag == "form" else None
+        if not attrs or tag in ("html", "body", "main"):
+            return found
         for name, value in attrs:
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
             if not value:
                 continue
-            if name == "role" and value.strip().lower() in ROLES or name == "style" and _HIDDEN.search(value):
-                return True
+            if name == "role" and value.strip().lower() in ROLES:
+                found = found or "other"
             if name in ("class", "id"):
-                words = {w.lower() for w in _WORD.findall(value)}
-                if words & NAMES or not inner and words & OUTER_NAMES:
-                    return True
-        return False
+                for token in value.split():
+                    if named := _named(token, inner):
+                        if named & COMMENT_NAMES:
+                            return "comments"
+                        found = found or "other"
+        return found if tag != "article" or found == "comments" else None
+
+
+def _named(token: str, inner: bool) -> set[str]:
+    """The names of boilerplate that a class or id is made of; none if it says something else.
+
+    What comes after the last name must be words of layout: ``ad-slot`` and ``left-sidebar`` are named, ``share-price``,
+    ``header-fixed`` and ``cookie-recipe`` are not; neither is a token that denies or only mentions a part (``no-sidebar``, ``has-menu``).
+    """
+    words = [w.lower() for w in _WORD.findall(token)]
+    if not words or DENIALS & set(words):
+        return set()
+    names = NAMES if inner else NAMES | OUTER_NAMES
+    last = max((i for i, w in enumerate(words) if w in names), default=-1)
+    return {w for w in words if w in names} if last >= 0 and all(w in LAYOUT or len(w) == 1 for w in words[last + 1 :]) else set()
 
 
 def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -215,11 +352,11 @@ def two_cluster_threshold(values: np.ndarray) -> float:
     return at
 
 
-def main_text(html: str, sigma: float = SIGMA) -> str:
+def main_text(page: str, sigma: float = SIGMA) -> str:
     reader = LineReader()
-    reader.feed(html)
-    reader.close()
-    lines = reader.lines
+    reader.read(page)
+    gone = reader.boilerplate()
+    lines = [(text, tags, region) for text, tags, region, suspect in reader.lines if suspect < 0 or not gone[suspect]]
     if not lines:
         return ""
     ratios = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
@@ -228,26 +365,25 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
     holding: dict[str, set[int]] = {}
     for (_, _, region), is_upper in zip(lines, upper):
         if is_upper:
-            for kind, names in (("article", ("article",)), ("main", ("main",))):
-                if (at := reader.within(region, names)) >= 0:
-                    holding.setdefault(kind, set()).add(at)
+            for name in ("article", "main"):
+                if (at := reader.within(region, name)) >= 0:
+                    holding.setdefault(name, set()).add(at)
     if "article" in holding:
         chosen = holding["article"]
+        # the story comes before what readers say about it, however short it is
+        told = {reader.within(region, "article") for _, _, region in lines}
+        first = next((region for region, _ in reader.articles if region in told), None)
+        chosen |= {first} if first is not None else set()
     elif "main" in holding:
         chosen = holding["main"]
     else:
         logs = np.log(ratios)
         upper = logs >= min(two_cluster_threshold(logs), float(logs.max()))
         chosen = {reader.common([region for (_, _, region), is_upper in zip(lines, upper) if is_upper])}
-
-    def kept(region: int) -> bool:
-        while region >= 0:
-            if region in chosen:
-                return True
-            region = reader.regions[region][1]
-        return False
-
-    return " ".join(text for text, _, region in lines if kept(region))
+    kept: list[bool] = []
+    for region, (_, around) in enumerate(reader.regions):
+        kept.append(region in chosen or around >= 0 and kept[around])
+    return " ".join(text for text, _, region in lines if kept[region])
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text", sigma: float = SIGMA) -> DataFrame:

@@ -9,6 +9,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -19,7 +20,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lumenflow.llm import bpe, ctxmix, decontaminate, fmindex, htmltext, minmax, secretscan, surrogates, warc, weaksupervision
+from lumenflow.llm import bpe, ctxmix, decontaminate, fmindex, htmltext, minmax, queries, secretscan, surrogates, warc, weaksupervision
 from lumenflow.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -276,6 +277,59 @@ def test_main_text_without_article_or_main(sizes):
     assert htmltext.main_text(f"<body>{sections}") == " ".join(f"Part {text}" for text in texts)
 
 
+STORY = "<article><h1>Title</h1><p>One long enough paragraph of the story</p><p>and two</p></article>"
+TOLD = "Title One long enough paragraph of the story and two"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [f'<div class="{c}">{{}}</div>' for c in ("container no-sidebar", "site has-sidebar", "wrapper header-fixed", "page menu-closed", "sidebar", "main-content ad", "comments")]
+    + ['<form method="post" id="aspnetForm">{}</form>', '<div role="dialog">{}</div>'],
+)
+def test_main_text_in_wrappers_named_like_boilerplate(around):
+    side = '<div class="sidebar">A side</div><div class="google-ads">Buy this</div><div id="left-nav"><a>Home</a></div>'
+    assert htmltext.main_text(f"<body>{side}{around.format(STORY + side)}{side}") == TOLD
+    plain = "<div><p>A paragraph that is long enough to be read</p><p>And another one of the same page, longer still</p></div>"
+    if "comments" not in around:
+        assert htmltext.main_text(f"<body>{around.format(plain)}") == "A paragraph that is long enough to be read And another one of the same page, longer still"
+
+
+@pytest.mark.parametrize("mark", ['class="no-comment"', 'class="share-price"', 'id="cookie-recipe"', 'class="with-ads"', 'id="notice-period"'])
+def test_main_text_keeps_what_only_mentions_a_name(mark):
+    assert htmltext.main_text(f"<article><p>Some text first, of a length</p><p {mark}>A marked paragraph</p></article>") == "Some text first, of a length A marked paragraph"
+
+
+@pytest.mark.parametrize("mark", ['class="ad"', 'class="ad-slot"', 'class="google-ads"', 'id="cookie-notice"', 'class="newsletter-signup"', 'class="relatedPosts"', 'class="comments-list"', 'class="x site-footer y"'])
+def test_main_text_drops_named_parts(mark):
+    assert htmltext.main_text(f"<article><p>Some text first, of a length</p><div {mark}>Not of the story</div></article>") == "Some text first, of a length"
+
+
+@pytest.mark.parametrize("comment", ['<article class="comment">{}</article>', '<section id="comments"><article>{}</article></section>', '<div class="comments-list"><article><p>{}</article></div>'])
+def test_main_text_is_the_story_not_a_longer_comment(comment):
+    long = "I have a lot to say about this and I say it at length. " * 30
+    page = f"<body>{STORY}{comment.format(long)}"
+    assert htmltext.main_text(page) == TOLD
+    assert htmltext.main_text(f"<body><article><h1>Short</h1><p>News.</p>{comment.format(long)}</article>") == "Short News."
+
+
+@pytest.mark.parametrize("broken", ["<a " * 60_000, "<div>" * 100_000 + "x", "<b><article>" + "<div>" * 20_000 + "</b>" * 20_000, '<a b="' * 30_000 + ">", "<div>" * 40_000 + "</x>" * 40_000, "<!--" * 50_000, '<a href="x' * 30_000, "<" * 100_000])
+def test_main_text_of_broken_markup_takes_linear_time(broken):
+    begun = time.process_time()
+    assert htmltext.main_text(f"<body>{STORY}{broken}").startswith(TOLD)
+    assert time.process_time() - begun < 20
+
+
+def test_main_text_columns(spark):
+    rows = [(1, "u", STORY), (1, "u", STORY), (2, None, None), (3, "u", ""), (None, "u", "<p>only this"), (4, "u", "<article><p>" + "long " * 400_000)]
+    path = scratch_path(spark, "t-pages")
+    spark.createDataFrame([(*r, 0, "x") for r in rows], "page_id long, url string, html string, n_chars int, text string").write.parquet(f"{path}/pages.parquet")
+    got = collections.Counter(tuple(r) for r in queries.op9_html_main_text(spark, path).collect())
+    text = {STORY: TOLD, None: "", "": "", "<p>only this": "only this"}
+    assert got == collections.Counter((i, u, t := text.get(h, ("long " * 400_000).strip()), len(t)) for i, u, h in rows)
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{path}/none/pages.parquet")
+    assert queries.op9_html_main_text(spark, f"{path}/none").collect() == []
+
+
 def test_leaks(spark):
     rng = random.Random(2)
     prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randrange(2, 9))) for _ in range(n))
