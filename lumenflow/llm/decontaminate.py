@@ -2,31 +2,35 @@
 
 Texts and benchmark items are normalised: lower-cased, ASCII punctuation
 dropped, white space runs as one space. An item longer than ``SEGMENT`` bytes counts
-as found when one of its overlapping segments is, so that a long part of it is
-enough. A segment of m bytes is found in a text where some stretch of the text is
-within k = ``EDITS`` * m edits of it.
+as found when one of its stretches of that length is, beginning at any multiple of ``STRIDE``; so a
+part of ``SEGMENT + STRIDE - 1`` bytes (79, about 13 words) is enough wherever it lies in the item. A stretch of m bytes is found in a text where
+some part of the text is within k = ``EDITS`` * m edits of it.
 
-By the q-gram lemma such a stretch shares at least m + 1 - q - k * q q-grams with the
-segment, and their diagonals (place in the text less place in the item) lie within
-k of each other. So shared q-grams are counted per text, item and diagonal band;
-bands are twice as wide as their distance, which puts any k + 1 neighbouring diagonals
-into one. Bands that reach the bound are verified by an alignment confined to the
-band, row by row for all candidates at once.
+By the q-gram lemma at least m + 1 - q - k * q of a stretch's q-grams occur there, and
+their diagonals (place in the text less place in the item) lie within
+k of each other. So per text, item and diagonal band the places of the item whose q-gram occurs in the band are
+gathered; bands are twice as wide as their distance, which puts any k + 1 neighbouring diagonals
+into one. The stretches of a band that have enough such places are the regions that are retained, and they are verified by
+an alignment confined to the band, row by row for all candidates at once: first the stretch with most places, the others only if that fails.
 
 The q-grams of the benchmark are looked up in the tasks: a table of a block of items,
-``BLOCK_BYTES`` at most, is broadcast, and a larger benchmark is searched block
-after block over the same rows. The texts aren't shuffled.
+``BLOCK_BYTES`` at most, is broadcast, built once per worker, and a larger benchmark is searched block
+after block over the same rows, one block's table in memory at a time. The texts aren't shuffled.
 
 Defined results: a null or empty text holds nothing; an item that is null or, once
 normalised, shorter than a q-gram is never found; of very short items fewer edits
 are allowed, so that the bound stays at one q-gram or more; equal items are each
-reported; repeated rows are searched each; an empty benchmark finds nothing and an
+reported; the match given of an item is one within the budget, not always the one with fewest edits; very long texts are read whole, in
+parts of their q-grams, so that equal q-grams without end (a text and an item of one repeated word) stay within memory; repeated rows are searched each; an empty benchmark finds nothing and an
 empty table gives an empty table; other columns pass through, those named like the
 output are replaced.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,9 +41,11 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from lumenflow.llm import textops as t
 
 Q = 8
-SEGMENT, STRIDE = 128, 64
+SEGMENT, STRIDE = 72, 8
 EDITS = 0.1
 BAND = 16
+#: Equal q-grams that are looked at in one go.
+HITS = 1 << 20
 BLOCK_BYTES = 4 << 20
 #: Candidate bands that are aligned at once.
 ALIGN = 2_000
@@ -102,7 +108,9 @@ class Items:
         self.least = np.zeros(len(self.texts), np.int64)  # shared q-grams that any segment needs
         for i, text in enumerate(self.texts):
             m = len(text)
-            starts = [0] if m <= SEGMENT else [*range(0, m - SEGMENT, STRIDE), m - SEGMENT]
+            starts = [0] if m <= SEGMENT else [*range(0, m - SEGMENT + 1, STRIDE)]
+            if m > SEGMENT and starts[-1] != m - SEGMENT:
+                starts.append(m - SEGMENT)
             size = min(m, SEGMENT)
             self.segments.append([(s, size) for s in starts] if m >= Q else [])
             self.least[i] = max(1, size + 1 - Q - edit_budget(size) * Q)
@@ -111,42 +119,62 @@ class Items:
     def _slot(gram: np.ndarray) -> np.ndarray:
         return ((gram * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
-    def hits(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in the grams, item, place in the item) of all equal q-grams."""
+    def hits(self, gram: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Parts of (place in the grams, item, place in the item) of all equal q-grams."""
         at = np.flatnonzero(self.maybe[self._slot(gram)])
         i = np.searchsorted(self.known, gram[at])
         i[i == len(self.known)] = 0
         equal = self.known[i] == gram[at] if len(self.known) else np.zeros(len(at), bool)
         at, i = at[equal], i[equal]
         count = self.begin[i + 1] - self.begin[i]
-        which = np.repeat(self.begin[i] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-        return np.repeat(at, count), self.item[which], self.place[which]
-
-
-def candidate_bands(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, item, band) of the bands that share enough q-grams."""
-    none = np.zeros(0, np.int64)
-    at, item, place = items.hits(grams(data))
-    row = np.searchsorted(offsets, at, side="right") - 1
-    inside = at + Q <= offsets[row + 1]
-    at, item, place, row = at[inside], item[inside], place[inside], row[inside]
-    if not len(at):
-        return none, none, none
-    pair = row * len(items.ids) + item
-    _, which, count = np.unique(pair, return_inverse=True, return_counts=True)
-    enough = count[which] >= items.least[item]
-    at, item, place, row, pair = at[enough], item[enough], place[enough], row[enough], pair[enough]
-    if not len(at):
-        return none, none, none
-    band = (at - offsets[row] - place) // BAND
+        part = np.cumsum(count) // HITS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(at)]
+        for a, b in zip(cuts, cuts[1:]):
+            n = count[a:b]
+            which = np.repeat(self.begin[i[a:b]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            yield np.repeat(at[a:b], n), self.item[which], self.place[which]
+
+
+def candidate_bands(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item, band) of the bands in which enough places of the item occur, and those places: (band's number, place), sorted."""
+    none = tuple(np.zeros(0, np.int64) for _ in range(5))
+    wide = int(items.place.max(initial=0)) + 1
+    found, held = [], 0
+    for at, item, place in items.hits(grams(data)):
+        row = np.searchsorted(offsets, at, side="right") - 1
+        inside = at + Q <= offsets[row + 1]
+        at, item, place, row = at[inside], item[inside], place[inside], row[inside]
+        part = np.stack([row * len(items.ids) + item, (at - offsets[row] - place) // BAND, place])
+        if held + len(at) > HITS:  # so many equal q-grams that a band has most places many times
+            order = np.lexsort(part)
+            part = part[:, order]
+            part = part[:, np.append(True, np.any(np.diff(part, axis=1) != 0, axis=0))]
+        held += part.shape[1]
+        found.append(part)
+    if not held:
+        return none
+    pair, band, place = np.concatenate(found, axis=1)
+    pairs, which, count = np.unique(pair, return_inverse=True, return_counts=True)
+    enough = (count >= items.least[pairs % len(items.ids)])[which]
+    which, band, place = which[enough], band[enough], place[enough]
+    if not len(which):
+        return none
     shift = int(-band.min()) + 1
     width = int(band.max()) + shift + 2
-    keys = np.concatenate([pair * width + band + shift, pair * width + band + shift - 1])  # a band and the one that overlaps it
-    keys, count = np.unique(keys, return_counts=True)
-    item = keys // width % len(items.ids)
-    enough = count >= items.least[item]
-    keys, item = keys[enough], item[enough]
-    return keys // width // len(items.ids), item, keys % width - shift
+    own = which * width + band + shift  # a hit counts in its band and in the one that overlaps it
+    keys, count = np.unique(np.concatenate([own, own - 1]), return_counts=True)
+    keys = keys[count >= items.least[pairs[keys // width] % len(items.ids)]]
+    if not len(keys):
+        return none
+    places = []
+    for key in (own, own - 1):
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        met = keys[at] == key
+        places.append(at[met] * wide + place[met])
+    places = np.unique(np.concatenate(places))  # a place counts once per band
+    number, place = places // wide, places % wide
+    pair = pairs[keys // width]
+    return pair // len(items.ids), pair % len(items.ids), keys % width - shift, number, place
 
 
 def align(patterns: list[np.ndarray], regions: list[np.ndarray]) -> np.ndarray:
@@ -174,35 +202,64 @@ def align(patterns: list[np.ndarray], regions: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def find(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-    """(row, item, edits, begin, end) of found segments; begin and end are places in ``data``."""
+def regions(items: Items, bands: tuple[np.ndarray, ...]) -> list[tuple[int, int, int, int, int, int]]:
+    """(row, item, band, begin, size, places) of the stretches that have enough places in a band."""
+    row, item, band, number, place = bands
+    out: list[tuple[int, int, int, int, int, int]] = []
+    if not len(row):
+        return out
+    wide = int(place.max()) + SEGMENT + 2
+    sorted_places = number * wide + place
+    sizes = [items.segments[i] for i in item.tolist()]
+    which = np.repeat(np.arange(len(row)), [len(x) for x in sizes])
+    begin, size = (np.array([x[k] for group in sizes for x in group], np.int64) for k in (0, 1))
+    last = np.minimum(begin + size - Q, wide - 1)
+    inside = np.searchsorted(sorted_places, which * wide + last, side="right") - np.searchsorted(sorted_places, which * wide + begin)
+    need = np.maximum(1, size + 1 - Q - (np.array([edit_budget(m) for m in size.tolist()], np.int64) * Q))
+    good = np.flatnonzero((inside >= need) & (begin < wide))
+    for w, b, m, n in zip(which[good].tolist(), begin[good].tolist(), size[good].tolist(), inside[good].tolist()):
+        out.append((int(row[w]), int(item[w]), int(band[w]), b, m, n))
+    return out
+
+
+def verify(items: Items, data: np.ndarray, offsets: np.ndarray, work: list[tuple[int, int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """(row, item, edits, begin, end) of the regions within the budget; begin and end are places in ``data``."""
     out: list[tuple[int, int, int, int, int]] = []
-    work: list[tuple[int, int, int, int, int]] = []
-    for row, item, band in zip(*(x.tolist() for x in candidate_bands(items, data, offsets))):
-        work += [(row, item, band, s, m) for s, m in items.segments[item]]
-    work.sort(key=lambda w: w[4])
+    work = sorted(work, key=lambda w: w[4])
     for begin in range(0, len(work), ALIGN):
         part = work[begin : begin + ALIGN]
         size = max(w[4] for w in part)
         slack = edit_budget(size)
         width = 2 * BAND + 2 * slack
-        regions, patterns, spans = [], [], []
-        for row, item, band, s, m in part:
+        stretches, patterns, spans = [], [], []
+        for row, item, band, s, m, _ in part:
             low = band * BAND - slack + s  # in the row
             a, b = offsets[row], offsets[row + 1]
             region = np.zeros(width + size, np.uint8)
             x, y = max(a, a + low), min(b, a + low + width + m)
             if x < y:
                 region[x - a - low : y - a - low] = data[x:y]
-            regions.append(region)
+            stretches.append(region)
             patterns.append(items.texts[item][s : s + m])
             spans.append((int(x), int(max(x, y))))
-        for w, edits, (x, y) in zip(part, align(patterns, regions).tolist(), spans):
+        for w, edits, (x, y) in zip(part, align(patterns, stretches).tolist(), spans):
             if edits <= edit_budget(w[4]):
                 out.append((w[0], w[1], edits, x, y))
     return out
 
 
+def find(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """(row, item, edits, begin, end) of found items, one or more of each."""
+    work = regions(items, candidate_bands(items, data, offsets))
+    best: dict[tuple[int, int], tuple] = {}
+    for w in work:
+        if w[:2] not in best or w[5] > best[w[:2]][5]:
+            best[w[:2]] = w
+    out = verify(items, data, offsets, list(best.values()))
+    done = {(row, item) for row, item, *_ in out}
+    return out + verify(items, data, offsets, [w for w in work if w[:2] not in done and w is not best[w[:2]]])
+
+
 MATCHES = ArrayType(
     StructType([StructField("item_id", LongType()), StructField("edits", IntegerType()), StructField("begin", LongType()), StructField("end", LongType())])
 )
@@ -237,20 +294,31 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: st
     return [items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
+_built: dict[str, Items] = {}  # of this worker, the last block only
+
+
+def _items(name: str, sent) -> Items:
+    if name not in _built:
+        _built.clear()
+        _built[name] = Items(*sent.value)
+    return _built[name]
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", output: str = "leaks") -> DataFrame:
     """``docs`` with ``output``: item_id, edits, begin and end (code points that hold the match) per item found."""
-    out = docs
-    made = []
-    for k, block in enumerate(benchmark_blocks(benchmark)):
+    blocks = []
+    for block in benchmark_blocks(benchmark):
         rows = sorted((r["id"], r["text"]) for r in block.collect())  # a block, whose size is bounded
-        sent = docs.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
-        made.append(f"__leaks_{k}")
-
-        def compute(column: pa.Array, sent=sent) -> list[pa.Array]:
-            return [search_block(Items(*sent.value), column)]
-
-        out = t.add_columns(out, [text], [(made[-1], MATCHES)], compute)
-    found = F.concat(*[F.col(c) for c in made]) if made else F.array().cast(MATCHES)
-    if output in docs.columns:
-        out = out.drop(output) if output != text else out
-    return out.withColumn(output, found).drop(*made)
+        blocks.append((uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))))
+
+    def compute(column: pa.Array) -> list[pa.Array]:
+        found: list[list[dict]] = [[] for _ in range(len(column))]
+        for name, sent in blocks:
+            for row, more in zip(found, search_block(_items(name, sent), column).to_pylist()):
+                row += more
+        return [pa.array(found, _ARROW)]
+
+    if not blocks:
+        kept = docs.drop(output) if output != text else docs
+        return kept.withColumn(output, F.array().cast(MATCHES))
+    return t.add_columns(docs, [text], [(output, MATCHES)], compute)

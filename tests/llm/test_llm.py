@@ -342,6 +342,80 @@ def test_leaks(spark):
     assert all(r["leaks"] == [] for r in decontaminate.matches(docs, benchmark.where("false")).collect())
 
 
+def _within(pattern: bytes, text: bytes) -> int:
+    """Least edits between ``pattern`` and any part of ``text``."""
+    b = np.frombuffer(text, np.uint8)
+    row = np.zeros(len(b) + 1, np.int64)
+    slope = np.arange(len(b) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = np.append(i, np.minimum(row[:-1] + (b != c), row[1:] + 1))
+        row = np.minimum.accumulate(new - slope) + slope
+    return int(row.min())
+
+
+def test_leaks_equal_a_search_of_all_stretches():
+    rng = random.Random(12)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    items = [prose(n) for n in (72, 95, 150, 40)]
+    texts = []
+    for _ in range(120):
+        item = rng.choice(items)
+        a = rng.randrange(0, max(1, len(item) - 60))
+        part = list(item[a : a + rng.randrange(60, 110)])
+        for _ in range(rng.randrange(0, 12)):
+            at = rng.randrange(len(part))
+            part[at : at + 1] = rng.choice([[], [rng.choice("abcdefgh")], [part[at], rng.choice("abcdefgh")]])
+        texts.append(prose(rng.randrange(80)) + "".join(part) + prose(rng.randrange(80)))
+    index = decontaminate.Items(list(range(len(items))), items)
+    data, offsets, _ = decontaminate.normalise(*decontaminate.t.buffer(pa.array(texts)))
+    got = [sorted(m["item_id"] for m in row) for row in decontaminate.search_block(index, pa.array(texts)).to_pylist()]
+    for row, found in enumerate(got):
+        text = data[offsets[row] : offsets[row + 1]].tobytes()
+        want = [i for i, item in enumerate(index.texts) if any(_within(item[s : s + m].tobytes(), text) <= decontaminate.edit_budget(m) for s, m in index.segments[i])]
+        assert found == want
+    assert 20 < sum(map(bool, got)) < 115
+
+
+def test_part_copies_are_found_wherever_they_lie():
+    rng = random.Random(13)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    item = prose(45)
+    index = decontaminate.Items([1], [item])
+    size = decontaminate.SEGMENT + decontaminate.STRIDE - 1
+    texts = [f"{prose(30)} {item[o : o + size]} {prose(30)}" for o in range(len(item) - size + 1)]
+    assert all(row for row in decontaminate.search_block(index, pa.array(texts)).to_pylist())
+    typos = [t[:140] + t[140:].replace("e", "é", 2) for t in texts]
+    assert sum(map(bool, decontaminate.search_block(index, pa.array(typos)).to_pylist())) >= 0.97 * len(typos)
+    clean = [prose(120) for _ in range(200)] + [f"{prose(20)} {item[:40]} {prose(20)} {item[-40:]}"]
+    assert not any(decontaminate.search_block(index, pa.array(clean)).to_pylist())
+
+
+def test_leaks_of_low_complexity():
+    items = ["0 " * 200, "ab" * 100]
+    got = decontaminate.search_block(decontaminate.Items([1, 2], items), pa.array(["0 " * 50_000, "ab" * 50_000, "0 1 " * 5_000, "", None])).to_pylist()
+    assert [[m["item_id"] for m in row] for row in got] == [[1], [2], [], [], []]
+
+
+def test_leak_queries_on_odd_tables(spark, monkeypatch):
+    long = "the quick brown fox jumps over the lazy dog and runs far away from all of the other animals in the wood"
+    rows = [(1, long), (1, long), (2, None), (3, ""), (None, f"x {long.upper()}!"), (4, "word " * 300_000 + long), (5, "clean text")]
+    path = scratch_path(spark, "t-leaks")
+    spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id long, text string, leaks int, item_id string").write.parquet(f"{path}/documents.parquet")
+    items = [(7, long), (8, long), (9, None), (None, long), (10, "short")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    for most in (decontaminate.BLOCK_BYTES, 60):  # one block and several
+        real = decontaminate.benchmark_blocks
+        monkeypatch.setattr(decontaminate, "benchmark_blocks", lambda b, most=most, real=real: real(b, most=most))
+        got = sorted(((r["doc_id"], r["contaminated"], sorted(filter(None, r["item_ids"].split(",")))) for r in queries.op5_benchmark_decontamination(spark, path).collect()), key=str)
+        monkeypatch.undo()
+        assert got == sorted([(1, True, ["7", "8"]), (1, True, ["7", "8"]), (2, False, []), (3, False, []), (None, True, ["7", "8"]), (4, True, ["7", "8"]), (5, False, [])], key=str)
+    for table in ("documents", "benchmark"):
+        empty = scratch_path(spark, "t-none")
+        for name, schema in (("documents", "doc_id long, text string"), ("benchmark", "item_id long, text string")):
+            spark.createDataFrame([] if name == table else [(1, long)], schema).write.parquet(f"{empty}/{name}.parquet")
+        assert [r["contaminated"] for r in queries.op5_benchmark_decontamination(spark, empty).collect()] == ([] if table == "documents" else [False])
+
+
 def test_banded_alignment_equals_full_table():
     rng = random.Random(1)
     for _ in range(30):
