@@ -1,7 +1,8 @@
 """Personal data in texts replaced by keyed surrogates of the same kind and form.
 
 Detected are e-mail addresses, IPv4 addresses, phone numbers, payment card numbers
-and names after a title. An entity has a canonical form (case and separators don't
+and names after a title; of a name found so, later and earlier mentions in the same text, whole or one
+word of it, are the same entity and get the same surrogate or its word. An entity has a canonical form (case and separators don't
 count), and its surrogate depends on a secret key, its kind, that form and an
 attempt number only, so the same entity has the same surrogate wherever and however
 it is written. Surrogates keep the form: separators, lengths, upper and lower case,
@@ -11,12 +12,14 @@ which is never routed, and e-mail surrogates in the reserved example domains.
 
 Two checks over the whole corpus keep entities apart: no two entities of a kind may have
 the same surrogate, and no surrogate may be an entity that the corpus holds. Losers
-are given the next attempt until none is left. Both are joins of the distinct entities
+are given the next attempt until none is left; later attempts widen the form (longer names and local parts, further ranges
+of numbers), so that entities may outnumber the surrogates of their own length. If numbers of a fixed length are used up all the same,
+an error says so after ``MOST_ROUNDS`` rounds. Both are joins of the distinct entities
 only. Texts without entities pass by; texts with them meet the attempts above zero,
 which are rare, by a join on the text's hash and id, and are rewritten in the task.
 
 Defined results: a null text stays null and an empty one empty; overlapping finds
-go to the first that begins, and of these to the longer; repeated rows are rewritten
+go to the first that begins, and of these to the longer; very long texts are read whole; null ids and equal ids are kept apart by their texts; repeated rows are rewritten
 alike; an empty table gives an empty table; other columns pass through, those named like
 an output are replaced.
 """
@@ -69,8 +72,14 @@ _EVERY_TITLE = sorted((t for titles in _TITLES.values() for t in titles), key=le
 _GENDER = {t: g for g, titles in _TITLES.items() for t in titles}
 _NAME = re.compile(rf"\b({'|'.join(map(re.escape, _EVERY_TITLE))})\.?[  ]((?:[^\W\d_][\w'’-]*)(?:[  ][^\W\d_][\w'’-]*){{0,2}})")
 
-#: (kind, canonical form, start, end, form): form tells what a surrogate has to keep besides the text itself.
-Entity = tuple[str, str, int, int, str]
+#: (kind, canonical form, start, end, form, part): form tells what a surrogate has to keep besides the text itself,
+#: part which word of a name a mention is (-1: the whole).
+Entity = tuple[str, str, int, int, str, int]
+#: Words of names shorter than this aren't looked for alone.
+LEAST_MENTION = 3
+#: Rounds of settling after which the space of some form is taken to be used up.
+MOST_ROUNDS = 100
+_TOKEN = re.compile(r"[^\W\d_][\w'’-]*")
 
 
 def _luhn(digits: str) -> bool:
@@ -84,16 +93,16 @@ def _luhn(digits: str) -> bool:
 def _found(text: str) -> Iterator[Entity]:
     if "@" in text:
         for m in _EMAIL.finditer(text):
-            yield "email", m.group().lower(), m.start(), m.end(), ""
+            yield "email", m.group().lower(), m.start(), m.end(), "", -1
     numbers = _DIGITS.search(text) is not None
     for m in _IPV4.finditer(text) if numbers else ():
-        yield "ipv4", ".".join(str(int(x)) for x in m.group().split(".")), m.start(), m.end(), ""
+        yield "ipv4", ".".join(str(int(x)) for x in m.group().split(".")), m.start(), m.end(), "", -1
     for m in _CARD.finditer(text) if numbers else ():
-        yield "card", re.sub(r"\D", "", m.group()), m.start(), m.end(), ""
+        yield "card", re.sub(r"\D", "", m.group()), m.start(), m.end(), "", -1
     for m in _PHONE.finditer(text) if numbers else ():
         digits = re.sub(r"\D", "", m.group())
         if 9 <= len(digits) <= 15:
-            yield "phone", digits, m.start(), m.end(), re.match(r"\+?\d*", m.group()).group() if m.group()[0] == "+" else ""
+            yield "phone", digits, m.start(), m.end(), re.match(r"\+?\d*", m.group()).group() if m.group()[0] == "+" else "", -1
     for m in _NAME.finditer(text):
         words = re.split("[  ]", m.group(2))
         while words and not words[-1][0].isupper():
@@ -103,7 +112,9 @@ def _found(text: str) -> Iterator[Entity]:
             upper += 1
         if upper:
             name = m.group(2)[: sum(map(len, words[:upper])) + upper - 1]
-            yield "name", " ".join(words[:upper]).casefold(), m.start(2), m.start(2) + len(name), _GENDER[m.group(1)]
+            if name.endswith(("'s", "’s")):  # a possessive isn't part of the name
+                name, words[upper - 1] = name[:-2], words[upper - 1][:-2]
+            yield "name", " ".join(words[:upper]).casefold(), m.start(2), m.start(2) + len(name), _GENDER[m.group(1)], -1
 
 
 def find(text: str) -> list[Entity]:
@@ -112,6 +123,57 @@ def find(text: str) -> list[Entity]:
     for e in sorted(_found(text), key=lambda e: (e[2], -e[3])):
         if not out or e[2] >= out[-1][3]:
             out.append(e)
+    names = [e for e in out if e[0] == "name"]
+    return sorted(out + _mentions(text, names, out), key=lambda e: e[2]) if names else out
+
+
+def _mentions(text: str, names: list[Entity], taken: list[Entity]) -> list[Entity]:
+    """Where the text speaks of its titled names without a title: by the whole name or one word of it.
+
+    A word that several names share means the one named last before it, or the first one if none was.
+    """
+    whole: dict[str, list[tuple[list[str], Entity]]] = {}  # by first word
+    single: dict[str, tuple[Entity, int]] = {}
+
+    def know(e: Entity, again: bool) -> None:
+        words = re.split("[  ]", text[e[2] : e[3]])
+        if len(words) > 1:
+            group = whole.setdefault(words[0], [])
+            group[:] = [(words, e), *[g for g in group if g[0] != words]]
+        for k, word in enumerate(words):
+            if len(word) >= LEAST_MENTION and (again or word not in single):
+                single[word] = (e, k if len(words) > 1 else -1)
+
+    for e in names:
+        know(e, False)
+    tokens = [(m.start(), m.group()) for m in _TOKEN.finditer(text)]
+    spans = iter([*sorted((e[2], e[3], e) for e in taken), (len(text) + 1, 0, None)])
+    begin, end, entity = next(spans)
+    out: list[Entity] = []
+    last = 0
+    for i, (start, token) in enumerate(tokens):
+        while end and start >= end:
+            if entity[0] == "name":
+                know(entity, True)
+            begin, end, entity = next(spans)
+        word = token[:-2] if token.endswith(("'s", "’s")) else token
+        stop = start + len(word)
+        if start < last or stop > begin or not word[0].isupper():
+            continue
+        for words, e in whole.get(word, ()):
+            size = len(words)
+            follow = [w for _, w in tokens[i : i + size]]
+            if len(follow) == size:
+                follow[-1] = words[-1] if follow[-1] in (f"{words[-1]}'s", f"{words[-1]}’s") else follow[-1]
+                stop_all = tokens[i + size - 1][0] + len(words[-1])
+                if follow == words and stop_all <= begin and re.split("[  ]", text[start:stop_all]) == words:
+                    out.append(("name", e[1], start, stop_all, e[4], -1))
+                    last = stop_all
+                    break
+        else:
+            if found := single.get(word):
+                out.append(("name", found[0][1], start, stop, found[0][4], found[1]))
+                last = stop
     return out
 
 
@@ -148,6 +210,10 @@ def script(text: str) -> str:
     return "LATIN"
 
 
+#: Attempts after which a form is widened: longer names and addresses, more ranges of numbers.
+WIDER = 4
+
+
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int, form: str = "") -> str:
     """The canonical form of the replacement; ``dressed`` gives it the look of the original."""
     rng = Stream(key, kind, canonical, attempt)
@@ -156,9 +222,13 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int, form: str = "
         # the domain has a stream of its own, so addresses of one domain stay together
         host = Stream(key, "domain", domain, 0)
         label = "".join(host.like(c) for c in domain.split(".")[0] if c.isalnum()) or "x"
-        return f"{''.join(rng.like(c) for c in local)}@{label}{host.below(10)}.example.{('com', 'net', 'org')[host.below(3)]}"
+        # 60 random bits: two domains share one about never, however short they are
+        label += "-" + "".join("abcdefghijklmnopqrstuvwxyz234567"[host.below(32)] for _ in range(12))
+        more = "".join(rng.like("a") for _ in range(attempt // WIDER))
+        return f"{''.join(rng.like(c) for c in local)}{more}@{label}.example.{('com', 'net', 'org')[host.below(3)]}"
     if kind == "ipv4":
-        return ".".join(map(str, (240 + rng.below(15), rng.below(256), rng.below(256), 1 + rng.below(254))))
+        first = 240 + rng.below(15) if attempt < 4 * WIDER else 1 + rng.below(254)  # reserved addresses as long as there are any
+        return ".".join(map(str, (first, rng.below(256), rng.below(256), 1 + rng.below(254))))
     if kind == "card":
         body = canonical[0] + "".join(str(rng.below(10)) for _ in canonical[2:])
         check = next(d for d in "0123456789" if _luhn(body + d))
@@ -166,14 +236,15 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int, form: str = "
     if kind == "phone":
         code = len(re.sub(r"\D", "", form))
         code = code if code < len(canonical) - 6 else 1 if form else 0
-        return canonical[:code] + "".join(str(2 + rng.below(8) if i == 0 else rng.below(10)) for i in range(len(canonical) - code))
+        low = 2 if attempt < 4 * WIDER else 0
+        return canonical[:code] + "".join(str(low + rng.below(10 - low) if i == 0 else rng.below(10)) for i in range(len(canonical) - code))
     words = canonical.split(" ")
     kind_of = script(canonical)
     given = _GIVEN[kind_of, form or "m"].split()
     syllables = _SYLLABLES[kind_of].split()
     out = [given[rng.below(len(given))]] if len(words) > 1 else []
     for _ in words[len(out) :]:
-        made = "".join(syllables[rng.below(len(syllables))] for _ in range(3 + rng.below(2)))
+        made = "".join(syllables[rng.below(len(syllables))] for _ in range(3 + rng.below(2) + attempt // WIDER))
         out.append((made + _ENDING.get((kind_of, form), "")).capitalize())
     return " ".join(out).casefold()
 
@@ -191,9 +262,10 @@ def dressed(kind: str, original: str, new: str) -> str:
     return new
 
 
-_FIELDS = ("kind", "canonical", "start", "end", "form")
-ENTITIES = ArrayType(StructType([StructField(f, IntegerType() if f in ("start", "end") else StringType()) for f in _FIELDS]))
-_ARROW = pa.list_(pa.struct([(f, pa.int32() if f in ("start", "end") else pa.string()) for f in _FIELDS]))
+_FIELDS = ("kind", "canonical", "start", "end", "form", "part")
+_NUMBERS = ("start", "end", "part")
+ENTITIES = ArrayType(StructType([StructField(f, IntegerType() if f in _NUMBERS else StringType()) for f in _FIELDS]))
+_ARROW = pa.list_(pa.struct([(f, pa.int32() if f in _NUMBERS else pa.string()) for f in _FIELDS]))
 
 
 def with_entities(df: DataFrame, text: str = "text", entities: str = "entities") -> DataFrame:
@@ -222,7 +294,7 @@ def settle(entities: DataFrame, key: bytes) -> DataFrame:
     # an entity's gender is the one of its first form, so that all its mentions agree
     every = staged(entities.groupBy("kind", "canonical").agg(F.min("form").alias("form")), "entities")
     current = staged(named(every.withColumn("attempt", F.lit(0))), "surrogates")
-    while True:
+    for _ in range(MOST_ROUNDS):
         winner = current.groupBy("kind", "surrogate").agg(F.min("canonical").alias("winner"))
         real = every.select("kind", F.col("canonical").alias("surrogate"), F.lit(True).alias("real"))
         judged = current.join(winner, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
@@ -232,6 +304,7 @@ def settle(entities: DataFrame, key: bytes) -> DataFrame:
         if judged.where("lost").isEmpty():
             return current
         current = staged(named(judged.drop("lost")), "surrogates")
+    raise ValueError(f"after {MOST_ROUNDS} rounds some entities still have no surrogate of their own")
 
 
 def replace(df: DataFrame, key: bytes, id_col: str = "doc_id", text: str = "text", entities: str = "entities") -> DataFrame:
@@ -254,7 +327,8 @@ def replace(df: DataFrame, key: bytes, id_col: str = "doc_id", text: str = "text
             parts, last, at, made = [], 0, 0, []
             for e in own:
                 attempt, form = known.get((e["kind"], e["canonical"]), (0, e["form"]))
-                new = dressed(e["kind"], body[e["start"] : e["end"]], surrogate(key, e["kind"], e["canonical"], attempt, form))
+                whole = surrogate(key, e["kind"], e["canonical"], attempt, form)
+                new = dressed(e["kind"], body[e["start"] : e["end"]], whole if e["part"] < 0 else whole.split(" ")[e["part"]])
                 parts += [body[last : e["start"]], new]
                 at += e["start"] - last
                 made.append({"kind": e["kind"], "start": at, "end": at + len(new)})

@@ -445,6 +445,64 @@ def test_surrogates(spark):
     assert surrogates._luhn(card.replace(" ", ""))
 
 
+@pytest.mark.parametrize(
+    "text, mentions",
+    [
+        ("Mrs Jane Doe met us. Jane Doe left. Doe said no.", ["Jane Doe", "Jane Doe", "Doe"]),
+        ("Doe's car. Then Mr. John Doe's dog; Frau Jane Doe and Doe, then John.", ["Doe", "John Doe", "Jane Doe", "Doe", "John"]),
+        ("г-жа Анна Петрова и Петрова", ["Анна Петрова", "Петрова"]),
+        ("Herr Li saw Li and li", ["Li"]),
+        ("Mr Green drinks Greentea in Greenland, GREEN", ["Green"]),
+    ],
+)
+def test_mentions_of_titled_names(text, mentions):
+    found = [e for e in surrogates.find(text) if e[0] == "name"]
+    assert [text[e[2] : e[3]] for e in found] == mentions
+    assert all(a[3] <= b[2] for a, b in zip(found, found[1:]))
+
+
+def test_mentions_get_the_same_surrogate(spark):
+    rows = [(1, "Mrs Jane Doe met us. Jane Doe left. Doe said no."), (2, "Dear Jane Doe, Mrs Jane Doe"), (None, None), (3, "Doe alone is no name here")]
+    by = {r["doc_id"]: r["text"] for r in surrogates.replace(frame(spark, rows), b"k").collect()}
+    first, last = re.match(r"Mrs (\w+) (\w+) met us", by[1]).groups()
+    assert by[1] == f"Mrs {first} {last} met us. {first} {last} left. {last} said no." and by[2] == f"Dear {first} {last}, Mrs {first} {last}"
+    assert "Doe" not in by[1] and by[3] == rows[3][1] and by[None] is None
+
+
+def test_surrogates_stay_distinct_when_entities_outnumber_their_form(spark):
+    # 26 letters of one class and 300 addresses of one letter; short names of one word
+    letters = [chr(c) for c in [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x180), *range(0x3B1, 0x3CA), *range(0x430, 0x4B0)] if chr(c).isalpha() and chr(c).lower() == chr(c)]
+    mails = [f"{c}@mail.example.com" for c in dict.fromkeys(letters)]
+    assert len(mails) > 150
+    entities = spark.createDataFrame([("email", m, "") for m in mails], "kind string, canonical string, form string")
+    made = {r["canonical"]: r["surrogate"] for r in surrogates.settle(entities, b"k").collect()}
+    assert set(made) == set(mails) and len(set(made.values())) == len(mails) and not set(made.values()) & set(mails)
+
+
+def test_replaced_entities_against_brute_force(spark):
+    """One entity has one surrogate all over, two have two, none is a real one, and no text keeps an entity."""
+    rng = random.Random(6)
+    people = [f"{rng.choice('Ann Bob Eve Tom Ida'.split())} {rng.choice('Stone Field Marsh Wood'.split())}" for _ in range(12)]
+    mails = [f"{rng.choice('abc')}{rng.randrange(4)}@{rng.choice('xyz')}.org" for _ in range(25)]
+    numbers = [f"+49 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}" for _ in range(25)] + [f"10.{rng.randrange(9)}.0.{rng.randrange(9)}" for _ in range(25)]
+    rows = [(i, f"{rng.choice(['Mr', 'Mrs'])} {rng.choice(people)}, {rng.choice(mails)}; {rng.choice(numbers)} and {rng.choice(mails).upper()} end") for i in range(150)]
+    path = scratch_path(spark, "t-pii")
+    spark.createDataFrame([(*r, 0) for r in [*rows, (None, None), (900, ""), (900, "no data")]], "doc_id long, text string, entities int").write.parquet(f"{path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op7_pii_surrogates(spark, path).where("doc_id < 900").collect()}
+    pairs: dict = {}
+    for i, text in rows:
+        old = surrogates.find(text)
+        spans = [tuple(x.split(":")) for x in got[i]["replaced"].split(",")]
+        assert len(old) == len(spans) == got[i]["n_replaced"] and [e[0] for e in old] == [k for k, *_ in spans]
+        for e, (kind, a, b) in zip(old, spans):
+            new = got[i]["text"][int(a) : int(b)]
+            same = re.sub(r"\D", "", new) if kind == "phone" else new.lower()
+            pairs.setdefault((kind, e[1]), set()).add(same)
+    assert all(len(v) == 1 for v in pairs.values())
+    made = [(k[0], *v) for k, v in pairs.items()]
+    assert len(set(made)) == len(made) and not {m[1] for m in made} & {k[1] for k in pairs}
+
+
 def test_surrogate_collisions_are_settled(spark):
     # two digits, the first kept: nine surrogates at most, four of which are entities
     own = {f"1{d}" for d in "0123"}
