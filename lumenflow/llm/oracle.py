@@ -2,6 +2,60 @@
 
 from __future__ import annotations
 
+OP1 = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((CAST('0x' || substr(hex, 1 + 5 * i // 4, 2) AS BIGINT) >> CAST(3 - 5 * i % 4 AS BIGINT)) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM payloads
+"""
+
+OP4 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM words, unnest(range(1, len(w) - 11)) AS t(i)
+), owners AS (
+  SELECT k, min(doc_id) AS owner FROM windows GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN owners USING (k) WHERE owner < doc_id
+), left_over AS (
+  SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM (SELECT doc_id, w, i FROM words, unnest(range(1, len(w) + 1)) AS t(i)) ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN left_over USING (doc_id)
+"""
+
+OP6 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k FROM words, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS t(i)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.k = b.k AND a.doc_id < b.doc_id
+  JOIN sizes s ON s.doc_id = a.doc_id JOIN sizes t ON t.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, s.n, t.n HAVING 100 * count(*) >= 85 * (s.n + t.n - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS root FROM documents
+  UNION
+  SELECT l.y, r.root FROM reach r JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) l ON l.x = r.x
+), components AS (
+  SELECT x AS doc_id, min(root) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)
+"""
+
 OP12 = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -119,6 +173,9 @@ LEFT JOIN solved v ON v.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
 STATEMENTS = {
+    "op1_warc_revisits": OP1,
+    "op4_fm_index_dedup": OP4,
+    "op6_minmax_near_dedup": OP6,
     "op11_block_max_top_k": OP11,
     "op12_fill_in_middle": OP12,
     "op13_conversation_repair": OP13,
