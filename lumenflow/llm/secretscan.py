@@ -19,6 +19,9 @@ Decompression is stopped at ``MAX_LAYER_BYTES`` a region as a guard against bomb
 regions concerned, and those whose compressed data end early, are counted in
 ``stopped``, not passed over in silence.
 
+An escape nested in itself (``%252525...``) is unwound at once, so depth costs nothing; the spans of a layer are two arrays of
+numbers, so very long lines are scanned whole within some 60 bytes a character.
+
 Defined results: a null or empty text has no spans; equal spans of one kind
 are reported once, the outermost layer's; overlapping finds of different kinds
 are all reported; repeated rows are scanned each; an empty table gives an empty
@@ -35,9 +38,11 @@ import lzma
 import re
 import struct
 import zlib
+from array import array
 from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,18 +67,25 @@ _HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)  # runs are maximal, so shorter on
 
 #: What is decoded together: a line (no secret has other white space than a space), and lines that wrapped base64 may join.
 _STRETCH = re.compile(r"[\S\x20]+(?:(?<=[A-Za-z0-9+/_;}-])\r?\n(?=[A-Za-z0-9+/_%&\\-])[\S\x20]+)*")
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+#: Escapes of an escape's own first character, so many deep that they are unwound at once: %252525... is a percent sign,
+#: whatever the depth, as is every layer in between.
+_DEEP_PERCENT = r"%(?:25){3,}"
+_DEEP_ESCAPE = r"\\(?:u005[cC]){3,}|\\(?:x5[cC]){3,}|%(?:u0025){3,}|&(?:#38;){3,}|&(?:#[xX]26;){3,}"
+_PERCENT = re.compile(rf"{_DEEP_PERCENT}|(?:%[0-9A-Fa-f]{{2}})+")
 _ESCAPE = re.compile(
-    r"(?:\\u[0-9A-Fa-f]{4}|%u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
+    rf"{_DEEP_ESCAPE}|" r"(?:\\u[0-9A-Fa-f]{4}|%u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
 )
+_DEEP = re.compile(_DEEP_ESCAPE)
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]+(?:\r?\n[A-Za-z0-9+/_-]+)+={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 _URL_SAFE = str.maketrans("-_", "+/")
 
 Span = tuple[int, int]
-#: A layer: its text, and for each character where it starts and ends in the document (None: the document itself).
-Layer = tuple[str, list[int] | None, list[int] | None, str]
+#: Where each character of a decoded text starts and ends in the layer around it (or in the document): two arrays, 16 bytes a character.
+Spans = tuple[np.ndarray, np.ndarray]
+#: A layer: its text and its characters' spans in the document (None: the document itself).
+Layer = tuple[str, Spans | None, str]
 
 
 def find(text: str) -> Iterator[tuple[int, int, int]]:
@@ -90,9 +102,9 @@ def find(text: str) -> Iterator[tuple[int, int, int]]:
         yield 2, m.start(), m.end()
 
 
-def _utf8(raw: bytes, spans: list[Span]) -> tuple[str, list[Span]]:
-    """Decoded text (a byte that fits nothing is U+FFFD), and per character its bytes' span."""
-    text, out, at = [], [], 0
+def _cuts(raw: bytes) -> tuple[str, list[int], list[int]]:
+    """Decoded text (a byte that fits nothing is U+FFFD), and per character its first and last byte."""
+    text, first, last, at = [], [], [], 0
     while at < len(raw):
         for n in (1, 2, 3, 4):
             try:
@@ -104,44 +116,74 @@ def _utf8(raw: bytes, spans: list[Span]) -> tuple[str, list[Span]]:
             text.append("\ufffd")
             n = 1
         n = min(n, len(raw) - at)
-        out.append((spans[at][0], spans[at + n - 1][1]))
+        first.append(at)
+        last.append(at + n - 1)
         at += n
-    return "".join(text), out
+    return "".join(text), first, last
+
+
+def _utf8(raw: bytes, spans: Spans) -> tuple[str, Spans]:
+    """Decoded text, and per character its bytes' span."""
+    if raw.isascii():
+        return raw.decode(), spans
+    text, first, last = _cuts(raw)
+    return text, (spans[0][np.array(first, np.int64)], spans[1][np.array(last, np.int64)])
 
 
-def _unescaped(stretch: str, at: int, pattern: re.Pattern, decode) -> tuple[str, list[Span]]:
+def _unescaped(stretch: str, at: int, pattern: re.Pattern, decode) -> tuple[str, Spans]:
     """A stretch with the matches of ``pattern`` decoded, and the spans of its characters in the layer."""
-    text, spans, last = [], [], 0
+    text, begin, end, made, starts, ends = [], array("q"), array("q"), array("q"), array("q"), array("q")
+    last = 0
     for m in pattern.finditer(stretch):
-        text.append(stretch[last : m.start()])
-        spans += [(at + i, at + i + 1) for i in range(last, m.start())]
-        made, where = decode(m.group(), at + m.start())
-        text.append(made)
-        spans += where
-        last = m.end()
+        a, b = m.span()
+        new, x, y = decode(m.group())
+        text += (stretch[last:a], new)
+        begin.append(a)
+        end.append(b)
+        made.append(len(new))
+        starts.extend([a + v for v in x])
+        ends.extend([a + v for v in y])
+        last = b
     text.append(stretch[last:])
-    spans += [(at + i, at + i + 1) for i in range(last, len(stretch))]
-    return "".join(text), spans
-
-
-def _percent(run: str, at: int) -> tuple[str, list[Span]]:
-    raw = bytes.fromhex(run.replace("%", ""))
-    return _utf8(raw, [(at + 3 * i, at + 3 * i + 3) for i in range(len(raw))])
-
-
-def _escape(run: str, at: int) -> tuple[str, list[Span]]:
+    begin, end, made, starts, ends = (np.frombuffer(v, np.int64) if len(v) else np.zeros(0, np.int64) for v in (begin, end, made, starts, ends))
+    # where the decoded characters stand in the new text; all others keep their place in the stretch
+    before = np.cumsum(made) - made
+    place = np.repeat(begin - (np.cumsum(end - begin) - (end - begin)) + before, made) + np.arange(len(starts)) - np.repeat(before, made)
+    edges = np.zeros(len(stretch) + 1, np.int8)
+    edges[begin] += 1
+    edges[end] -= 1
+    plain = np.flatnonzero(np.cumsum(edges[:-1], dtype=np.int8) == 0)
+    first, after = np.empty(len(plain) + len(starts), np.int64), np.empty(len(plain) + len(starts), np.int64)
+    rest = np.ones(len(first), bool)
+    rest[place] = False
+    first[place], after[place], first[rest], after[rest] = starts, ends, plain, plain + 1
+    return "".join(text), (first + at, after + at)
+
+
+def _percent(run: str) -> tuple[str, list[int], list[int]]:
+    """Decoded text of a run, and where in the run its characters start and end."""
+    if run[1:7] == "252525" and "%" not in run[1:]:
+        return "%", [0], [len(run)]
+    text, first, last = _cuts(bytes.fromhex(run.replace("%", "")))
+    return text, [3 * v for v in first], [3 * v + 3 for v in last]
+
+
+def _escape(run: str) -> tuple[str, list[int], list[int]]:
+    if _DEEP.fullmatch(run):
+        return run[0], [0], [len(run)]
     if run[1] in "u" and run[2] != "{":  # a run of UTF-16 units
         units = [int(run[i + 2 : i + 6], 16) for i in range(0, len(run), 6)]
-        text, spans, i = [], [], 0
+        text, starts, ends, i = [], [], [], 0
         while i < len(units):
             n = 2 if 0xD800 <= units[i] < 0xDC00 and i + 1 < len(units) and 0xDC00 <= units[i + 1] < 0xE000 else 1
             code = 0x10000 + (units[i] - 0xD800) * 0x400 + units[i + 1] - 0xDC00 if n == 2 else units[i]
             text.append(_character(code))
-            spans.append((at + 6 * i, at + 6 * (i + n)))
+            starts.append(6 * i)
+            ends.append(6 * (i + n))
             i += n
-        return "".join(text), spans
+        return "".join(text), starts, ends
     digits = run[3:-1] if run[:3] in ("&#x", "&#X", "\\u{") else run[2:-1] if run[0] == "&" else run[2:]
-    return _character(int(digits, 10 if run[0] == "&" and run[2] not in "xX" else 16)), [(at, at + len(run))]
+    return _character(int(digits, 10 if run[0] == "&" and run[2] not in "xX" else 16)), [0], [len(run)]
 
 
 def _character(code: int) -> str:
@@ -187,7 +229,7 @@ def _worth(text: str) -> bool:
     return next(find(text), None) is not None or any(p.search(text) for p in searches)
 
 
-def _texts(raw: bytes, spans: list[Span] | None) -> Iterator[tuple[str, list[Span] | None]]:
+def _texts(raw: bytes, spans: Spans | None) -> Iterator[tuple[str, Spans | None]]:
     """``raw`` as UTF-8 and, if it has NULs, as UTF-16 of either order from either byte on: (text, spans)."""
     if _worth(raw.decode("latin-1")):  # all that is searched for is ASCII
         yield _utf8(raw, spans) if spans is not None else (raw.decode(errors="replace"), None)
@@ -197,7 +239,7 @@ def _texts(raw: bytes, spans: list[Span] | None) -> Iterator[tuple[str, list[Spa
                 n = (len(raw) - first) // 2
                 text = "".join(map(_character, struct.unpack_from(f"{order}{n}H", raw, first)))
                 if _worth(text):
-                    yield text, spans and [(spans[first + 2 * i][0], spans[first + 2 * i + 1][1]) for i in range(n)]
+                    yield text, spans and (spans[0][first : first + 2 * n : 2], spans[1][first + 1 : first + 2 * n : 2])
 
 
 def _wraps(sizes: list[int]) -> list[tuple[int, int]]:
@@ -211,21 +253,21 @@ def _wraps(sizes: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def _runs(text: str) -> Iterator[tuple[str, Sequence[int], Span]]:
+def _runs(text: str) -> Iterator[tuple[str, np.ndarray, Span]]:
     """(characters, their places, the region) of base64 runs in a line or over several."""
     for m in _BASE64.finditer(text):
         body = m.group().rstrip("=")
-        yield body, range(m.start(), m.start() + len(body)), m.span()
+        yield body, np.arange(m.start(), m.start() + len(body)), m.span()
     for m in _WRAPPED.finditer(text) if "\n" in text else ():
         lines = [(m.start() + x.start(), m.start() + x.end()) for x in _LINE.finditer(m.group())]
         for i, j in _wraps([b - a for a, b in lines]):
             part = lines[i:j]
             if sum(b - a for a, b in part) >= MIN_BASE64:
-                at = [*itertools.chain(*itertools.starmap(range, part))]
+                at = np.concatenate([np.arange(*p) for p in part])
                 yield "".join(text[a:b] for a, b in part), at, (part[0][0], m.end() if j == len(lines) else part[-1][1])
 
 
-def _from_base64(body: str, at: Sequence[int]) -> Iterator[tuple[str, str | None, list[Span] | None]]:
+def _from_base64(body: str, at: np.ndarray) -> Iterator[tuple[str, str | None, Spans | None]]:
     """(how, text, spans or None for the whole run) of what a base64 run holds; without text: whether its data end, "" if not."""
     if len(body) % 4 == 1:
         return
@@ -233,7 +275,8 @@ def _from_base64(body: str, at: Sequence[int]) -> Iterator[tuple[str, str | None
         raw = base64.b64decode(body.translate(_URL_SAFE) + "=" * (-len(body) % 4), validate=True)
     except binascii.Error:
         return
-    spans = [(at[i * 8 // 6], at[(i * 8 + 7) // 6] + 1) for i in range(len(raw))]
+    byte = np.arange(len(raw)) * 8
+    spans = at[byte // 6], at[(byte + 7) // 6] + 1
     for text, where in _texts(raw, spans):
         yield "base64", text, where
     how, met = "base64", {raw}
@@ -250,7 +293,7 @@ def _from_base64(body: str, at: Sequence[int]) -> Iterator[tuple[str, str | None
             yield how, text, None
 
 
-def _layers(text: str) -> Iterator[tuple[str, str | None, list[Span] | None, Span]]:
+def _layers(text: str) -> Iterator[tuple[str, str | None, Spans | None, Span]]:
     """What a layer's encoded regions hold: (how, text, spans or None, the region); without text: regions not read to their end."""
     percent = "%" in text and _PERCENT.search(text)
     escape = ("\\" in text or "&#" in text or "%u" in text) and _ESCAPE.search(text)
@@ -275,27 +318,32 @@ def _layers(text: str) -> Iterator[tuple[str, str | None, list[Span] | None, Spa
 def scan(text: str) -> tuple[list[tuple[str, int, int, str]], int]:
     """((kind, start, end, layer) by start, then kind; regions not read to their end)."""
     found: dict[tuple[int, int, int], str] = {}
-    work: deque[Layer] = deque([(text, None, None, "")])
+    work: deque[Layer] = deque([(text, None, "")])
     met: set[tuple[str, int, int]] = {(text, 0, len(text))}
     stopped: set[Span] = set()
+
+    def place(spans: Spans | None, a: int, b: int) -> Span:
+        return (a, b) if spans is None else (int(spans[0][a]), int(spans[1][b - 1]))
+
     while work:
-        layer, starts, ends, path = work.popleft()
+        layer, own, path = work.popleft()
         for kind, a, b in find(layer):
-            span = (a, b) if starts is None else (starts[a], ends[b - 1])
+            span = place(own, a, b)
             found.setdefault((span[0], kind, span[1]), path)
         for how, made, spans, (a, b) in _layers(layer):
             if made is None:
-                stopped.add((a, b) if starts is None else (starts[a], ends[b - 1]))
+                stopped.add(place(own, a, b))
             if not made:
                 continue
-            if spans is None:
-                spans = [(a, b)] * len(made)
-            if starts is not None:
-                spans = [(starts[x], ends[y - 1]) for x, y in spans]
-            key = (made, spans[0][0], spans[-1][1])
+            if spans is None:  # all of it comes from the whole region
+                x, y = place(own, a, b)
+                spans = np.broadcast_to(np.int64(x), len(made)), np.broadcast_to(np.int64(y), len(made))
+            elif own is not None:
+                spans = own[0][spans[0]], own[1][spans[1] - 1]
+            key = (made, int(spans[0][0]), int(spans[1][-1]))
             if key not in met:
                 met.add(key)
-                work.append((made, [x for x, _ in spans], [y for _, y in spans], f"{path}/{how}"))
+                work.append((made, spans, f"{path}/{how}"))
     return [(KINDS[k], a, b, path) for (a, k, b), path in sorted(found.items())], len(stopped)
 
 

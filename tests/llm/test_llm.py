@@ -241,6 +241,53 @@ def test_secrets_in_any_decoded_bytes():
     assert secretscan.scan(f"x {cut} y")[1] == 1
 
 
+@pytest.mark.parametrize(
+    "text, span",
+    [
+        ("x password%" + "25" * 40_000 + "3Dhunter22 y", (2, 80_021)),
+        ("x password\\" + "u005c" * 20_000 + "u003dhunter22 y", (2, 100_024)),
+        ("x password&" + "#38;" * 20_000 + "#61;hunter22 y", (2, 80_023)),
+        ("é " * 300_000 + "y%20" * 200_000 + "%C3%A9 password%3Dhunter22", (1_400_007, 1_400_026)),
+    ],
+)
+def test_secrets_behind_deep_nesting_and_in_long_lines(text, span):
+    begun = time.process_time()
+    found, stopped = secretscan.scan(text)
+    assert ("assign", *span) in [s[:3] for s in found] and stopped == 0
+    assert time.process_time() - begun < 20
+
+
+def test_spans_cover_what_was_encoded():
+    """Random nesting of encodings around a secret: the span is where the encoded secret lies."""
+    rng = random.Random(11)
+    url = lambda t: "".join(f"%{b:02X}" for b in t.encode())
+    some = lambda t: "".join(url(c) if rng.random() < 0.4 else c for c in t.replace("%", "%25"))
+    unicode = lambda t: "".join(f"\\u{ord(c):04x}" for c in t)
+    b64 = lambda t: base64.b64encode(t.encode()).decode()
+    packed = lambda t: base64.b64encode(zlib.compress(t.encode())).decode()
+    for _ in range(60):
+        text = "password=hunter2secret"
+        for _ in range(rng.randrange(1, 4)):
+            text = rng.choice([url, some, unicode, b64, packed])(text)
+        before, after = "é x " * rng.randrange(4), " y z%41" * rng.randrange(3)
+        found, _ = secretscan.scan(f"{before}{text}{after}")
+        spans = [s[1:3] for s in found if s[0] == "assign"]
+        end = len(before) + len(text)  # the padding of base64, however it is encoded, is no part of the run
+        assert any(len(before) <= a <= len(before) + 3 and end - 80 <= b <= end for a, b in spans), text
+
+
+def test_secret_query_on_odd_tables(spark):
+    rows = [(1, None), (2, ""), (3, "token: " + "a1" * 400_000), (None, "api_key = abcdef1 " + "0a" * 12), (3, "x")]
+    path = scratch_path(spark, "t-secrets")
+    spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, spans string, stopped int").write.parquet(f"{path}/documents.parquet")
+    got = collections.Counter((r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"], r["spans"]) for r in queries.op2_secret_scan(spark, path).collect())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    long, two = "assign:0:800007,hex:7:800007", "assign:0:17,hex:18:42"
+    assert got == collections.Counter([(1, 0, 0, 0, sha(""), ""), (2, 0, 0, 0, sha(""), ""), (3, 1, 0, 1, sha(long), long), (None, 1, 0, 1, sha(two), two), (3, 0, 0, 0, sha(""), "")])
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{path}/none/documents.parquet")
+    assert queries.op2_secret_scan(spark, f"{path}/none").collect() == []
+
+
 def test_secret_columns(spark):
     rows = [(1, None), (2, ""), (3, "token: AKIA" + "A" * 16 + " " + "0a" * 12), (3, "token: AKIA" + "A" * 16 + " " + "0a" * 12)]
     got = sorted((r["doc_id"], [tuple(s)[:3] for s in r["spans"]]) for r in secretscan.scan_texts(frame(spark, rows)).collect())
