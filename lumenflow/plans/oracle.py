@@ -23,7 +23,7 @@ _USER_FIELDS = """
     'State' || CAST(u % 10 AS VARCHAR) AS state,
     lpad(CAST(u AS VARCHAR), 12, '0') AS username"""
 
-# flattened users: click -> user, purchase -> user and referred user 99999 - user
+# flattened users: click -> user, purchase -> user and referred user 10^11 + user
 USD = f"""usd AS (
   SELECT page, {_USER_FIELDS}
   FROM (

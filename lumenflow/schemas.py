@@ -63,8 +63,6 @@ WEBLOG_COLUMNS = [
 WEBLOG_FIELD_SOURCE = [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 15, 16]
 WEBLOG_INPUT_FIELDS = 17
 
-WEBLOG = T.StructType([T.StructField(c, T.StringType()) for c in WEBLOG_COLUMNS])
-
 HTTP_STATUS = T.StructType(
     [
         T.StructField("cd", T.LongType()),
@@ -81,19 +79,6 @@ CUSTPROF = T.StructType(
     ]
 )
 
-ORDERS_SRC = T.StructType(
-    [
-        T.StructField("order_ts", T.TimestampNTZType()),
-        T.StructField("orderNumber", T.LongType()),
-        T.StructField("orderDate", T.DateType()),
-        T.StructField("requiredDate", T.DateType()),
-        T.StructField("shippedDate", T.DateType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("comments", T.StringType()),
-        T.StructField("customerNumber", T.LongType()),
-    ]
-)
-
 NESTED_RECORD = T.StructType(
     [
         T.StructField("an_array", T.ArrayType(T.IntegerType())),

@@ -124,9 +124,9 @@ def json_documents(df: DataFrame, value_col: str = "value", keep: list[str] | No
     """One row per document: a text that is an array gives its elements, any other text itself, blank text and null
     nothing (as ``read.json`` sees files). Elements are spelled anew, without spaces between their parts."""
     text = F.col(value_col).cast("string")
-    elements = F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<variant>"))
+    elements = F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<variant>"))
     listed = F.when(elements.isNotNull(), F.transform(elements, lambda e: F.to_json(e))).otherwise(F.array(text))
-    return df.where(F.trim(text) != "").select(*(keep or []), F.explode(listed).alias(value_col))
+    return df.where(text.rlike(r"\S")).select(*(keep or []), F.explode(listed).alias(value_col))
 
 
 #: A field with which the type of an object without fields is spelled; it is taken out again.
@@ -165,8 +165,8 @@ def infer_json_schema(df: DataFrame, value_col: str = "value") -> T.StructType:
     conflicting types is a string, one that is always null is a string, and text that is no object is left out.
     """
     documents = json_documents(df.where(F.col(value_col).isNotNull()), value_col)
-    parsed = documents.select(F.expr(f"try_parse_json(`{value_col}`)").alias("v")).where("schema_of_variant(v) LIKE 'OBJECT%'")
-    text = parsed.select(F.expr("schema_of_variant_agg(v)")).first()[0]
+    objects = documents.where(F.col(value_col).rlike(r"^\s*\{"))
+    text = objects.select(F.expr(f"schema_of_variant_agg(try_parse_json(`{value_col}`))")).first()[0]
     return _from_variant_schema(text) if text and text.startswith("OBJECT") else T.StructType([])
 
 

@@ -79,6 +79,7 @@ ODD_DOCUMENTS = [
     '[{"v": 1, "w": [1, 2]}, {"v": {"k": 2}, "w": [1.5]}]',
     '{"v": [1], "deep": {"x": {"y": [{"z": 1}]}}}',
     '{"deep": {"x": {"y": [{"z": 2.5, "u": false}]}}, "only": [null], "VOID": {"VARIANT": "VOID"}}',
+    '\t [{"v": 9}]', '\t{"t": null}',
     "nope", "[]", "7", '"text"', "", '{"cut": ', '{"t": "yes"}',
 ]
 
