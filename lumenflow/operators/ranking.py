@@ -12,6 +12,8 @@ Two strategies with identical results:
   the key distribution. Costs one extra shuffle of the data plus a
   shuffle of the (much smaller) count table.
 
+With the number of rows known (``rows``; ``auto`` counts them) both use as many tasks as the rows need.
+
 * ``auto`` - counts rows per key first (a partial aggregate that reads
   only the key columns) and takes ``range`` when the largest key holds more
   than ``hot_key_rows`` rows, ``window`` otherwise.
@@ -25,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenflow.session import ROWS_PER_TASK, sized
+
 
 def _order_cols(order: list[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
@@ -34,10 +38,6 @@ def _order_cols(order: list[str | Column]) -> list[Column]:
 DEFAULT_HOT_KEY_ROWS = 5_000_000
 
 
-# Rows of one range, when their number is known.
-ROWS_PER_RANGE = 1_000_000
-
-
 def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
     """(rows of the largest key group, rows of all); zeros for an empty frame."""
     found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
@@ -57,18 +57,18 @@ def sequence_within_key(
     strategy: str = "window",
     num_partitions: int | None = None,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     if strategy == "auto":
-        largest, total = group_sizes(df, keys)
+        largest, rows = group_sizes(df, keys)
         strategy = "range" if largest > hot_key_rows else "window"
-        num_partitions = num_partitions or max(-(-total // ROWS_PER_RANGE), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if strategy == "window":
         w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
-        return df.withColumn(out_col, F.row_number().over(w))
+        return sized(df, rows or 0, *keys).withColumn(out_col, F.row_number().over(w))
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or max(-(-(rows or 0) // ROWS_PER_TASK), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order_cols = _order_cols(order)
     # 1. spread rows by ranges of (keys, order); hot keys span partitions.
     ranged = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *order_cols)

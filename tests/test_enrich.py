@@ -173,3 +173,35 @@ def test_profile_keys_stay_distinct_beyond_five_digits(spark):
     keyed = cells.select(C.cell_key("cell", D.KEY_WIDTH).alias("id"))
     assert keyed.count() == 8 and keyed.distinct().count() == 8  # a referred user is none of the customers
     assert keyed.join(profiles, "id").count() == 4
+
+
+@pytest.mark.parametrize("strategy", ["window"])
+def test_tasks_grow_with_the_rows_not_their_memory(spark, monkeypatch, strategy):
+    """Large sides are joined and numbered by as many tasks as their rows need, few keys or many, null keys among them."""
+    from lumenflow import session
+    from lumenflow.operators import ranking
+
+    users, profile, log, status = _skewed(spark)
+    users = users.withColumn("username", F.when(F.col("age") % 11 > 0, F.concat("username", (F.col("age") % 40).cast("string"))))
+    want = rows(E.enrich(users, profile, log, status, find_hot=False))
+    for module in (session, ranking, E):
+        monkeypatch.setattr(module, "ROWS_PER_TASK", 25, raising=False)
+    found = E.enrich(users, profile, log, status, version_strategy=strategy, cell_rows=100)
+    assert rows(found) == want
+    assert found.rdd.getNumPartitions() >= len(want) // 25  # not the 4 of spark.sql.shuffle.partitions
+    assert rows(E.enrich(users, profile, log, status, version_strategy=strategy)) == want  # no grid
+    numbered = profile.select(F.col("age").cast("string").alias("id"), "profession").union(profile.selectExpr("'x'", "'y'"))
+    for p in (profile.selectExpr("CAST(id AS INT) AS id", "age", "profession"), numbered.selectExpr("id", "1 AS age", "profession")):
+        assert rows(E.enrich(users, p, log, status, version_strategy=strategy, cell_rows=100)) == rows(E.enrich(users, p, log, status, find_hot=False))
+
+
+def test_joined_rows_are_counted_where_the_sketches_cant_tell(spark):
+    from lumenflow.operators import skew
+
+    left = spark.createDataFrame([("a",)] * 3 + [("b",)] * 2 + [(None,)] * 4, "k string")
+    right = spark.createDataFrame([("a",)] * 5 + [("c",)] * 7 + [(None,)], "k string")
+    (left, of_left), (right, of_right) = skew.staged_together(spark, (left, "l", {"key": F.col("k")}), (right, "r", {"key": F.col("k")}))
+    assert of_left.nulls == {"key": 4} and of_right.nulls == {"key": 1}
+    key = F.col("k")
+    assert skew.joined_rows(left, key, of_left, right, key, of_right, 10) == 3 * 5 + 2 + 4
+    assert skew.joined_rows(left, key, of_left, right, key, of_right, 1000) == 9 * 7
