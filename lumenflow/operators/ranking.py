@@ -10,7 +10,8 @@ Two strategies with identical results:
   (partition, key) count table turns local numbers into global ones via a
   running sum. No task ever holds more than one range partition, whatever
   the key distribution. Costs one extra shuffle of the data plus a
-  shuffle of the (much smaller) count table.
+  shuffle of the (much smaller) count table. Only the first key of a range can have rows in earlier
+  ones, so the numbers to be added are at most one per range and are broadcast.
 
 With the number of rows known (``rows``; ``auto`` counts them) both use as many tasks as the rows need.
 
@@ -77,14 +78,14 @@ def sequence_within_key(
     ranged = ranged.checkpoint(eager=True)
     # 2. local number inside (partition, key): groups bounded by partition size.
     local_w = Window.partitionBy("__pid", *keys).orderBy(*order_cols)
-    numbered = ranged.withColumn("__local", F.row_number().over(local_w))
+    numbered = sized(ranged, rows or 0, "__pid", *keys).withColumn("__local", F.row_number().over(local_w))
     # 3. rows of each key held by earlier partitions.
     counts = ranged.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__offset", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).drop("__cnt")
-    cond = [numbered["__pid"] == offsets["__pid"]] + [numbered[k].eqNullSafe(offsets[k]) for k in keys]
-    joined = numbered.join(offsets, cond, "inner").drop(offsets["__pid"])
-    for k in keys:
-        joined = joined.drop(offsets[k])
-    version = (F.col("__local") + F.col("__offset")).cast("int").alias(out_col)
+    offsets = counts.withColumn("__offset", F.coalesce(F.sum("__cnt").over(before), F.lit(0))).where("__offset > 0")
+    own = {k: f"__of_{i}" for i, k in enumerate(["__pid", *keys])}
+    offsets = offsets.select(*[F.col(k).alias(name) for k, name in own.items()], "__offset")
+    same = [F.col(k).eqNullSafe(F.col(name)) for k, name in own.items()]
+    joined = numbered.join(F.broadcast(offsets), same, "left")  # at most a row per range
+    version = (F.col("__local") + F.coalesce("__offset", F.lit(0))).cast("int").alias(out_col)
     return joined.select(*[F.col(c) for c in df.columns if c != out_col], version)

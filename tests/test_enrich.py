@@ -175,7 +175,7 @@ def test_profile_keys_stay_distinct_beyond_five_digits(spark):
     assert keyed.join(profiles, "id").count() == 4
 
 
-@pytest.mark.parametrize("strategy", ["window"])
+@pytest.mark.parametrize("strategy", ["window", "range"])
 def test_tasks_grow_with_the_rows_not_their_memory(spark, monkeypatch, strategy):
     """Large sides are joined and numbered by as many tasks as their rows need, few keys or many, null keys among them."""
     from lumenflow import session
