@@ -200,7 +200,7 @@ def _adopt(spark: SparkSession, kind: int, table: str, root: str, keys: list[str
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
     rows = spark.table(before)
-    _replace(spark, kind, table, distinct_rows(rows) if kind == 2 else rows, root, keys, buckets)
+    _replace(spark, kind, table, distinct_rows(rows, rows.count()) if kind == 2 else rows, root, keys, buckets)
 
 
 def run_scd(

@@ -294,3 +294,28 @@ def test_increments_by_numbers_and_dates(spark, kind):
         rows = scd.incremental_rows(source, "changed", scd.high_water_mark(current, "changed"))
         assert sorted(r.id for r in rows.collect()) == expected
         assert sorted(r.id for r in scd.incremental_after(source, current, "changed").collect()) == expected
+
+
+@pytest.mark.parametrize("strategy", ["auto", "range"])
+@pytest.mark.parametrize("mapped", [False, True])
+def test_merge_of_many_rows_uses_tasks_by_their_number(spark, monkeypatch, strategy, mapped):
+    from lumenflow import session
+    from lumenflow.operators import ranking
+
+    made = spark.range(600).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 40).alias("k"), (F.col("id") % 50).alias("at"), F.col("id"),
+        (F.create_map(F.lit("a"), F.col("id"), F.lit("b"), F.lit(1)) if mapped else F.col("id") * 2).alias("x"))
+    history = scd.scd2_initial(made.where("at < 30"), ["k"], "at", ["id"])
+    other = history.withColumn("x", F.create_map(F.lit("b"), F.lit(1).cast("long"), F.lit("a"), F.col("id"))) if mapped else history
+    merged = lambda: scd.scd2_merge(history.unionByName(other), made.where("at >= 30"), ["k"], "at", ["id"], strategy=strategy)
+    picked = lambda df: sorted((r.k is None, r.k, r.version, r.at, r.id, r.x["a"] if mapped else r.x) for r in df.collect())
+    plain = merged()
+    assert "LeftSemi" in plain._jdf.queryExecution().optimizedPlan().toString()
+    want = picked(plain)
+    assert len(want) == 600 and len({(w[1], w[2]) for w in want}) == 600
+    for module in (session, ranking, scd):
+        monkeypatch.setattr(module, "ROWS_PER_TASK", 40)
+    found = merged()
+    assert picked(found) == want
+    assert found.rdd.getNumPartitions() == 24  # 2 * 360 + 240 rows; 4 by spark.sql.shuffle.partitions
+    assert "LeftSemi" not in found._jdf.queryExecution().optimizedPlan().toString()
