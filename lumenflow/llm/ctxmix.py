@@ -35,7 +35,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -49,7 +49,9 @@ from lumenflow.llm.minmax import staged
 ORDERS = 6
 TABLE_BITS = 20
 #: Bytes of texts that are taken apart at once.
-SLICE, SCORE_SLICE = 4 << 20, 2 << 20
+SLICE, SCORE_SLICE = 4 << 20, 1 << 20
+#: Slices whose different windows are predicted together.
+SCORED_TOGETHER = 4
 #: Different windows that a training task holds at once, or one Arrow batch more.
 PART = 1 << 18
 #: Windows in a batch of training, rounds over a part of a task's windows, and the learning rate.
@@ -82,10 +84,10 @@ def _distinct(found: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nda
     return kinds, np.bincount(codes, np.concatenate(counts), len(kinds)).astype(np.int64)
 
 
-def _contexts(window: np.ndarray) -> list[np.ndarray]:
-    """A hash of the last bytes before the window's byte, for each order."""
+def _contexts(window: np.ndarray, first: int = 0) -> list[np.ndarray]:
+    """A hash of the last bytes before the window's byte, for each order from ``first`` on."""
     before = window >> np.uint64(8)
-    return [t.mix((before & np.uint64((1 << 8 * order) - 1)) + np.uint64((order + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) for order in range(ORDERS)]
+    return [t.mix((before & np.uint64((1 << 8 * order) - 1)) + np.uint64((order + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) for order in range(first, ORDERS)]
 
 
 def _node(window: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -222,24 +224,34 @@ def predictors(tables: Tables) -> Predictors:
     return Predictors(_stretch(tables.zeros, tables.ones).astype(np.float32), _level(tables.zeros, tables.ones))
 
 
+def _near(tables: Predictors) -> list[np.ndarray]:
+    """The stretched predictions of orders 0 and 1 by node, and by byte before and node: small enough to need no hashing."""
+    contexts, nodes = _contexts(np.arange(256, dtype=np.uint64) << np.uint64(8)), np.arange(256, dtype=np.uint64)
+    return [tables.stretched[_slot(contexts[0][0], nodes, 0)], tables.stretched[_slot(contexts[1][:, None], nodes, 1)].ravel()]
+
+
 def bits_of(mixer: Mixer, tables: Predictors, window: np.ndarray) -> np.ndarray:
     """Bits that the model needs for the last byte of each window."""
     total = np.zeros(len(window))
     weights = np.ascontiguousarray(mixer.weights.T.astype(np.float32))
+    near = _near(tables)
     for begin in range(0, len(window), 64 * BATCH):  # in parts that stay in the cache
         part = window[begin : begin + 64 * BATCH]
-        contexts = _contexts(part)
+        contexts = _contexts(part, 2)
+        before = (part & np.uint64(0xFF00)).astype(np.int64)
         for bit in range(8):
             node, value = _node(part, bit)
-            slots = [_slot(contexts[order], node, order) for order in range(ORDERS)]
-            gate = _gate(bit, tables.level[slots[-1]], tables.level[slots[-2]])
-            mixed = np.zeros(len(part), np.float32)
-            for order in range(ORDERS):
-                mixed += weights[order][gate] * tables.stretched[slots[order]]
+            slots = [_slot(context, node, order) for order, context in enumerate(contexts, 2)]
+            gate = _gate(bit, tables.level.take(slots[-1]), tables.level.take(slots[-2]))
+            at = node.astype(np.int64)
+            mixed = weights[0].take(gate) * near[0].take(at)
+            mixed += weights[1].take(gate) * near[1].take(before | at)
+            for order, slot in enumerate(slots, 2):
+                mixed += weights[order].take(gate) * tables.stretched.take(slot)
             p = _squash(mixed)
             if mixer.refine is not None:
-                at = node.astype(np.int64) * REFINE_BUCKETS + _bucket(mixed)
-                zeros, ones = mixer.refine[0][at], mixer.refine[1][at]
+                at = at * REFINE_BUCKETS + _bucket(mixed)
+                zeros, ones = mixer.refine[0].take(at), mixer.refine[1].take(at)
                 p = (p + (ones + 20 * p) / (zeros + ones + 20)) / 2
             p = np.clip(p, 1e-6, 1 - 1e-6)
             total[begin : begin + 64 * BATCH] -= np.log2(np.where(value == 1, p, 1 - p))
@@ -400,23 +412,32 @@ def score(docs: DataFrame, training: str, id_col: str = "doc_id", text_col: str
         slots, mixer = sent.value
         column = texts.column("text").chunk(0) if texts.num_rows else pa.array([], pa.string())
         out: dict[str, list[np.ndarray]] = {c: [] for c in ("n_tokens", "n_known", "base_score", "score", "bytes")}
-        for a, b in t.slices(column, SCORE_SLICE):
-            data, offsets = t.buffer(column.slice(a, b - a), lower=True)
-            found, bounds = windows(data, offsets)
-            codes, kinds = pd.factorize(found)
-            del found
-            bits = np.concatenate([[0.0], np.cumsum(bits_of(mixer, slots, kinds)[codes])])
-            del codes
-            out["score"].append(-(bits[bounds[1:]] - bits[bounds[:-1]]) * np.log10(2))
-            out["bytes"].append(np.diff(bounds))
+        parts = iter(t.slices(column, SCORE_SLICE))
+        while together := list(islice(parts, SCORED_TOGETHER)):
+            held, found = [], []
+            for a, b in together:
+                all_windows, bounds = windows(*t.buffer(column.slice(a, b - a), lower=True))
+                codes, kinds = pd.factorize(all_windows)
+                del all_windows
+                held.append((codes.astype(np.int32 if len(kinds) < 1 << 31 else np.int64), bounds))
+                found.append(kinds)
+            codes, kinds = pd.factorize(np.concatenate(found))
+            bits_by_kind = np.split(bits_of(mixer, slots, kinds)[codes], np.cumsum([len(f) for f in found])[:-1])
+            del found, codes, kinds
+            for (codes, bounds), by_kind in zip(held, bits_by_kind):
+                bits = np.concatenate([[0.0], np.cumsum(by_kind[codes])])
+                out["score"].append(-(bits[bounds[1:]] - bits[bounds[:-1]]) * np.log10(2))
+                out["bytes"].append(np.diff(bounds))
+            del held, bits, codes
         for a, b in t.slices(column):
             data, offsets = t.buffer(column.slice(a, b - a), lower=True)
             starts, ends, first = t.words(data, offsets)
             end = total[np.searchsorted(word, t.signed(np.array([_END])))]
-            count = total[np.searchsorted(word, t.signed(t.span_hashes(data, starts, ends)))]
-            base = np.concatenate([[0.0], np.cumsum(np.log10(count + 1) - log_all)])
+            codes, kinds = pd.factorize(t.signed(t.span_hashes(data, starts, ends)))
+            count = total[np.searchsorted(word, kinds)]
+            base = np.concatenate([[0.0], np.cumsum((np.log10(count + 1) - log_all)[codes])])
             out["n_tokens"].append(np.diff(first) + 1)
-            out["n_known"].append(t.per_row(count > 0, first) + (end > 0))
+            out["n_known"].append(t.per_row((count > 0)[codes], first) + (end > 0))
             out["base_score"].append(base[first[1:]] - base[first[:-1]] + np.log10(end + 1) - log_all)
         one = {c: np.concatenate(v) for c, v in out.items()}
         return pa.table(

@@ -595,3 +595,35 @@ def test_pipeline_stages(spark, sf_dir):
             assert docs.columns == before.columns
         assert docs.select("doc_id").exceptAll(before.select("doc_id")).isEmpty()
     assert docs.where("octet_length(ids) != 4 * n_tokens").isEmpty() and docs.count() > 100
+
+
+def test_context_mixing_predicts_alike_with_and_without_hashing_the_low_orders():
+    import numpy as np
+
+    from lumenflow.llm import ctxmix
+
+    rng = np.random.default_rng(1)
+    size = ctxmix.ORDERS << ctxmix.TABLE_BITS
+    tables = ctxmix.Predictors(rng.normal(size=size).astype(np.float32), rng.integers(0, ctxmix.LEVELS, size).astype(np.uint8))
+    mixer = ctxmix.Mixer(rng.normal(size=(ctxmix.GATES, ctxmix.ORDERS)), np.zeros(ctxmix.GATES), rng.integers(0, 50, (2, 256 * ctxmix.REFINE_BUCKETS)).astype(float))
+    data = rng.integers(0, 256, 3000).astype(np.uint8)
+    found, _ = ctxmix.windows(data, np.array([0, 1, 700, 700, 3000]))
+    want = np.zeros(len(found))
+    weights = mixer.weights.astype(np.float32)
+    contexts = ctxmix._contexts(found)
+    for bit in range(8):
+        node, value = ctxmix._node(found, bit)
+        slots = [ctxmix._slot(contexts[order], node, order) for order in range(ctxmix.ORDERS)]
+        gate = ctxmix._gate(bit, tables.level[slots[-1]], tables.level[slots[-2]])
+        mixed = np.zeros(len(found), np.float32)
+        for order in range(ctxmix.ORDERS):
+            mixed += weights[gate, order] * tables.stretched[slots[order]]
+        p = ctxmix._squash(mixed)
+        at = node.astype(np.int64) * ctxmix.REFINE_BUCKETS + ctxmix._bucket(mixed)
+        zeros, ones = mixer.refine[0][at], mixer.refine[1][at]
+        p = np.clip((p + (ones + 20 * p) / (zeros + ones + 20)) / 2, 1e-6, 1 - 1e-6)
+        want -= np.log2(np.where(value == 1, p, 1 - p))
+    assert (ctxmix.bits_of(mixer, tables, found) == want).all()
+    near = ctxmix._near(tables)
+    assert [len(n) for n in near] == [1 << 8, 1 << 16]  # two orders of six need no hash and no large table
+    assert len(ctxmix._contexts(found, 2)) == ctxmix.ORDERS - 2
