@@ -21,8 +21,9 @@ the counts behind them grow with the corpus.
 A text's score depends on its windows only, so a task predicts each different
 window once and adds up. Besides the score a text gets its unigram base. Token
 counts are exact, of any number of different words: a task's distinct words go to
-their totals and back by shuffles, in blocks of a file split, where they meet
-the split's texts again. Nothing of the vocabulary passes through the driver.
+their totals and back by shuffles, in blocks of about ``BLOCK_BYTES`` of text, where they
+meet the block's texts again. A block is a part of a file split, however much text that has; the driver
+sends out how many parts each split has, a number per split. Nothing of the vocabulary passes through it.
 
 Defined results: a null or empty text is its end alone; a NUL byte counts as byte 1; rows
 that repeat an id are scored each; without training texts all counts are 0 and
@@ -49,7 +50,9 @@ from lumenflow.llm.minmax import staged
 ORDERS = 6
 TABLE_BITS = 20
 #: Bytes of texts that are taken apart at once.
-SLICE, SCORE_SLICE = 4 << 20, 1 << 20
+SLICE, SCORE_SLICE = 2 << 20, 1 << 20
+#: Windows of slices that a counting task holds before it adds them up; half as many different ones are passed on.
+HELD = 1 << 20
 #: Slices whose different windows are predicted together.
 SCORED_TOGETHER = 4
 #: Different windows that a training task holds at once, or one Arrow batch more.
@@ -58,8 +61,10 @@ PART = 1 << 18
 BATCH, ROUNDS, RATE = 1024, 2, 0.05
 LEVELS = 6
 REFINE_BUCKETS = 24
-#: Bytes of text for one block where rows come from no file.
-BLOCK_ROWS = 5_000
+#: Bytes of text in a block, bytes that a row counts besides, and rows of a split (those of an Arrow batch) that are dealt to blocks together.
+BLOCK_BYTES, ROW_BYTES, BLOCK_ROWS = 16 << 20, 32, 10_000
+#: Slots that a filling task passes on at once.
+SLOTS_OUT = 1 << 18
 _END = np.uint64(0x6C8E9CF570932BD5)  # the token at the end of a text
 
 
@@ -268,9 +273,19 @@ def window_counts(training: DataFrame) -> DataFrame:
                 codes, kinds = pd.factorize(windows(*t.buffer(batch.column(0).slice(a, b - a), lower=True))[0])
                 found.append(kinds)
                 counts.append(np.bincount(codes, minlength=len(kinds)))
+                del codes, kinds
+                if sum(map(len, found)) > HELD:
+                    found, counts = ([x] for x in _distinct(found, counts))
+                    if len(found[0]) > HELD // 2:
+                        yield made(found, counts)
+                        found, counts = [], []
             if found:
-                kinds, n = _distinct(found, counts)
-                yield pa.RecordBatch.from_arrays([pa.array(t.signed(kinds)), pa.array(n)], names=["window", "n"])
+                yield made(found, counts)
+        t.settle()
+
+    def made(found, counts):
+        kinds, n = _distinct(found, counts)
+        return pa.RecordBatch.from_arrays([pa.array(t.signed(kinds)), pa.array(n)], names=["window", "n"])
 
     return training.select("text").mapInArrow(run, "window long, n long").groupBy("window").agg(F.sum("n").alias("n"))
 
@@ -289,10 +304,13 @@ def fill_tables(counted: DataFrame) -> Tables:
                     at = _slot(contexts[order], node, order)
                     for v in (0, 1):
                         np.add.at(sums[v], at[value == v], n[value == v].astype(float))
-        slot = np.flatnonzero(sums.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(slot.astype(np.int32)), *(pa.array(s[slot].astype(np.int64)) for s in sums)], names=["slot", "zeros", "ones"]
-        )
+        for begin in range(0, sums.shape[1], SLOTS_OUT):
+            slot = np.flatnonzero(sums[:, begin : begin + SLOTS_OUT].any(axis=0)) + begin
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slot.astype(np.int32)), *(pa.array(s[slot].astype(np.int64)) for s in sums)], names=["slot", "zeros", "ones"]
+            )
+        del sums
+        t.settle()
 
     summed = counted.mapInArrow(run, "slot int, zeros long, ones long").groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     rows = summed.select("slot", F.col("zeros").cast("float"), F.col("ones").cast("float")).toArrow()
@@ -357,28 +375,42 @@ def train(training: DataFrame) -> tuple[Tables, Mixer]:
     return tables, mixer
 
 
+def blocked(rows: DataFrame) -> DataFrame:
+    """``rows`` (split, chunk, id, text, ...) with their ``block`` in place of split and chunk.
+
+    A split's rows are dealt by a hash of id and text to as many parts as its largest chunk of ``BLOCK_ROWS`` rows
+    needs. A chunk's blocks lie in one Arrow batch, where each word of a block is found once.
+    """
+    size = F.sum(F.octet_length("text").cast("long") + ROW_BYTES)
+    parts = F.ceil(F.max("bytes") / BLOCK_BYTES).cast("long")
+    sizes = rows.groupBy("split", "chunk").agg(size.alias("bytes")).groupBy("split").agg(parts.alias("parts")).where("parts > 1")
+    dealt = rows.join(F.broadcast(staged(sizes, "split-parts")), "split", "left")  # a number per split, as the driver's list of splits has
+    part = F.pmod(F.xxhash64("id", "text"), F.coalesce("parts", F.lit(1)))
+    return dealt.withColumn("block", F.xxhash64("split", "chunk", part)).drop("split", "chunk", "parts")
+
+
 def _token_rows(docs: DataFrame) -> DataFrame:
     """(block, word, n): the words of each block, and how often its training texts have them; ends are words too."""
 
     def run(batches):
         for batch in batches:
             block, train_row = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            for a, b in t.slices(batch.column(2), 16 << 20):
-                keys, weight, where = [], [], []
-                for x, y in t.slices(batch.column(2).slice(a, b - a)):
-                    data, offsets = t.buffer(batch.column(2).slice(a + x, y - x), lower=True)
-                    starts, ends, first = t.words(data, offsets)
-                    row = np.repeat(np.arange(a + x, a + y), np.diff(first))
-                    keys.append(np.concatenate([t.span_hashes(data, starts, ends), np.full(y - x, _END)]))
-                    row = np.concatenate([row, np.arange(a + x, a + y)])
-                    weight.append(train_row[row])
-                    where.append(block[row])
-                key, weight, where = np.concatenate(keys), np.concatenate(weight), np.concatenate(where)
-                for one in np.unique(where):
-                    at = where == one
-                    codes, kinds = pd.factorize(key[at])
-                    n = np.bincount(codes, weight[at], len(kinds)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), one)), pa.array(t.signed(kinds)), pa.array(n)], names=["block", "word", "n"])
+            order = np.argsort(block, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
+                column, weight = batch.column(2).take(pa.array(at)), train_row[at]
+                for a, b in t.slices(column, 2 * BLOCK_BYTES):
+                    found, counts = [], []
+                    for x, y in t.slices(column.slice(a, b - a), SCORE_SLICE):
+                        data, offsets = t.buffer(column.slice(a + x, y - x), lower=True)
+                        starts, ends, first = t.words(data, offsets)
+                        of_row = weight[a + x : a + y]
+                        codes, kinds = pd.factorize(np.concatenate([t.span_hashes(data, starts, ends), np.full(y - x, _END)]))
+                        found.append(kinds)
+                        counts.append(np.bincount(codes, np.concatenate([np.repeat(of_row, np.diff(first)), of_row]), len(kinds)))
+                    kinds, n = _distinct(found, counts)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), block[at[0]])), pa.array(t.signed(kinds)), pa.array(n)], names=["block", "word", "n"])
+                del column
+        t.settle()
 
     return docs.select("block", "training", "text").mapInArrow(run, "block long, word long, n long")
 
@@ -389,14 +421,16 @@ def score(docs: DataFrame, training: str, id_col: str = "doc_id", text_col: str
     ``training``: SQL condition on ``id_col`` that tells the training rows.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    split = F.xxhash64(F.input_file_name(), F.input_file_block_start())
+    chunk = F.floor(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) / BLOCK_ROWS)  # by the row's number in its task
     rows = docs.select(
-        F.when(F.input_file_name() == "", F.pmod(F.xxhash64(id_col), F.lit(BLOCK_ROWS))).otherwise(split).alias("block"),
+        F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("split"),
+        F.when(F.input_file_name() == "", F.lit(0)).otherwise(chunk).alias("chunk"),  # rows of no file may come in another order
         F.coalesce(F.expr(training), F.lit(False)).alias("training"),
         F.col(id_col).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    tables, mixer = train(rows.where("training"))
+    tables, mixer = train(rows.where("training").select("text"))
+    rows = blocked(rows)
 
     totals = staged(_token_rows(rows).groupBy("word").agg(F.sum("n").alias("total")), "token-totals")
     all_tokens, distinct = totals.where("total > 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.lit(1))).first()
@@ -429,7 +463,7 @@ def score(docs: DataFrame, training: str, id_col: str = "doc_id", text_col: str
                 out["score"].append(-(bits[bounds[1:]] - bits[bounds[:-1]]) * np.log10(2))
                 out["bytes"].append(np.diff(bounds))
             del held, bits, codes
-        for a, b in t.slices(column):
+        for a, b in t.slices(column, SCORE_SLICE):
             data, offsets = t.buffer(column.slice(a, b - a), lower=True)
             starts, ends, first = t.words(data, offsets)
             end = total[np.searchsorted(word, t.signed(np.array([_END])))]
@@ -440,6 +474,8 @@ def score(docs: DataFrame, training: str, id_col: str = "doc_id", text_col: str
             out["n_known"].append(t.per_row((count > 0)[codes], first) + (end > 0))
             out["base_score"].append(base[first[1:]] - base[first[:-1]] + np.log10(end + 1) - log_all)
         one = {c: np.concatenate(v) for c, v in out.items()}
+        del data, starts, ends, first, codes, kinds, count, base, word, total, order
+        t.settle()
         return pa.table(
             {
                 "id": texts.column("id"),

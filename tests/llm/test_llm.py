@@ -584,6 +584,43 @@ def test_mixing_weights_learn_from_every_window(spark):
     assert mixer.seen.sum() == ctxmix.ROUNDS * 8 * 170 * 2_001
 
 
+def test_blocks_of_scoring_are_bounded_by_bytes_not_by_splits(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i % 50, " ".join(rng.choice([f"w{k}" for k in range(400)]) for _ in range(300))) for i in range(400)]
+    path = str(tmp_path / "documents.parquet")
+    frame(spark, rows).coalesce(1).write.parquet(path)  # one split
+    told = lambda r: (r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6))
+    got, held = [], []
+    for most, batch in ((ctxmix.BLOCK_BYTES, 10_000), (40_000, 100)):
+        monkeypatch.setattr(ctxmix, "BLOCK_BYTES", most)
+        monkeypatch.setattr(ctxmix, "BLOCK_ROWS", batch)
+        monkeypatch.setattr(ctxmix, "_token_rows", lambda docs, f=ctxmix._token_rows: held.append(docs) or f(docs))
+        got.append(sorted(told(r) for r in ctxmix.score(spark.read.parquet(path), "doc_id % 7 != 2").collect()))
+    assert got[0] == got[1] and len(got[0]) == 400
+    blocks = [d.groupBy("block").agg(F.sum(F.octet_length("text")).alias("bytes")).collect() for d in (held[0], held[-1])]
+    assert len(blocks[0]) == 1 and max(r["bytes"] for r in blocks[1]) < 120_000
+    loose = ctxmix.score(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id % 7 != 2")  # rows of no file
+    assert sorted(map(told, loose.collect())) == got[0]
+
+
+def test_windows_are_counted_in_parts_of_bounded_size(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, bytes(rng.integers(97, 103, 3_000).astype(np.uint8)).decode()) for i in range(60)]
+    want = collections.Counter(w for _, text in rows for w in ctxmix.windows(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))[0].tolist())
+    sizes = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(ctxmix, "SLICE", 10_000)
+    monkeypatch.setattr(ctxmix, "HELD", 20_000)
+    summed = ctxmix._distinct
+
+    def distinct(found, counts):
+        sizes.add(sum(map(len, found)) > 30_000)
+        return summed(found, counts)
+
+    monkeypatch.setattr(ctxmix, "_distinct", distinct)
+    got = {r["window"]: r["n"] for r in ctxmix.window_counts(frame(spark, rows).coalesce(1)).collect()}
+    assert got == want and sizes.value == 0
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
