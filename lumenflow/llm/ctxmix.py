@@ -35,13 +35,14 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenflow.llm import textops as t
@@ -51,8 +52,10 @@ ORDERS = 6
 TABLE_BITS = 20
 #: Bytes of texts that are taken apart at once.
 SLICE, SCORE_SLICE = 2 << 20, 1 << 20
-#: Windows of slices that a counting task holds before it adds them up; half as many different ones are passed on.
-HELD = 1 << 20
+#: Windows or words of slices that a counting task holds before it adds them up; half as many different ones are passed on.
+HELD, HELD_WORDS = 1 << 20, 2 << 20
+#: Bytes of an Arrow batch: executors hold one several times outside their heap while they send it.
+BATCH_BYTES = 4 << 20
 #: Slices whose different windows are predicted together.
 SCORED_TOGETHER = 4
 #: Different windows that a training task holds at once, or one Arrow batch more.
@@ -61,7 +64,7 @@ PART = 1 << 18
 BATCH, ROUNDS, RATE = 1024, 2, 0.05
 LEVELS = 6
 REFINE_BUCKETS = 24
-#: Bytes of text in a block, bytes that a row counts besides, and rows of a split (those of an Arrow batch) that are dealt to blocks together.
+#: Bytes of text in a block, bytes that a row counts besides, and rows of a split that are dealt to blocks together.
 BLOCK_BYTES, ROW_BYTES, BLOCK_ROWS = 16 << 20, 32, 10_000
 #: Slots that a filling task passes on at once.
 SLOTS_OUT = 1 << 18
@@ -267,8 +270,8 @@ def window_counts(training: DataFrame) -> DataFrame:
     """(window, n) over the training texts."""
 
     def run(batches):
+        found, counts = [], []
         for batch in batches:
-            found, counts = [], []
             for a, b in t.slices(batch.column(0), SLICE):
                 codes, kinds = pd.factorize(windows(*t.buffer(batch.column(0).slice(a, b - a), lower=True))[0])
                 found.append(kinds)
@@ -279,8 +282,8 @@ def window_counts(training: DataFrame) -> DataFrame:
                     if len(found[0]) > HELD // 2:
                         yield made(found, counts)
                         found, counts = [], []
-            if found:
-                yield made(found, counts)
+        if found:
+            yield made(found, counts)
         t.settle()
 
     def made(found, counts):
@@ -379,7 +382,7 @@ def blocked(rows: DataFrame) -> DataFrame:
     """``rows`` (split, chunk, id, text, ...) with their ``block`` in place of split and chunk.
 
     A split's rows are dealt by a hash of id and text to as many parts as its largest chunk of ``BLOCK_ROWS`` rows
-    needs. A chunk's blocks lie in one Arrow batch, where each word of a block is found once.
+    needs. A block lies in one chunk, so that a task has its words together.
     """
     size = F.sum(F.octet_length("text").cast("long") + ROW_BYTES)
     parts = F.ceil(F.max("bytes") / BLOCK_BYTES).cast("long")
@@ -393,33 +396,65 @@ def _token_rows(docs: DataFrame) -> DataFrame:
     """(block, word, n): the words of each block, and how often its training texts have them; ends are words too."""
 
     def run(batches):
+        held: dict[int, tuple[list, list]] = {}
+        size = 0
         for batch in batches:
             block, train_row = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
             order = np.argsort(block, kind="stable")
             for at in np.split(order, np.flatnonzero(np.diff(block[order])) + 1):
                 column, weight = batch.column(2).take(pa.array(at)), train_row[at]
-                for a, b in t.slices(column, 2 * BLOCK_BYTES):
-                    found, counts = [], []
-                    for x, y in t.slices(column.slice(a, b - a), SCORE_SLICE):
-                        data, offsets = t.buffer(column.slice(a + x, y - x), lower=True)
-                        starts, ends, first = t.words(data, offsets)
-                        of_row = weight[a + x : a + y]
-                        codes, kinds = pd.factorize(np.concatenate([t.span_hashes(data, starts, ends), np.full(y - x, _END)]))
-                        found.append(kinds)
-                        counts.append(np.bincount(codes, np.concatenate([np.repeat(of_row, np.diff(first)), of_row]), len(kinds)))
-                    kinds, n = _distinct(found, counts)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), block[at[0]])), pa.array(t.signed(kinds)), pa.array(n)], names=["block", "word", "n"])
-                del column
+                for a, b in t.slices(column, SCORE_SLICE):
+                    data, offsets = t.buffer(column.slice(a, b - a), lower=True)
+                    starts, ends, first = t.words(data, offsets)
+                    codes, kinds = pd.factorize(np.concatenate([t.span_hashes(data, starts, ends), np.full(b - a, _END)]))
+                    found, counts = held.setdefault(int(block[at[0]]), ([], []))
+                    found.append(kinds)
+                    counts.append(np.bincount(codes, np.concatenate([np.repeat(weight[a:b], np.diff(first)), weight[a:b]]), len(kinds)))
+                    size += len(kinds)
+                    if size > HELD_WORDS:
+                        for one, (found, counts) in held.items():
+                            kinds, n = _distinct(found, counts)
+                            held[one] = [kinds], [n]
+                        size = sum(len(found[0]) for found, _ in held.values())
+                        if size > HELD_WORDS // 2:
+                            yield from made(held)
+                            size = 0
+        yield from made(held)
         t.settle()
 
+    def made(held):
+        while held:
+            one, (found, counts) = held.popitem()
+            kinds, n = _distinct(found, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), one)), pa.array(t.signed(kinds)), pa.array(n)], names=["block", "word", "n"])
+
     return docs.select("block", "training", "text").mapInArrow(run, "block long, word long, n long")
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of ``BATCH_BYTES`` in the jobs that run inside, unless the session has a limit of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(key, None)
+    if own is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(key)
+
+
 def score(docs: DataFrame, training: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) for each row.
 
     ``training``: SQL condition on ``id_col`` that tells the training rows.
     """
+    with small_batches(docs.sparkSession):
+        return staged(_scored(docs, training, id_col, text_col), "scores").withColumnRenamed("id", id_col)
+
+
+def _scored(docs: DataFrame, training: str, id_col: str, text_col: str) -> DataFrame:
     id_type = docs.schema[id_col].dataType.simpleString()
     chunk = F.floor(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) / BLOCK_ROWS)  # by the row's number in its task
     rows = docs.select(
@@ -489,8 +524,7 @@ def score(docs: DataFrame, training: str, id_col: str = "doc_id", text_col: str
             }
         )
 
-    scored = rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+    return rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         run,
         f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double",
     )
-    return scored.withColumnRenamed("id", id_col)

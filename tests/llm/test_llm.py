@@ -603,6 +603,32 @@ def test_blocks_of_scoring_are_bounded_by_bytes_not_by_splits(spark, tmp_path, m
     assert sorted(map(told, loose.collect())) == got[0]
 
 
+def test_scoring_sends_small_batches_and_leaves_the_session_as_it_was(spark, monkeypatch):
+    key, rows = "spark.sql.execution.arrow.maxBytesPerBatch", [(i, "some words " * 300) for i in range(200)]
+    monkeypatch.setattr(ctxmix, "BATCH_BYTES", 50_000)
+    sent = spark.sparkContext.accumulator(0)
+    distinct_windows = ctxmix.windows
+
+    def windows(data, offsets):
+        sent.add(len(offsets) - 1 > 40)
+        return distinct_windows(data, offsets)
+
+    monkeypatch.setattr(ctxmix, "windows", windows)
+    assert ctxmix.score(frame(spark, rows).coalesce(1), "doc_id % 7 != 2").count() == 200
+    assert spark.conf.get(key, None) is None
+    with ctxmix.small_batches(spark):
+        assert ctxmix.window_counts(frame(spark, rows).coalesce(1).select("text")).count() > 0
+        before = sent.value  # scoring takes a block's texts together, counting sees batches
+        ctxmix.window_counts(frame(spark, rows).coalesce(1).select("text")).collect()
+        assert sent.value == before
+    spark.conf.set(key, "1000000")
+    try:
+        with ctxmix.small_batches(spark):
+            assert spark.conf.get(key) == "1000000"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_windows_are_counted_in_parts_of_bounded_size(spark, monkeypatch):
     rng = np.random.default_rng(6)
     rows = [(i, bytes(rng.integers(97, 103, 3_000).astype(np.uint8)).decode()) for i in range(60)]
